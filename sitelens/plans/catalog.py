@@ -107,3 +107,187 @@ SELECT entity, CAST(rank AS INTEGER) AS rank, url, text, relevance_score FROM ra
 def top_links_per_site(spark: SparkSession, sf_dir: str) -> DataFrame:
     lk = LK.extract_links(read_pages(spark, sf_dir))
     return LK.rank_links(lk, KEEP, SKIP)
+
+
+# --- P11, P12: whole-page text for matching ----------------------------------
+
+@register("page_plain_text", f"""
+WITH {S.pages_cte()}
+SELECT page_id, entity, {S.plain_text('html')} AS plain_text,
+       CAST(length({S.plain_text('html')}) AS INTEGER) AS n_chars FROM pg
+""")
+def page_plain_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = read_pages(spark, sf_dir).select("page_id", "entity", H.plain_text(F.col("html")).alias("plain_text"))
+    return p.select("page_id", "entity", "plain_text", F.length("plain_text").alias("n_chars"))
+
+
+# --- J2, J3, A1-A6, A15, A16: section classification -------------------------
+
+from sitelens.operators import frontier as FR  # noqa: E402
+from sitelens.operators import sections as SC  # noqa: E402
+
+SECTIONS = vocab.TEST_SECTION_KEYWORDS
+
+
+def _content_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = read_pages(spark, sf_dir)
+    return p.select("entity", "page_id", "url", H.region_text(F.col("html")).alias("content"))
+
+
+def _sections_sql(source: str, text: str) -> str:
+    parts = [f"SELECT entity, page_id, {S.q(s)} AS section, {i} AS section_ord, "
+             f"CAST({S.count_contains(f'lower({text})', kws)} AS INTEGER) AS hits FROM {source}"
+             for i, (s, kws) in enumerate(SECTIONS.items())]
+    return ("(SELECT entity, page_id, section, CAST(section_ord AS INTEGER) AS section_ord, hits, "
+            "least(CAST(0.9 AS DOUBLE), hits * CAST(0.3 AS DOUBLE)) AS confidence FROM ("
+            + " UNION ALL ".join(parts) + ") WHERE hits > 0)")
+
+
+_PAGE_SECTIONS_CTE = (f"{S.pages_cte()}, ct AS (SELECT entity, page_id, url, {S.region_text('html')} AS content FROM pg), "
+                      f"ps AS {_sections_sql('ct', 'content')}")
+
+
+@register("page_sections", f"WITH {_PAGE_SECTIONS_CTE} SELECT * FROM ps")
+def page_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SC.page_sections(_content_pages(spark, sf_dir), sections=SECTIONS)
+
+
+@register("document_sections", f"""
+WITH d AS (SELECT source AS entity, doc_id AS page_id, text FROM documents), ds AS {_sections_sql('d', 'text')}
+SELECT entity, page_id AS doc_id, section, section_ord, hits, confidence FROM ds
+""")
+def document_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sitelens.sources.tables import table
+    d = table(spark, sf_dir, "documents").select(F.col("source").alias("entity"),
+                                                  F.col("doc_id").alias("page_id"), F.col("text"))
+    out = SC.page_sections(d, content="text", sections=SECTIONS)
+    return out.withColumnRenamed("page_id", "doc_id")
+
+
+@register("page_category", f"""
+WITH {_PAGE_SECTIONS_CTE}
+SELECT entity, page_id, section AS category, confidence FROM (
+  SELECT *, row_number() OVER (PARTITION BY entity, page_id ORDER BY confidence DESC, section_ord) AS rn FROM ps)
+WHERE rn = 1
+""")
+def page_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SC.page_category(page_sections(spark, sf_dir))
+
+
+_ALL_SECTIONS = "[" + ", ".join(S.q(s) for s in SECTIONS) + "]"
+
+
+@register("section_coverage", f"""
+WITH {_PAGE_SECTIONS_CTE},
+f AS (SELECT e.entity, coalesce(list_sort(list(DISTINCT ps.section) FILTER (WHERE ps.section IS NOT NULL)), []) AS found
+      FROM (SELECT DISTINCT entity FROM pg) e LEFT JOIN ps ON ps.entity = e.entity GROUP BY e.entity),
+m AS (SELECT entity, found, list_sort(list_filter({_ALL_SECTIONS}, lambda s: NOT list_contains(found, s))) AS missing FROM f)
+SELECT entity, array_to_string(found, ',') AS found, array_to_string(missing, ',') AS missing,
+       CAST(len(found) AS INTEGER) AS n_found, {len(SECTIONS)} AS n_required, len(missing) = 0 AS complete FROM m
+""")
+def section_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sites = read_pages(spark, sf_dir).select("entity")
+    cov = SC.coverage(page_sections(spark, sf_dir), sites, SECTIONS)
+    return cov.select("entity", F.array_join("found", ",").alias("found"), F.array_join("missing", ",").alias("missing"),
+                      "n_found", "n_required", "complete")
+
+
+@register("coverage_gaps", f"""
+WITH {_PAGE_SECTIONS_CTE},
+req AS (SELECT unnest({_ALL_SECTIONS}) AS section, CAST(generate_subscripts({_ALL_SECTIONS}, 1) - 1 AS INTEGER) AS section_ord)
+SELECT e.entity, r.section, r.section_ord FROM (SELECT DISTINCT entity FROM pg) e CROSS JOIN req r
+WHERE NOT EXISTS (SELECT 1 FROM ps WHERE ps.entity = e.entity AND ps.section = r.section)
+""")
+def coverage_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sites = read_pages(spark, sf_dir).select("entity")
+    return SC.coverage_gaps(page_sections(spark, sf_dir), sites, SECTIONS).select("entity", "section", "section_ord")
+
+
+@register("link_priorities", f"""
+WITH {S.links_cte().strip()},
+la AS (SELECT entity, page_id, link_seq, url,
+              list_filter([{', '.join(f"CASE WHEN {S.any_contains('lower(text)', kws)} THEN {S.q(s)} END" for s, kws in SECTIONS.items())}],
+                          lambda s: s IS NOT NULL) AS expected
+       FROM links WHERE trim(text) <> '')
+SELECT entity, page_id, CAST(link_seq AS INTEGER) AS link_seq, url, CAST(0.8 AS DOUBLE) AS relevance_score,
+       'high' AS priority, array_to_string(expected, ',') AS expected_content
+FROM la WHERE len(expected) > 0
+""")
+def link_priorities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lk = LK.extract_links(read_pages(spark, sf_dir))
+    la = SC.link_analysis(lk, SECTIONS)
+    return la.withColumn("expected_content", F.array_join("expected_content", ","))
+
+
+# --- I1, I2, J4, J5, A7: frontier expansion over derived links ---------------
+
+MAX_ROUNDS = 50
+
+
+def _derived_edges(spark: SparkSession, sf_dir: str, keep: list[str] | None) -> tuple[DataFrame, DataFrame]:
+    """Link k of page i points to page (7*i + 13*k + 1) mod n (test graph:
+    no anchor of the corpus resolves to a page of the table)."""
+    p = read_pages(spark, sf_dir)
+    lk = LK.extract_links(p)
+    if keep is not None:
+        lk = lk.where(F.trim("text") != "").where(SC.any_contains(F.lower(F.col("text")), keep))
+    n = p.agg(F.count("*").alias("n"))  # one row: broadcast is bounded
+    dst_id = F.pmod(F.col("page_id") * 7 + F.col("link_seq") * 13 + 1, F.col("n"))
+    e = lk.crossJoin(F.broadcast(n)).select(F.col("page_id").alias("src_id"), dst_id.alias("dst_id"))
+    urls_ = p.select("page_id", "url")
+    edges = (e.join(urls_.withColumnRenamed("page_id", "src_id").withColumnRenamed("url", "src"), "src_id")
+             .join(urls_.withColumnRenamed("page_id", "dst_id").withColumnRenamed("url", "dst"), "dst_id")
+             .select("src", "dst"))
+    seeds = p.groupBy("entity").agg(F.min_by("url", "page_id").alias("url"))
+    return seeds, edges
+
+
+def _reach(spark: SparkSession, sf_dir: str, keep: list[str] | None) -> DataFrame:
+    seeds, edges = _derived_edges(spark, sf_dir, keep)
+    visited = FR.crawl(seeds, edges, max_rounds=MAX_ROUNDS)
+    p = read_pages(spark, sf_dir).select("page_id", F.col("url"))
+    return visited.join(p, "url").select("entity", "page_id", F.col("depth").cast("int").alias("depth"), "url")
+
+
+def _reach_sql(keep: list[str] | None) -> str:
+    cond = f"WHERE trim(text) <> '' AND {S.any_contains('lower(text)', keep)}" if keep else ""
+    return f"""
+{S.links_cte().strip()}, {S.pages_cte()},
+n AS (SELECT count(*) AS n FROM pages),
+edges AS (SELECT DISTINCT l.page_id AS src, (7 * l.page_id + 13 * l.link_seq + 1) % n.n AS dst FROM links l, n {cond}),
+seeds AS (SELECT entity, min(page_id) AS page_id FROM pg GROUP BY entity),
+reach AS (SELECT entity, page_id, min(depth) AS depth FROM rr GROUP BY entity, page_id)"""
+
+
+def _reach_rec() -> str:
+    return f"""rr(entity, page_id, depth) AS (
+  SELECT entity, page_id, 0 FROM seeds
+  UNION
+  SELECT rr.entity, e.dst, rr.depth + 1 FROM rr JOIN edges e ON e.src = rr.page_id WHERE rr.depth < {MAX_ROUNDS})"""
+
+
+def _reach_query(keep: list[str] | None, tail: str) -> str:
+    body = _reach_sql(keep).strip()
+    # the recursive CTE must precede its use; DuckDB allows any order under WITH RECURSIVE
+    return f"WITH RECURSIVE {body.replace('reach AS', _reach_rec() + ', reach AS', 1)}\n{tail}"
+
+
+@register("frontier_reach", _reach_query(None, "SELECT entity, page_id, CAST(depth AS INTEGER) AS depth FROM reach"))
+def frontier_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _reach(spark, sf_dir, None).select("entity", "page_id", "depth")
+
+
+@register("frontier_reach_filtered", _reach_query(KEEP, "SELECT entity, page_id, CAST(depth AS INTEGER) AS depth FROM reach"))
+def frontier_reach_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _reach(spark, sf_dir, KEEP).select("entity", "page_id", "depth")
+
+
+@register("crawl_stats", _reach_query(KEEP, f""",
+rel AS (SELECT DISTINCT ps.page_id FROM ({_sections_sql(f"(SELECT {S.authority('url')} AS entity, page_id, {S.region_text('html')} AS content FROM pages)", 'content')}) ps)
+SELECT r.entity, count(*) AS total_pages_visited, count(rel.page_id) AS relevant_pages_found,
+       CAST(max(r.depth) AS INTEGER) AS rounds
+FROM reach r LEFT JOIN rel ON rel.page_id = r.page_id GROUP BY r.entity""").replace("\n,\nrel AS", ",\nrel AS").replace("FROM rr GROUP BY entity, page_id)\n,", "FROM rr GROUP BY entity, page_id),"))
+def crawl_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    visited = _reach(spark, sf_dir, KEEP)
+    ps = page_sections(spark, sf_dir).join(read_pages(spark, sf_dir).select("page_id", "url"), "page_id")
+    return FR.crawl_stats(visited, ps.select("url", "section"))
