@@ -291,3 +291,181 @@ def crawl_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     visited = _reach(spark, sf_dir, KEEP)
     ps = page_sections(spark, sf_dir).join(read_pages(spark, sf_dir).select("page_id", "url"), "page_id")
     return FR.crawl_stats(visited, ps.select("url", "section"))
+
+
+# --- P18, P19, P20, A11, U3, U5: fragments, leaves and the deep merge ---------
+
+from sitelens import taxonomy as TX  # noqa: E402
+from sitelens.functions.jsonpaths import JsonLeaves  # noqa: E402
+from sitelens.operators import merge as MG  # noqa: E402
+from sitelens.operators import records as RC  # noqa: E402
+from sitelens.operators import validate as VD  # noqa: E402
+
+
+def _fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return RC.rule_fragments(read_pages(spark, sf_dir))
+
+
+_FRAG_CTE = f"""{S.links_cte().strip()}, {S.pages_cte()},
+cnt AS (SELECT page_id AS seq, count(*) AS n FROM links GROUP BY page_id),
+fr AS (SELECT pg.entity, pg.page_id AS seq, coalesce({S.title('pg.html')}, '') AS title,
+              regexp_extract(pg.html, {S.q(RC.LANG_RE)}, 1) AS lang, coalesce(cnt.n, 0) AS n
+       FROM pg LEFT JOIN cnt ON cnt.seq = pg.page_id)"""
+
+
+@register("json_leaves", f"""
+WITH {_FRAG_CTE}
+SELECT entity, seq, 'title' AS field_path, 'string' AS kind, title AS value, 0 AS ord FROM fr
+UNION ALL SELECT entity, seq, 'lang', 'string', lang, 1 FROM fr
+UNION ALL SELECT entity, page_id, 'tags[' || link_seq || ']', 'string', text, CAST(2 + link_seq AS INTEGER) FROM links
+UNION ALL SELECT entity, seq, 'stats.anchors', 'number', CAST(n AS VARCHAR), CAST(2 + n AS INTEGER) FROM fr
+""")
+def json_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fr = _fragments(spark, sf_dir)
+    return fr.lateralJoin(JsonLeaves(F.col("json").outer())).select(
+        "entity", "seq", "field_path", "kind", "value", "ord")
+
+
+_MERGE_CTE = f"""{_FRAG_CTE},
+ttl AS (SELECT entity, coalesce(arg_min(title, seq) FILTER (WHERE title <> ''), arg_min(title, seq)) AS v FROM fr GROUP BY entity),
+lng AS (SELECT entity, coalesce(arg_min(lang, seq) FILTER (WHERE lang <> ''), arg_min(lang, seq)) AS v FROM fr GROUP BY entity),
+anc AS (SELECT entity, coalesce(arg_min(n, seq) FILTER (WHERE n <> 0), arg_min(n, seq)) AS v FROM fr GROUP BY entity),
+tt AS (SELECT entity, min(seq) FILTER (WHERE n > 0) AS t_seq, min(seq) AS f_seq FROM fr GROUP BY entity),
+it AS (SELECT l.entity, l.page_id AS seq, l.link_seq AS idx, l.text, tt.t_seq, tt.f_seq FROM links l
+       JOIN tt ON tt.entity = l.entity WHERE tt.t_seq IS NOT NULL AND l.page_id >= tt.t_seq),
+firsts AS (SELECT entity, seq, idx, text FROM (
+           SELECT *, row_number() OVER (PARTITION BY entity, text ORDER BY seq, idx) AS rn FROM it) WHERE rn = 1),
+items AS (SELECT entity, seq, idx, text FROM firsts
+          UNION ALL
+          SELECT entity, seq, idx, text FROM it WHERE seq = t_seq AND t_seq = f_seq
+            AND (entity, seq, idx) NOT IN (SELECT (entity, seq, idx) FROM firsts)),
+merged AS (
+  SELECT entity, 'title' AS path, 'node' AS node_type, 'string' AS kind, v AS value, CAST(NULL AS BIGINT) AS item_seq, CAST(NULL AS INTEGER) AS item_idx FROM ttl
+  UNION ALL SELECT entity, 'lang', 'node', 'string', v, NULL, NULL FROM lng
+  UNION ALL SELECT entity, 'tags', 'node', 'array', NULL, NULL, NULL FROM tt
+  UNION ALL SELECT entity, 'stats', 'node', 'object', NULL, NULL, NULL FROM tt
+  UNION ALL SELECT entity, 'stats.anchors', 'node', 'number', CAST(v AS VARCHAR), NULL, NULL FROM anc
+  UNION ALL SELECT entity, 'admissions', 'node', 'object', NULL, NULL, NULL FROM tt
+  UNION ALL SELECT entity, 'contact', 'node', 'object', NULL, NULL, NULL FROM tt
+  UNION ALL SELECT entity, 'tags', 'item', 'string', text, seq, CAST(idx AS INTEGER) FROM items)"""
+
+
+def _merged(spark: SparkSession, sf_dir: str):
+    return MG.merge_fragments(_fragments(spark, sf_dir), TX.top_keys())
+
+
+@register("merged_records", f"WITH {_MERGE_CTE} SELECT * FROM merged")
+def merged_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    merged, items, _ = _merged(spark, sf_dir)
+    return MG.flat_record(merged, items)
+
+
+# --- V1-V8, J6-J10, A12, A14: validation --------------------------------------
+
+def record_leaves(merged: DataFrame, items: DataFrame) -> DataFrame:
+    """Validation leaves of merged records: scalar nodes as 'a.b', array items
+    as 'a.b[i]' in final order (object items are walked further)."""
+    from pyspark.sql import Window
+    scal = merged.where(~F.col("kind").isin("object", "array")).select(
+        "entity", F.array_join("path", ".").alias("field_path"), "kind", "value")
+    pos = F.row_number().over(Window.partitionBy("entity", "path").orderBy("seq", "idx")) - 1
+    it = items.select("entity", F.array_join("path", ".").alias("p"), pos.alias("pos"), "kind", "value")
+    flat_items = it.where(F.col("kind") != "object").select(
+        "entity", F.format_string("%s[%d]", "p", "pos").alias("field_path"), "kind", "value")
+    obj_items = (it.where(F.col("kind") == "object")
+                 .lateralJoin(JsonLeaves(F.col("value").outer()).alias("l"))
+                 .select("entity", F.format_string("%s[%d].%s", "p", "pos", F.col("l.field_path")).alias("field_path"),
+                         F.col("l.kind").alias("kind"), F.col("l.value").alias("value")))
+    return scal.unionByName(flat_items).unionByName(obj_items).withColumn("ord", F.lit(0))
+
+
+def _validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    merged, items, _ = _merged(spark, sf_dir)
+    leaves = record_leaves(merged, items)
+    pg = read_pages(spark, sf_dir).select("entity", "url", "page_seq", H.plain_text(F.col("html")).alias("text"))
+    return VD.validate_fields(leaves, pg)
+
+
+_VALIDATION_CTE = f"""{_MERGE_CTE},
+leaves AS (SELECT entity, path AS field_path, kind, value FROM merged WHERE node_type = 'node' AND kind NOT IN ('object', 'array')
+           UNION ALL
+           SELECT entity, path || '[' || (row_number() OVER (PARTITION BY entity, path ORDER BY item_seq, item_idx) - 1) || ']', kind, value
+           FROM merged WHERE node_type = 'item'),
+pt AS (SELECT entity, url, page_seq, {S.squash_ws(f"lower({S.plain_text('html')})")} AS cc FROM pg),
+pairs AS (SELECT l.entity, l.field_path, l.kind, l.value, p.url, p.page_seq, p.cc,
+                 {S.squash_ws('lower(l.value)')} AS cv FROM leaves l JOIN pt p ON p.entity = l.entity),
+m AS (SELECT *, (kind <> 'string' OR value = {S.q(vocab.NOT_PUBLISHED)}) AS skip, contains(cc, cv) AS exact,
+             CASE WHEN cv = '' THEN 0 ELSE len(string_split(cv, ' ')) END AS n_words,
+             len(list_filter(string_split(cv, ' '), lambda w: contains(cc, w))) AS matched FROM pairs),
+res AS (SELECT entity, field_path, url, page_seq,
+               CASE WHEN skip THEN TRUE WHEN exact THEN TRUE ELSE matched >= n_words * 0.75 END AS is_valid,
+               CASE WHEN skip THEN '' WHEN exact THEN cv WHEN matched >= n_words * 0.75 THEN cv ELSE '' END AS source_text,
+               CASE WHEN skip THEN {S.q(VD.SKIPPED)} WHEN exact THEN {S.q(VD.EXACT)}
+                    WHEN matched >= n_words * 0.75 THEN 'Fuzzy match (' || matched || '/' || n_words || ' words)'
+                    ELSE {S.q(VD.NO_MATCH)} END AS notes FROM m)"""
+
+
+@register("field_validation", f"WITH {_VALIDATION_CTE} SELECT entity, field_path, url, is_valid, source_text, notes FROM res")
+def field_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _validation(spark, sf_dir).select("entity", "field_path", "url", "is_valid", "source_text", "notes")
+
+
+@register("field_verdict", f"""WITH {_VALIDATION_CTE}
+SELECT entity, field_path, bool_or(is_valid) AS valid_anywhere, arg_min(url, page_seq) FILTER (WHERE is_valid) AS first_source_url,
+       count(*) AS pages_checked FROM res GROUP BY entity, field_path""")
+def field_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return VD.verdicts(_validation(spark, sf_dir))
+
+
+@register("validation_summary", f"""WITH {_VALIDATION_CTE}
+SELECT entity, count(*) AS total_fields, CAST(count_if(is_valid) AS BIGINT) AS valid_fields,
+       CAST(count_if(NOT is_valid) AS BIGINT) AS invalid_fields, count_if(is_valid) * 100.0 / count(*) AS validation_rate,
+       CAST(count_if(contains(notes, 'Exact match')) AS BIGINT) AS exact_matches,
+       CAST(count_if(contains(notes, 'Fuzzy match')) AS BIGINT) AS fuzzy_matches,
+       CAST(count_if(contains(notes, {S.q(vocab.NOT_PUBLISHED)})) AS BIGINT) AS not_published
+FROM res GROUP BY entity""")
+def validation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return VD.summary(_validation(spark, sf_dir), ["entity"])
+
+
+@register("validation_rollup", f"""WITH {_VALIDATION_CTE}
+SELECT entity, regexp_extract(field_path, '^([^.\\[]*)', 1) AS section, count(*) AS total_fields,
+       CAST(count_if(is_valid) AS BIGINT) AS valid_fields,
+       CAST(grouping(entity, regexp_extract(field_path, '^([^.\\[]*)', 1)) AS INTEGER) AS level
+FROM res GROUP BY ROLLUP (entity, regexp_extract(field_path, '^([^.\\[]*)', 1))""")
+def validation_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return VD.rollup(_validation(spark, sf_dir))
+
+
+def _schema_rows() -> list[tuple[str, str, int]]:
+    from sitelens.functions.jsonpaths import kind_of
+    out = []
+
+    def walk(obj, prefix):
+        for k, v in obj.items():
+            p = f"{prefix}.{k}" if prefix else k
+            out.append((p, kind_of(v), len(out)))
+            if isinstance(v, dict):
+                walk(v, p)
+    walk(TX.SAMPLE_PROGRAM, "")
+    return out
+
+
+_SCHEMA_VALUES = ", ".join(f"({S.q(p)}, {S.q(k)}, {o})" for p, k, o in _schema_rows())
+
+
+@register("schema_issues", f"""WITH {_MERGE_CTE},
+sp(path, kind, ord) AS (VALUES {_SCHEMA_VALUES}),
+dn AS (SELECT entity, path, kind AS data_kind FROM merged WHERE node_type = 'node'),
+j AS (SELECT e.entity, sp.path, sp.kind, CAST(sp.ord AS INTEGER) AS ord, dn.data_kind
+      FROM (SELECT DISTINCT entity FROM dn) e CROSS JOIN sp LEFT JOIN dn ON dn.entity = e.entity AND dn.path = sp.path),
+raw AS (SELECT entity, path, ord, CASE WHEN data_kind IS NULL THEN 'Missing required field: ' || path
+                                  ELSE 'Type mismatch at ' || path || ': expected dict' END AS issue
+        FROM j WHERE data_kind IS NULL OR (kind = 'object' AND data_kind <> 'object'))
+SELECT entity, path, ord, issue FROM raw r
+WHERE NOT EXISTS (SELECT 1 FROM raw a WHERE a.entity = r.entity AND starts_with(r.path, a.path || '.'))""")
+def schema_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    merged, _, _ = _merged(spark, sf_dir)
+    sp = spark.createDataFrame(_schema_rows(), "path string, kind string, ord int")
+    dn = merged.select("entity", F.array_join("path", ".").alias("path"), "kind")
+    return VD.structure_issues(sp, dn).select("entity", "path", "ord", "issue")
