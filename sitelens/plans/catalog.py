@@ -469,3 +469,97 @@ def schema_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     sp = spark.createDataFrame(_schema_rows(), "path string, kind string, ord int")
     dn = merged.select("entity", F.array_join("path", ".").alias("path"), "kind")
     return VD.structure_issues(sp, dn).select("entity", "path", "ord", "issue")
+
+
+# --- P15, P16, A10, W3-W5: token usage and rate windows ----------------------
+
+from sitelens.operators import usage as US  # noqa: E402
+from sitelens.sources.tables import table  # noqa: E402
+
+# Test limits: the derived call log is far below the production limits.
+RATE_GAP_SECONDS = 4 * 3600
+RATE_TPM, RATE_RPM, RATE_TPD = 600, 3, 5000
+
+
+@register("token_estimates", """
+SELECT conv_id, count(*) AS n_messages, CAST(sum(length(coalesce(text, ''))) AS BIGINT) AS n_chars,
+       CAST(sum(length(coalesce(text, ''))) // 4 AS BIGINT) AS est_tokens
+FROM conversations GROUP BY conv_id
+""")
+def token_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "conversations")
+    return c.groupBy("conv_id").agg(F.count("*").alias("n_messages"),
+                                    F.sum(F.length(F.coalesce("text", F.lit("")))).cast("bigint").alias("n_chars"),
+                                    US.token_estimate(F.col("text")).alias("est_tokens"))
+
+
+_CALLS_SQL = ("calls AS (SELECT user_id AS caller, ts, event_id AS call_id, CAST(props ->> '$.k' AS BIGINT) AS prompt_tokens, "
+              "CAST(trunc(value) AS BIGINT) AS completion_tokens FROM events)")
+
+
+@register("token_cost", f"""
+WITH {_CALLS_SQL}
+SELECT caller, count(*) AS requests, sum(prompt_tokens) AS prompt_tokens, sum(completion_tokens) AS completion_tokens,
+       sum(prompt_tokens + completion_tokens) AS total_tokens,
+       round(sum(prompt_tokens / 1000.0 * 0.03 + completion_tokens / 1000.0 * 0.06), 6) AS cost
+FROM calls GROUP BY caller
+""")
+def token_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls = US.calls_from_events(table(spark, sf_dir, "events"))
+    return US.usage_totals(calls, ["caller"])
+
+
+@register("rate_sessions", f"""
+WITH {_CALLS_SQL},
+c AS (SELECT *, prompt_tokens + completion_tokens AS tot,
+             lag(ts) OVER (PARTITION BY caller ORDER BY ts, call_id) AS prev FROM calls),
+s AS (SELECT *, prev IS NULL OR epoch_us(ts) - epoch_us(prev) > {RATE_GAP_SECONDS * 1_000_000} AS session_start FROM c),
+g AS (SELECT *, sum(CAST(session_start AS INTEGER)) OVER (PARTITION BY caller ORDER BY ts, call_id) AS sess FROM s),
+r AS (SELECT *, coalesce(sum(tot) OVER (PARTITION BY caller, sess ORDER BY ts, call_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS mt,
+             count(tot) OVER (PARTITION BY caller, sess ORDER BY ts, call_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mr,
+             coalesce(sum(tot) OVER (PARTITION BY caller ORDER BY ts, call_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS tu
+      FROM g)
+SELECT caller, call_id, session_start, CAST(mt AS BIGINT) AS minute_tokens, CAST(mr AS BIGINT) AS minute_requests,
+       CAST(tu AS BIGINT) AS tokens_used, mt >= {RATE_TPM} AS tpm_blocked, mr >= {RATE_RPM} AS rpm_blocked,
+       tu >= {RATE_TPD} AS tpd_blocked, prompt_tokens + mt > {RATE_TPM} AS must_wait
+FROM r
+""")
+def rate_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls = US.calls_from_events(table(spark, sf_dir, "events"))
+    r = US.rate_windows(calls, RATE_GAP_SECONDS, RATE_TPM, RATE_RPM, RATE_TPD, chunk_seconds=86400)
+    return r.drop("ts")
+
+
+# --- A8, A9, F8, F10: URL accessibility --------------------------------------
+
+from sitelens.operators import fetchlog as FL  # noqa: E402
+
+_STATUS_CTE = f"""n AS (SELECT count(*) AS n FROM pages),
+log AS (SELECT p.url, e.ts, e.event_id, CASE WHEN e.event_type = 'error' THEN 500 ELSE 200 END AS status
+        FROM events e, n JOIN pages p ON p.page_id = e.user_id % n.n),
+att AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY ts, event_id) AS attempt FROM log),
+st AS (SELECT url, min(attempt) FILTER (WHERE status = 200) AS ok_at, count(*) AS n_attempts FROM att WHERE attempt <= 3 GROUP BY url),
+status AS (SELECT p.url, st.ok_at IS NOT NULL AS accessible, CAST(coalesce(st.ok_at, st.n_attempts, 0) AS INTEGER) AS attempts_used,
+                  regexp_matches(p.url, {S.q(FL.WELL_FORMED_RE)}) AS well_formed
+           FROM (SELECT DISTINCT url FROM pages) p LEFT JOIN st ON st.url = p.url)"""
+
+
+def _status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "pages").select("page_id", "url")
+    log = FL.fetch_log_from_events(table(spark, sf_dir, "events"), p)
+    return FL.url_status(log, p)
+
+
+@register("url_status", f"WITH {_STATUS_CTE} SELECT * FROM status")
+def url_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _status(spark, sf_dir)
+
+
+@register("accessible_pages", f"""WITH {_STATUS_CTE}, {S.pages_cte()}
+SELECT entity, count(*) AS n_urls, CAST(count_if(accessible) AS BIGINT) AS n_accessible
+FROM pg JOIN status USING (url) GROUP BY entity""")
+def accessible_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    st = _status(spark, sf_dir)
+    p = read_pages(spark, sf_dir).select("entity", "url")
+    return p.join(st, "url").groupBy("entity").agg(F.count("*").alias("n_urls"),
+                                                    F.count_if("accessible").alias("n_accessible"))
