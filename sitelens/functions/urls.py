@@ -60,6 +60,8 @@ def resolve(base: Column, href: Column) -> Column:
     inner = F.filter(F.slice(rel, 2, F.greatest(n - 2, F.lit(0))), lambda s: s != "")
     rel = F.when(n > 2, F.concat(F.slice(rel, 1, 1), inner, F.slice(rel, n, 1))).otherwise(rel)
     path = F.when(h_path.startswith("/"), _resolve_path(rooted)).otherwise(_resolve_path(rel))
+    # urlunparse roots the path whenever there is an authority
+    path = F.when(has_auth & ~path.startswith("/"), F.concat(F.lit("/"), path)).otherwise(path)
     query_after_path = F.when(h_query != "", h_query).otherwise(F.lit(""))
     merged = F.concat(prefix, path, query_after_path, h_frag)
 

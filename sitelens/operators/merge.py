@@ -139,3 +139,63 @@ def fold_reference(fragments: list[dict]) -> dict:
         if frag:
             merge(out, frag)
     return out
+
+
+def _decode(kind: str, value):
+    import json
+    if kind == "string":
+        return value
+    if kind == "object":
+        return {}
+    if kind == "array":
+        return []
+    if value is None:
+        return None
+    return json.loads(value)
+
+
+def _decode_item(kind: str, value):
+    import json
+    if kind == "string":
+        return value
+    return None if value is None else json.loads(value)
+
+
+def assemble(nodes: list[tuple], items: list[tuple]) -> dict:
+    """Nested record from merged nodes (path, kind, value) and items
+    (path, seq, idx, kind, value) of one site."""
+    out: dict = {}
+    for path, kind, value in sorted(nodes, key=lambda r: len(r[0])):
+        cur = out
+        for k in path[:-1]:
+            cur = cur[k]
+        cur[path[-1]] = _decode(kind, value)
+    for path, _seq, _idx, kind, value in sorted(items, key=lambda r: (r[1], r[2])):
+        cur = out
+        for k in path[:-1]:
+            cur = cur[k]
+        cur[path[-1]].append(_decode_item(kind, value))
+    return out
+
+
+def records_json(merged: DataFrame, items: DataFrame) -> DataFrame:
+    """One JSON record per site, wrapped as institutions/programs (the record
+    sink's shape).  Assembly needs the whole record, which is the output unit;
+    everything before it is distributed."""
+    import json
+    import pandas as pd
+
+    tagged = merged.select("entity", "path", F.lit(None).cast("bigint").alias("seq"),
+                           F.lit(None).cast("int").alias("idx"), "kind", "value", F.lit(0).alias("is_item")).unionByName(
+        items.select("entity", "path", F.col("seq").cast("bigint"), F.col("idx").cast("int"), "kind", "value",
+                     F.lit(1).alias("is_item")))
+
+    def build(pdf: pd.DataFrame) -> pd.DataFrame:
+        nodes = [(list(r.path), r.kind, r.value) for r in pdf[pdf.is_item == 0].itertuples()]
+        its = [(list(r.path), r.seq, r.idx, r.kind, r.value) for r in pdf[pdf.is_item == 1].itertuples()]
+        rec = assemble(nodes, its)
+        entity = pdf.entity.iloc[0]
+        doc = {"institutions": [{"institution_name": entity, "programs": [rec]}]}
+        return pd.DataFrame({"entity": [entity], "json": [json.dumps(doc, ensure_ascii=False)]})
+
+    return tagged.groupBy("entity").applyInPandas(build, "entity string, json string")
