@@ -563,3 +563,24 @@ def accessible_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_pages(spark, sf_dir).select("entity", "url")
     return p.join(st, "url").groupBy("entity").agg(F.count("*").alias("n_urls"),
                                                     F.count_if("accessible").alias("n_accessible"))
+
+
+# --- P2, P3, P9, P10, P17: selector main content and prompt payloads ----------
+
+from sitelens.operators import content as CT  # noqa: E402
+
+
+@register("main_content")  # no SQL twin: DOM selectors; golden fixtures in tests/test_content.py
+def main_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = CT.main_content(read_pages(spark, sf_dir))
+    return out.select("entity", "page_id", "title", "content", "dom_content",
+                      F.length("content").alias("content_chars"))
+
+
+@register("prompt_payloads")  # no SQL twin: JSON text formatting differs between engines
+def prompt_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = read_pages(spark, sf_dir)
+    mc = CT.main_content(p).select("page_id", "content")
+    pages_c = p.join(mc, "page_id")
+    lk = LK.extract_links(p)
+    return RC.prompt_payloads(pages_c, lk, list(SECTIONS), prefix=None)
