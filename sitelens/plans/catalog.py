@@ -584,3 +584,39 @@ def prompt_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages_c = p.join(mc, "page_id")
     lk = LK.extract_links(p)
     return RC.prompt_payloads(pages_c, lk, list(SECTIONS), prefix=None)
+
+
+# --- T1-T3: streaming forms (run to completion with availableNow) ------------
+
+import os  # noqa: E402
+
+from sitelens.streaming import streams as ST  # noqa: E402
+
+STREAM_GAP_SECONDS = 4 * 3600
+
+
+@register("stream_new_urls", f"WITH {S.links_cte().strip()} SELECT DISTINCT entity, url FROM links")
+def stream_new_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ST.run_new_urls(spark, os.path.join(sf_dir, "pages.parquet")).select("entity", "url")
+
+
+@register("stream_usage_sessions", f"""
+WITH {_CALLS_SQL},
+c AS (SELECT *, prompt_tokens + completion_tokens AS tot, lag(ts) OVER (PARTITION BY caller ORDER BY ts, call_id) AS prev FROM calls),
+g AS (SELECT *, sum(CAST(prev IS NULL OR epoch_us(ts) - epoch_us(prev) >= {STREAM_GAP_SECONDS * 1_000_000} AS INTEGER))
+             OVER (PARTITION BY caller ORDER BY ts, call_id) AS sess FROM c)
+SELECT caller, min(ts) AS session_start, max(ts) + INTERVAL {STREAM_GAP_SECONDS} SECOND AS session_end,
+       count(*) AS n_calls, sum(tot) AS tokens FROM g GROUP BY caller, sess
+-- append mode emits a session once the watermark (max event time - 5 minutes) passes its end
+HAVING max(ts) + INTERVAL {STREAM_GAP_SECONDS} SECOND <= (SELECT max(ts) FROM events) - INTERVAL 5 MINUTE
+""")
+def stream_usage_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ST.run_usage_sessions(spark, os.path.join(sf_dir, "events.parquet"), f"{STREAM_GAP_SECONDS} seconds")
+    return out.select("caller", F.col("session_start").cast("timestamp_ntz").alias("session_start"),
+                      F.col("session_end").cast("timestamp_ntz").alias("session_end"), "n_calls", "tokens")
+
+
+@register("stream_page_sections", f"WITH {_PAGE_SECTIONS_CTE} SELECT * FROM ps")
+def stream_page_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ST.run_page_sections(spark, os.path.join(sf_dir, "pages.parquet"), SECTIONS, H.region_text)
+    return out.select("entity", "page_id", "section", "section_ord", "hits", "confidence")
