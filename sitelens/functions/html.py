@@ -57,20 +57,23 @@ def attr_value(attrs: Column, name: str) -> Column:
                              F.regexp_extract(attrs, pat, 3)))
 
 
-def anchors(html: Column, page_url: Column | None = None) -> Column:
+def anchors(html: Column, page_url: Column | None = None, base: Column | None = None) -> Column:
     """array<struct<href, url, text, title>> of ``a[href]`` in document order.
 
     One regex pass over the page finds the anchors; every per-anchor field is
     computed once inside the array, so later filters read plain struct fields
-    instead of re-evaluating the extraction chain."""
+    instead of re-evaluating the extraction chain.  ``base`` may carry
+    pre-computed ``urls.base_parts`` of the page URL."""
     from sitelens.functions import urls
     found = F.regexp_extract_all(strip_noise(html), F.lit(ANCHOR_RE), 0)
     found = F.filter(found, lambda m: F.regexp_extract(m, ANCHOR_RE, 1).rlike(HREF_PRESENT_RE))
+    if base is None and page_url is not None:
+        base = urls.base_parts(page_url)
 
     def fields(m):
         attrs = F.regexp_extract(m, ANCHOR_RE, 1)
         href = attr_value(attrs, "href")
-        url = urls.resolve(page_url, href) if page_url is not None else href
+        url = urls.resolve_with(base, href) if base is not None else href
         return F.struct(href.alias("href"), url.alias("url"),
                         F.lower(node_text(F.regexp_extract(m, ANCHOR_RE, 2))).alias("text"),
                         attr_value(attrs, "title").alias("title"))

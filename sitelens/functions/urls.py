@@ -42,41 +42,58 @@ def _resolve_path(segments: Column) -> Column:
     return F.when(joined == "", F.lit("/")).otherwise(joined)
 
 
-def resolve(base: Column, href: Column) -> Column:
-    b_scheme, b_auth, b_path, b_query = _part(base, 1), _part(base, 2), _part(base, 3), _part(base, 4)
-    h_path, h_query, h_frag = _part(href, 3), _part(href, 4), _part(href, 5)
+def base_parts(base: Column) -> Column:
+    """Per-page pieces of the base URL, computed once per page and shared by
+    all of its links."""
     has_auth = base.rlike("^[A-Za-z][A-Za-z0-9+.-]*://")
-    prefix = F.when(has_auth, F.concat(b_scheme, F.lit("://"), b_auth)).otherwise(F.concat(b_scheme, F.lit(":")))
-    base_no_frag = F.regexp_replace(base, "#.*$", "")
-    base_no_query = F.regexp_replace(base, "[?#].*$", "")
-
-    # path reference: rooted paths are split as they are; relative ones are
-    # appended to the base directory with empty inner segments dropped.
-    rooted = F.split(h_path, "/")
+    b_scheme, b_auth, b_path = _part(base, 1), _part(base, 2), _part(base, 3)
     base_dir = F.split(b_path, "/")
     base_dir = F.when(F.element_at(base_dir, -1) != "", F.slice(base_dir, 1, F.size(base_dir) - 1)).otherwise(base_dir)
-    rel = F.concat(base_dir, F.split(h_path, "/"))
+    return F.struct(
+        base.alias("base"), has_auth.alias("has_auth"), b_scheme.alias("scheme"),
+        F.when(has_auth, F.concat(b_scheme, F.lit("://"), b_auth)).otherwise(F.concat(b_scheme, F.lit(":"))).alias("prefix"),
+        F.regexp_replace(base, "#.*$", "").alias("no_frag"),
+        F.regexp_replace(base, "[?#].*$", "").alias("no_query"),
+        base_dir.alias("dir"))
+
+
+DOT_SEGMENT_RE = "^[^?#]*(^|/)\\.\\.?(/|[?#]|$)"
+
+
+def resolve_with(bp: Column, href: Column) -> Column:
+    """``urljoin`` given ``base_parts``.  Rooted references without dot
+    segments (the common case) take a plain concatenation; only the rest go
+    through segment merging."""
+    base = bp["base"]
+    h_path, h_query, h_frag = _part(href, 3), _part(href, 4), _part(href, 5)
+    rooted = F.split(h_path, "/")
+    rel = F.concat(bp["dir"], F.split(h_path, "/"))
     n = F.size(rel)
     inner = F.filter(F.slice(rel, 2, F.greatest(n - 2, F.lit(0))), lambda s: s != "")
     rel = F.when(n > 2, F.concat(F.slice(rel, 1, 1), inner, F.slice(rel, n, 1))).otherwise(rel)
     path = F.when(h_path.startswith("/"), _resolve_path(rooted)).otherwise(_resolve_path(rel))
     # urlunparse roots the path whenever there is an authority
-    path = F.when(has_auth & ~path.startswith("/"), F.concat(F.lit("/"), path)).otherwise(path)
-    query_after_path = F.when(h_query != "", h_query).otherwise(F.lit(""))
-    merged = F.concat(prefix, path, query_after_path, h_frag)
+    path = F.when(bp["has_auth"] & ~path.startswith("/"), F.concat(F.lit("/"), path)).otherwise(path)
+    merged = F.concat(bp["prefix"], path, h_query, h_frag)
 
     return (
         F.when(href.isNull(), F.lit(None))
+        .when(href.startswith("/") & ~href.startswith("//") & ~href.rlike(DOT_SEGMENT_RE),
+              F.concat(bp["prefix"], href))
         .when(href.rlike(SCHEME_RE), href)
-        .when(href.startswith("//"), F.concat(b_scheme, F.lit(":"), href))
+        .when(href.startswith("//"), F.concat(bp["scheme"], F.lit(":"), href))
         .when(href == "", base)
-        .when(href.startswith("#"), F.concat(base_no_frag, href))
-        .when(href.startswith("?"), F.concat(base_no_query, href))
-        .when((h_path == "") & (h_query != ""), F.concat(base_no_query, href))
+        .when(href.startswith("#"), F.concat(bp["no_frag"], href))
+        .when(href.startswith("?"), F.concat(bp["no_query"], href))
+        .when((h_path == "") & (h_query != ""), F.concat(bp["no_query"], href))
         .otherwise(merged)
     )
 
 
+def resolve(base: Column, href: Column) -> Column:
+    return resolve_with(base_parts(base), href)
+
+
 def is_document(url: Column, extensions: list[str]) -> Column:
     """Lower-cased URL contains one of the extensions (substring test)."""
     from sitelens.functions.text import any_contains

@@ -38,6 +38,8 @@ def crawl(seeds: DataFrame, edges: DataFrame, max_rounds: int = 50,
         edges = edges.withColumn("priority", F.lit("high"))
     links = edges.select("src", "dst", "priority").distinct().repartition(n, "src").checkpoint()
 
+    if page_sections is not None and required:
+        page_sections = page_sections.select("url", "section").distinct().checkpoint()
     visited = (seeds.select("entity", "url").distinct()
                .withColumn("depth", F.lit(0)).withColumn("priority", F.lit("high"))
                .repartition(n, "entity", "url").checkpoint())

@@ -16,9 +16,10 @@ def extract_links(pages: DataFrame) -> DataFrame:
     Output: entity, page_id, page_seq, link_seq (0-based among a[href] of the
     page), href, url (resolved against the page URL), text (stripped,
     lower-cased), title (attribute or '')."""
-    exploded = pages.select(
+    based = pages.select("entity", "page_id", "page_seq", "html", urls.base_parts(F.col("url")).alias("_base"))
+    exploded = based.select(
         "entity", "page_id", "page_seq",
-        F.posexplode(html.anchors(F.col("html"), F.col("url"))).alias("link_seq", "a"))
+        F.posexplode(html.anchors(F.col("html"), base=F.col("_base"))).alias("link_seq", "a"))
     return exploded.select("entity", "page_id", "page_seq", "link_seq",
                            "a.href", "a.url", "a.text", "a.title")
 

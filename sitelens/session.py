@@ -32,6 +32,8 @@ def build_session(master: str | None = None, app: str = "sitelens",
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if master and master.startswith("local"):
+        conf.setdefault("spark.driver.memory", "12g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -39,10 +41,37 @@ def build_session(master: str | None = None, app: str = "sitelens",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    prepare(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``sitelens`` importable in executors' Python workers (UDTFs,
+    ``mapInPandas`` helpers) by shipping it as a zip once per context."""
+    sc = spark.sparkContext
+    if getattr(sc, "_sitelens_shipped", False):
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    fd, path = tempfile.mkstemp(prefix="sitelens-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    sc._sitelens_shipped = True
+
+
+def prepare(spark: SparkSession) -> str:
+    """Checkpoint folder + shipped package: call once before running jobs."""
+    ship_package(spark)
+    return ensure_checkpoint_dir(spark)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, creating a private one only
     when the cluster did not name one."""
