@@ -70,12 +70,17 @@ def parse_object(s):
                  "items array<struct<kind:string,value:string,canon:string>>", useArrow=True)
 class JsonNodes:
     """Every node reachable from the root object through object keys, with
-    its key path.  Arrays are atomic (their items are listed, not walked)."""
+    its key path.  Arrays are atomic (their items are listed, not walked).
+    Top-level ``fill_keys`` absent from the document are emitted as empty
+    objects (the schema default every fragment receives)."""
 
-    def eval(self, doc_json: str):
+    def eval(self, doc_json: str, fill_keys: list | None = None):
         doc = parse_object(doc_json)
         if doc is None:
             return
+        for k in fill_keys or []:
+            if k not in doc:
+                yield [k], 1, "object", None, False, None
         stack = [([k], v) for k, v in reversed(list(doc.items()))]
         while stack:
             path, v = stack.pop()

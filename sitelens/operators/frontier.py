@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitelens.session import ensure_checkpoint_dir
+from sitelens.session import cut_lineage, ensure_checkpoint_dir
 
 
 def crawl(seeds: DataFrame, edges: DataFrame, max_rounds: int = 50,
@@ -36,13 +36,13 @@ def crawl(seeds: DataFrame, edges: DataFrame, max_rounds: int = 50,
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if "priority" not in edges.columns:
         edges = edges.withColumn("priority", F.lit("high"))
-    links = edges.select("src", "dst", "priority").distinct().repartition(n, "src").checkpoint()
+    links = cut_lineage(edges.select("src", "dst", "priority").distinct().repartition(n, "src"))
 
     if page_sections is not None and required:
-        page_sections = page_sections.select("url", "section").distinct().checkpoint()
-    visited = (seeds.select("entity", "url").distinct()
-               .withColumn("depth", F.lit(0)).withColumn("priority", F.lit("high"))
-               .repartition(n, "entity", "url").checkpoint())
+        page_sections = cut_lineage(page_sections.select("url", "section").distinct())
+    visited = cut_lineage(seeds.select("entity", "url").distinct()
+                          .withColumn("depth", F.lit(0)).withColumn("priority", F.lit("high"))
+                          .repartition(n, "entity", "url"))
     frontier = visited
     pieces = [visited]
     done_sites = None
@@ -60,11 +60,11 @@ def crawl(seeds: DataFrame, edges: DataFrame, max_rounds: int = 50,
                 .groupBy("entity", F.col("dst").alias("url"))
                 .agg(F.min(F.when(F.col("priority") == "high", 0)
                            .when(F.col("priority") == "medium", 1).otherwise(2)).alias("p")))
-        fresh = (step.join(_union(pieces), ["entity", "url"], "left_anti")
-                 .select("entity", "url", F.lit(r).alias("depth"),
-                         F.element_at(F.array(F.lit("high"), F.lit("medium"), F.lit("low")), F.col("p") + 1)
-                         .alias("priority"))
-                 .repartition(n, "entity", "url").checkpoint())
+        fresh = cut_lineage(step.join(_union(pieces), ["entity", "url"], "left_anti")
+                            .select("entity", "url", F.lit(r).alias("depth"),
+                                    F.element_at(F.array(F.lit("high"), F.lit("medium"), F.lit("low")),
+                                                 F.col("p") + 1).alias("priority"))
+                            .repartition(n, "entity", "url"))
         if fresh.isEmpty():
             break
         pieces.append(fresh)

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.functions.jsonpaths import JsonNodes
+from sitelens.session import cut_lineage
 
 
 def fragment_nodes(fragments: DataFrame, schema_keys: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
@@ -43,17 +44,8 @@ def fragment_nodes(fragments: DataFrame, schema_keys: list[str] | None = None) -
         F.when(F.col("_v").isNull(), F.lit("invalid JSON")).otherwise(F.lit("not an object")).alias("reason"),
         F.substring("json", 1, 100).alias("context"))
     good = parsed.where(is_obj).select("entity", "seq", "json")
-    nodes = good.lateralJoin(JsonNodes(F.col("json").outer())).drop("json")
-    if schema_keys:
-        spark = fragments.sparkSession
-        keys = spark.createDataFrame([([k],) for k in schema_keys], "path array<string>")
-        fill = (good.select("entity", "seq").crossJoin(F.broadcast(keys))   # schema: bounded literal
-                .join(nodes.where(F.col("depth") == 1).select("entity", "seq", "path"),
-                      ["entity", "seq", "path"], "left_anti")
-                .select("entity", "seq", "path", F.lit(1).alias("depth"), F.lit("object").alias("kind"),
-                        F.lit(None).cast("string").alias("value"), F.lit(False).alias("truthy"),
-                        F.lit(None).cast("array<struct<kind:string,value:string,canon:string>>").alias("items")))
-        nodes = nodes.unionByName(fill)
+    keys = F.array(*[F.lit(k) for k in (schema_keys or [])]).cast("array<string>")
+    nodes = good.lateralJoin(JsonNodes(F.col("json").outer(), keys)).drop("json")
     return nodes, errors
 
 
@@ -99,8 +91,12 @@ def merge_nodes(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return merged, items
 
 
-def merge_fragments(fragments: DataFrame, schema_keys: list[str] | None = None):
+def merge_fragments(fragments: DataFrame, schema_keys: list[str] | None = None, materialize: bool = True):
+    """Flatten once (materialised with a reliable checkpoint, since the node
+    table feeds three branches of the merge), then merge."""
     nodes, errors = fragment_nodes(fragments, schema_keys)
+    if materialize:
+        nodes = cut_lineage(nodes)
     merged, items = merge_nodes(nodes)
     return merged, items, errors
 

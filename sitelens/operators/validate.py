@@ -37,24 +37,40 @@ def pair_leaves_with_pages(leaves: DataFrame, pages: DataFrame, buckets: int = 6
     return lv.join(salted, ["entity", "_salt"]).drop("_salt")
 
 
-def check_fields(pairs: DataFrame, run_ts: str | None = None) -> DataFrame:
-    """Per (leaf, page): is_valid, source_text, notes (first rule wins)."""
+def prepare_leaves(leaves: DataFrame) -> DataFrame:
+    """Per-leaf work done once, before pairing: skip flag, normalised value,
+    its words and word count."""
     v = F.col("value")
-    skip = (F.col("kind") != "string") | (v == vocab.NOT_PUBLISHED)
     cv = normalise(v)
+    return leaves.select(
+        "*", ((F.col("kind") != "string") | (v == vocab.NOT_PUBLISHED) | v.isNull()).alias("skip"),
+        cv.alias("cv")).select(
+        "*", F.split(F.col("cv"), " ").alias("words"),
+        F.when(F.col("cv") == "", F.lit(0)).otherwise(F.size(F.split(F.col("cv"), " "))).alias("n_words"))
+
+
+def check_fields(pairs: DataFrame, run_ts: str | None = None) -> DataFrame:
+    """Per (leaf, page): is_valid, source_text, notes (first rule wins).
+    ``exact`` and ``matched`` are computed once per pair; the word scan runs
+    only for pairs that are neither skipped nor exact."""
     cc = F.col("content_norm")
-    words = F.split(cv, " ")
-    n_words = F.when(cv == "", F.lit(0)).otherwise(F.size(words))
-    matched = F.size(F.filter(words, lambda w: cc.contains(w)))
-    fuzzy_ok = matched >= n_words * F.lit(vocab.FUZZY_SHARE)
-    exact = cc.contains(cv)
-    is_valid = F.when(skip, True).when(exact, True).otherwise(fuzzy_ok)
-    source = F.when(skip, "").when(exact, cv).when(fuzzy_ok, cv).otherwise("")
-    notes = (F.when(skip, SKIPPED).when(exact, EXACT)
-             .when(fuzzy_ok, F.format_string("Fuzzy match (%d/%d words)", matched, n_words))
+    step = pairs.select(
+        "entity", "field_path", "ord", "url", "page_seq", "skip", "cv", "n_words",
+        (~F.col("skip") & cc.contains(F.col("cv"))).alias("exact"), "words", "content_norm")
+    step = step.select(
+        "entity", "field_path", "ord", "url", "page_seq", "skip", "cv", "n_words", "exact",
+        # a one-word value that is not an exact match has no matching word
+        F.when(F.col("skip") | F.col("exact"), F.lit(None))
+        .when(F.col("n_words") <= 1, F.lit(0))
+        .otherwise(F.size(F.filter("words", lambda w: cc.contains(w)))).alias("matched"))
+    fuzzy_ok = F.col("matched") >= F.col("n_words") * F.lit(vocab.FUZZY_SHARE)
+    is_valid = F.when(F.col("skip") | F.col("exact"), True).otherwise(fuzzy_ok)
+    source = F.when(F.col("skip"), "").when(F.col("exact") | fuzzy_ok, F.col("cv")).otherwise("")
+    notes = (F.when(F.col("skip"), SKIPPED).when(F.col("exact"), EXACT)
+             .when(fuzzy_ok, F.format_string("Fuzzy match (%d/%d words)", F.col("matched"), F.col("n_words")))
              .otherwise(NO_MATCH))
-    out = pairs.select("entity", "field_path", "ord", "url", "page_seq", is_valid.alias("is_valid"),
-                       source.alias("source_text"), notes.alias("notes"))
+    out = step.select("entity", "field_path", "ord", "url", "page_seq", is_valid.alias("is_valid"),
+                      source.alias("source_text"), notes.alias("notes"))
     if run_ts:
         out = out.withColumn("validation_date", F.to_timestamp(F.lit(run_ts)))
     return out
@@ -64,7 +80,7 @@ def validate_fields(leaves: DataFrame, pages: DataFrame, buckets: int = 64,
                     run_ts: str | None = None) -> DataFrame:
     """pages(entity, url, page_seq, text): text is the page's plain text."""
     pg = pages.select("entity", "url", "page_seq", normalise(F.col("text")).alias("content_norm"))
-    return check_fields(pair_leaves_with_pages(leaves, pg, buckets), run_ts)
+    return check_fields(pair_leaves_with_pages(prepare_leaves(leaves), pg, buckets), run_ts)
 
 
 def summary(results: DataFrame, keys: list[str]) -> DataFrame:

@@ -158,7 +158,8 @@ SELECT entity, page_id AS doc_id, section, section_ord, hits, confidence FROM ds
 """)
 def document_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sitelens.sources.tables import table
-    d = table(spark, sf_dir, "documents").select(F.col("source").alias("entity"),
+    from sitelens.sources.tables import spread
+    d = spread(table(spark, sf_dir, "documents"), "doc_id").select(F.col("source").alias("entity"),
                                                   F.col("doc_id").alias("page_id"), F.col("text"))
     out = SC.page_sections(d, content="text", sections=SECTIONS)
     return out.withColumnRenamed("page_id", "doc_id")

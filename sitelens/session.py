@@ -86,6 +86,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def cut_lineage(df):
+    """Reliable checkpoint computed once: persist, checkpoint (its writing job
+    then reads the persisted blocks instead of recomputing the plan), drop the
+    persisted copy.  The result reads from the checkpoint folder, keeps the
+    input's partitioning, and survives the loss of any executor."""
+    from pyspark import StorageLevel
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        out = df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
+    return out
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the checkpoint folder for written tables
     (per-round frontier state, stream sinks and their checkpoints)."""

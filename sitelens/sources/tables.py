@@ -18,12 +18,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Per-row CPU-heavy inputs (HTML, long texts) need at least one split
+    per core.  Large inputs already scan in many splits and are left alone; a
+    small file with one row group would otherwise run in a single task, so it
+    is hash-spread on its key.  The split count is known at plan time."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want, key)
+    return df
+
+
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fetched pages with the site key (``entity``) and a stable page order.
 
     The entity is the URL authority (``urlparse().netloc``); page order is the
     page id, which stands for the order pages entered the crawl result."""
-    df = table(spark, sf_dir, "pages")
+    df = spread(table(spark, sf_dir, "pages"), "page_id")
     return df.select("page_id", "url", "html",
                      authority(F.col("url")).alias("entity"),
                      F.col("page_id").alias("page_seq"))
