@@ -621,3 +621,72 @@ def stream_usage_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_page_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = ST.run_page_sections(spark, os.path.join(sf_dir, "pages.parquet"), SECTIONS, H.region_text)
     return out.select("entity", "page_id", "section", "section_ord", "hits", "confidence")
+
+
+# --- I1 end to end: crawl over the corpus's own links -------------------------
+
+@register("site_crawl", f"""
+WITH RECURSIVE {S.links_cte().strip()}, {S.pages_cte()},
+ct AS (SELECT entity, page_id, url, {S.region_text('html')} AS content FROM pg),
+emitted AS (SELECT l.page_id, l.url AS dst FROM links l
+            WHERE starts_with(l.url, 'http') AND {S.authority('l.url')} = l.entity
+              AND NOT {S.any_contains('lower(l.url)', vocab.CRAWL_DOC_EXTENSIONS)}
+              AND ({S.any_contains('l.text', KEEP)} OR {S.any_contains('lower(l.url)', KEEP)})
+              AND trim(l.text) <> ''
+              AND ({' OR '.join(S.any_contains('lower(l.text)', kws) for kws in SECTIONS.values())})),
+edges AS (SELECT DISTINCT p.url AS src, e.dst FROM emitted e JOIN pg p ON p.page_id = e.page_id),
+seeds AS (SELECT entity, arg_min(url, page_id) AS url FROM pg GROUP BY entity),
+rr(entity, url, depth) AS (
+  SELECT entity, url, 0 FROM seeds
+  UNION
+  SELECT rr.entity, e.dst, rr.depth + 1 FROM rr JOIN edges e ON e.src = rr.url WHERE rr.depth < {MAX_ROUNDS})
+SELECT entity, url, CAST(min(depth) AS INTEGER) AS depth FROM rr GROUP BY entity, url
+""")
+def site_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sitelens.plans import sitejob as J
+    crawl = J.crawl_sites(read_pages(spark, sf_dir), sections=SECTIONS, link_keywords=KEEP,
+                          max_rounds=MAX_ROUNDS, coverage_stop=False, content_profile="region")
+    return crawl.visited.select("entity", "url", F.col("depth").cast("int").alias("depth"))
+
+
+# --- A17: duplicate content (exact copies after normalisation) ----------------
+
+from sitelens.operators import dedup as DD  # noqa: E402
+
+_DOC_HASH = f"sha256({S.squash_ws('lower(text)')})"
+
+
+@register("duplicate_content", f"""
+SELECT {_DOC_HASH} AS content_hash, count(*) AS n_copies, min(doc_id) AS keep_doc_id
+FROM documents GROUP BY {_DOC_HASH} HAVING count(*) > 1
+""")
+def duplicate_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return DD.duplicate_groups(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@register("distinct_documents", f"""
+SELECT d.doc_id, g.content_hash FROM documents d JOIN (
+  SELECT {_DOC_HASH} AS content_hash, min(doc_id) AS keep_doc_id FROM documents GROUP BY {_DOC_HASH}) g
+ON g.keep_doc_id = d.doc_id
+""")
+def distinct_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return DD.keep_first(table(spark, sf_dir, "documents"), "doc_id", "text").select("doc_id", "content_hash")
+
+
+@register("schema_issues_full", f"""WITH {_MERGE_CTE},
+sp(path, kind, ord) AS (VALUES {_SCHEMA_VALUES}),
+dn AS (SELECT entity, path, kind AS data_kind FROM merged WHERE node_type = 'node'),
+j AS (SELECT e.entity, sp.path, sp.kind, CAST(sp.ord AS INTEGER) AS ord, dn.data_kind
+      FROM (SELECT DISTINCT entity FROM dn) e CROSS JOIN sp LEFT JOIN dn ON dn.entity = e.entity AND dn.path = sp.path),
+raw AS (SELECT entity, path, ord, CASE WHEN data_kind IS NULL THEN 'Missing required field: ' || path
+                                       WHEN kind = 'object' THEN 'Type mismatch at ' || path || ': expected dict'
+                                       ELSE 'Type mismatch at ' || path || ': expected ' || kind END AS issue
+        FROM j WHERE data_kind IS NULL OR (kind = 'object' AND data_kind <> 'object')
+                  OR (kind <> 'object' AND data_kind <> kind AND data_kind <> 'null'))
+SELECT entity, path, ord, issue FROM raw r
+WHERE NOT EXISTS (SELECT 1 FROM raw a WHERE a.entity = r.entity AND starts_with(r.path, a.path || '.'))""")
+def schema_issues_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    merged, _, _ = _merged(spark, sf_dir)
+    sp = spark.createDataFrame(_schema_rows(), "path string, kind string, ord int")
+    dn = merged.select("entity", F.array_join("path", ".").alias("path"), "kind")
+    return VD.structure_issues(sp, dn, full_types=True).select("entity", "path", "ord", "issue")

@@ -42,11 +42,17 @@ class CrawlOutput:
 def crawl_sites(pages: DataFrame, base_urls: DataFrame | None = None,
                 sections: dict[str, list[str]] | None = None, link_keywords: list[str] | None = None,
                 max_rounds: int = 50, prefix: int | None = None, run_ts: str = "1970-01-01 00:00:00",
-                coverage_stop: bool = True) -> CrawlOutput:
-    """pages(entity, page_id, url, html) -> crawl results per site."""
+                coverage_stop: bool = True, content_profile: str = "crawl") -> CrawlOutput:
+    """pages(entity, page_id, url, html) -> crawl results per site.
+
+    ``content_profile``: 'crawl' (selector cascade, Python job) or 'region'
+    (native first main/article/body region)."""
     sections = vocab.SECTION_KEYWORDS if sections is None else sections
-    content = CT.main_content(pages)
-    pc = pages.join(content.select("page_id", "content"), "page_id")
+    if content_profile == "region":
+        pc = pages.withColumn("content", H.region_text(F.col("html")))
+    else:
+        content = CT.main_content(pages)
+        pc = pages.join(content.select("page_id", "content"), "page_id")
     links = LK.crawlable(LK.extract_links(pages), keywords=link_keywords)
     ps = SC.page_sections(pc, sections=sections, prefix=prefix)
     analysis = SC.analyze_pages(pc, sections=sections)
