@@ -25,16 +25,18 @@ FRAGMENT_SCHEMA = "entity string, seq bigint, source_url string, json string"
 LANG_RE = "(?is)<html\\b[^>]*\\slang\\s*=\\s*\"([^\"]*)\""
 
 
-def rule_fragments(pages: DataFrame) -> DataFrame:
-    """pages(entity, page_id, url, html) -> fragments(entity, seq, source_url, json):
-    {"title": .., "lang": .., "tags": [anchor texts], "stats": {"anchors": n}}."""
+def rule_fragments(pages: DataFrame, seq_col: str = "page_id") -> DataFrame:
+    """pages(entity, <seq_col>, url, html) -> fragments(entity, seq, source_url, json):
+    {"title": .., "lang": .., "tags": [anchor texts], "stats": {"anchors": n}}.
+    ``seq_col`` orders the fragments for the merge (ranked URL order in the
+    extraction stage)."""
     a = H.anchors(F.col("html"))
     tags = F.transform(a, lambda x: x["text"])
     doc = F.struct(F.coalesce(H.title(F.col("html")), F.lit("")).alias("title"),
                    F.regexp_extract("html", LANG_RE, 1).alias("lang"),
                    tags.alias("tags"),
                    F.struct(F.size(a).alias("anchors")).alias("stats"))
-    return pages.select("entity", F.col("page_id").alias("seq"), F.col("url").alias("source_url"),
+    return pages.select("entity", F.col(seq_col).cast("bigint").alias("seq"), F.col("url").alias("source_url"),
                         F.to_json(doc).alias("json"))
 
 
@@ -43,7 +45,8 @@ def extract_fragments(pages: DataFrame, extractor: ExtractorFn, content: str = "
     """Run a user extractor over (entity, seq, url, title, content) batches.
     ``concurrency`` bounds the number of simultaneous extractor tasks (the
     model's rate limit), in place of fixed batches of three pages."""
-    src = pages.select("entity", F.col("page_id").alias("seq"), "url",
+    seq = F.col("rank") if "rank" in pages.columns else F.col("page_id")
+    src = pages.select("entity", seq.cast("bigint").alias("seq"), "url",
                        H.title(F.col("html")).alias("title"), F.col(content).alias("content"))
     if concurrency:
         src = src.repartition(concurrency)

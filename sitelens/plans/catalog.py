@@ -366,11 +366,11 @@ def merged_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def record_leaves(merged: DataFrame, items: DataFrame) -> DataFrame:
     """Validation leaves of merged records: scalar nodes as 'a.b', array items
     as 'a.b[i]' in final order (object items are walked further)."""
-    from pyspark.sql import Window
     scal = merged.where(~F.col("kind").isin("object", "array")).select(
         "entity", F.array_join("path", ".").alias("field_path"), "kind", "value")
-    pos = F.row_number().over(Window.partitionBy("entity", "path").orderBy("seq", "idx")) - 1
-    it = items.select("entity", F.array_join("path", ".").alias("p"), pos.alias("pos"), "kind", "value")
+    from sitelens.operators.ordinals import ordinal_within
+    it = ordinal_within(items.select("entity", F.array_join("path", ".").alias("p"), "seq", "idx", "kind", "value"),
+                        ["entity", "p"], ["seq", "idx"])
     flat_items = it.where(F.col("kind") != "object").select(
         "entity", F.format_string("%s[%d]", "p", "pos").alias("field_path"), "kind", "value")
     obj_items = (it.where(F.col("kind") == "object")

@@ -86,7 +86,7 @@ def extract_records(ranked: DataFrame, pages: DataFrame, extractor=None, program
     todo = ranked.where(~RC.non_web(F.col("url"))).select("entity", "url", "rank")
     pg = pages.drop("entity").join(todo, "url")
     if extractor is None:
-        frags = RC.rule_fragments(pg)
+        frags = RC.rule_fragments(pg, seq_col="rank")
     else:
         content = CT.main_content(pg).select("page_id", F.col("dom_content").alias("content"))
         frags = RC.extract_fragments(pg.join(content, "page_id"), extractor)
