@@ -19,9 +19,12 @@ def ordinal_within(df: DataFrame, keys: list[str], order: list[str], name: str =
     ``order`` (a total order within the group)."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    from sitelens.session import cut_lineage
+    # split ids come from a sampled range partitioning: fix them once (both
+    # branches below must see the same assignment)
     r = df.repartitionByRange(n, *keys, *order).withColumn("_split", F.spark_partition_id())
     local = F.row_number().over(Window.partitionBy("_split", *keys).orderBy(*order)) - 1
-    r = r.withColumn("_local", local)
+    r = cut_lineage(r.withColumn("_local", local))
     counts = r.groupBy("_split", *keys).agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
