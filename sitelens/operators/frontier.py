@@ -26,7 +26,7 @@ from sitelens.session import cut_lineage, ensure_checkpoint_dir
 
 def crawl(seeds: DataFrame, edges: DataFrame, max_rounds: int = 50,
           page_sections: DataFrame | None = None, required: list[str] | None = None,
-          partitions: int | None = None) -> DataFrame:
+          partitions: int | None = None, buckets: int = 16) -> DataFrame:
     """seeds(entity, url), edges(src, dst[, priority]) -> visited(entity, url, depth, priority).
 
     ``page_sections(url, section)`` with ``required`` enables the per-site
@@ -36,7 +36,13 @@ def crawl(seeds: DataFrame, edges: DataFrame, max_rounds: int = 50,
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if "priority" not in edges.columns:
         edges = edges.withColumn("priority", F.lit("high"))
-    links = cut_lineage(edges.select("src", "dst", "priority").distinct().repartition(n, "src"))
+    # links keyed by (src, salt): a page with a huge link list spreads over
+    # ``buckets`` cells; the frontier reaches only the cells that exist for
+    # its source, so a small page costs at most one copy per link.
+    salted = (edges.select("src", "dst", "priority").distinct()
+              .withColumn("salt", F.pmod(F.hash("dst"), F.lit(buckets))))
+    links = cut_lineage(salted.repartition(n, "src", "salt"))
+    cells = cut_lineage(links.select("src", "salt").distinct().repartition(n, "src"))
 
     if page_sections is not None and required:
         page_sections = cut_lineage(page_sections.select("url", "section").distinct())
@@ -56,7 +62,8 @@ def crawl(seeds: DataFrame, edges: DataFrame, max_rounds: int = 50,
             done_sites = found.where(F.size(F.array_except(need, F.col("found"))) == 0).select("entity")
             active = frontier.join(done_sites, "entity", "left_anti")
         step = (active.select("entity", F.col("url").alias("src"))
-                .join(links, "src")
+                .join(cells, "src")
+                .join(links, ["src", "salt"])
                 .groupBy("entity", F.col("dst").alias("url"))
                 .agg(F.min(F.when(F.col("priority") == "high", 0)
                            .when(F.col("priority") == "medium", 1).otherwise(2)).alias("p")))

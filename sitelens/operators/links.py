@@ -57,7 +57,7 @@ def first_per_url(links: DataFrame) -> DataFrame:
 
 
 def rank_links(links: DataFrame, keep: list[str] | None = None, skip: list[str] | None = None,
-               top: int = vocab.TOP_LINKS) -> DataFrame:
+               top: int = vocab.TOP_LINKS, min_score: int | None = None) -> DataFrame:
     """Filter, de-duplicate, score and keep the top links per site.
 
     Score = number of keep-list entries in the lower-cased text.  Ties keep
@@ -68,6 +68,8 @@ def rank_links(links: DataFrame, keep: list[str] | None = None, skip: list[str]
     skip = vocab.RANK_SKIP_KEYWORDS if skip is None else skip
     firsts = first_per_url(qualify(links, keep, skip))
     scored = firsts.withColumn("relevance_score", count_contains(F.lower(F.col("text")), keep))
+    if min_score is not None:   # threshold on relevance (optional)
+        scored = scored.where(F.col("relevance_score") >= min_score)
     w = Window.partitionBy("entity").orderBy(F.desc("relevance_score"), "page_seq", "link_seq")
     return (scored.withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= top)

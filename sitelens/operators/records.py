@@ -41,13 +41,17 @@ def rule_fragments(pages: DataFrame, seq_col: str = "page_id") -> DataFrame:
 
 
 def extract_fragments(pages: DataFrame, extractor: ExtractorFn, content: str = "content",
-                      concurrency: int | None = None) -> DataFrame:
-    """Run a user extractor over (entity, seq, url, title, content) batches.
-    ``concurrency`` bounds the number of simultaneous extractor tasks (the
-    model's rate limit), in place of fixed batches of three pages."""
+                      concurrency: int | None = None, schema_section: str | None = None) -> DataFrame:
+    """Run a user extractor over (entity, seq, url, title, content,
+    schema_section, batch_no) batches.  ``concurrency`` bounds the number of
+    simultaneous extractor tasks (the model's rate limit), in place of fixed
+    batches of three pages; ``batch_no`` = (rank - 1) div 3 is kept for
+    audit.  ``schema_section`` asks the extractor for one section only."""
     seq = F.col("rank") if "rank" in pages.columns else F.col("page_id")
     src = pages.select("entity", seq.cast("bigint").alias("seq"), "url",
-                       H.title(F.col("html")).alias("title"), F.col(content).alias("content"))
+                       H.title(F.col("html")).alias("title"), F.col(content).alias("content"),
+                       F.lit(schema_section).cast("string").alias("schema_section"),
+                       F.floor((seq - 1) / vocab.EXTRACT_BATCH).cast("bigint").alias("batch_no"))
     if concurrency:
         src = src.repartition(concurrency)
     return src.mapInPandas(extractor, FRAGMENT_SCHEMA)

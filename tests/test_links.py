@@ -83,3 +83,8 @@ def test_default_vocabularies_have_reference_sizes():
     assert len(vocab.CRAWL_LINK_KEYWORDS) == 37 and len(set(vocab.CRAWL_LINK_KEYWORDS)) == 35
     assert len(vocab.RANK_KEEP_KEYWORDS) == 23 and len(vocab.RANK_SKIP_KEYWORDS) == 12
     assert len(vocab.SECTION_KEYWORDS) == 11 and len(vocab.CRAWL_CONTENT_SELECTORS) == 22
+
+
+def test_min_score_threshold(spark):
+    df = links_df(spark, [("s", 0, 0, "http://s/a", "in-state program"), ("s", 0, 1, "http://s/b", "program")])
+    assert [r.url for r in LK.rank_links(df, min_score=2).collect()] == ["http://s/a"]

@@ -53,3 +53,20 @@ def test_crawl_rank_extract_validate(spark):
     text = report.collect()[0].json
     assert "Detailed Results:" in text and "Validation rate:" in text
     assert issues.where(F.col("issue") == "Missing required field: stats.words").count() == 1
+
+
+def test_user_extractor_hook(spark):
+    import pandas as pd
+    from sitelens.operators import records as RC
+
+    def extractor(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"entity": pdf.entity, "seq": pdf.seq, "source_url": pdf.url,
+                                "json": [json.dumps({"section": s, "batch": int(b)})
+                                         for s, b in zip(pdf.schema_section, pdf.batch_no)]})
+
+    p = pages_df(spark, SITE).withColumn("rank", F.col("page_id") + 1).withColumn("content", F.lit("x"))
+    out = RC.extract_fragments(p, extractor, concurrency=2, schema_section="admissions")
+    got = sorted((r.seq, json.loads(r.json)["section"], json.loads(r.json)["batch"]) for r in out.collect())
+    assert got == [(1, "admissions", 0), (2, "admissions", 0), (3, "admissions", 0), (4, "admissions", 1),
+                   (5, "admissions", 1)]
