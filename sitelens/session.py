@@ -48,7 +48,10 @@ def build_session(master: str | None = None, app: str = "sitelens",
 def ship_package(spark: SparkSession) -> None:
     """Make ``sitelens`` importable in executors' Python workers (UDTFs,
     ``mapInPandas`` helpers) by shipping it as a zip once per context."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:          # a session without a classic context: nothing to ship to
+        return
     if getattr(sc, "_sitelens_shipped", False):
         return
     import zipfile
@@ -75,7 +78,10 @@ def prepare(spark: SparkSession) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, creating a private one only
     when the cluster did not name one."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -23,8 +23,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     per core.  Large inputs already scan in many splits and are left alone; a
     small file with one row group would otherwise run in a single task, so it
     is hash-spread on its key.  The split count is known at plan time."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:          # no classic context: leave the plan as it is
+        return df
+    if have < want:
         return df.repartition(want, key)
     return df
 
