@@ -16,12 +16,21 @@ def extract_links(pages: DataFrame) -> DataFrame:
     Output: entity, page_id, page_seq, link_seq (0-based among a[href] of the
     page), href, url (resolved against the page URL), text (stripped,
     lower-cased), title (attribute or '')."""
-    based = pages.select("entity", "page_id", "page_seq", "html", urls.base_parts(F.col("url")).alias("_base"))
-    exploded = based.select(
-        "entity", "page_id", "page_seq",
-        F.posexplode(html.anchors(F.col("html"), base=F.col("_base"))).alias("link_seq", "a"))
-    return exploded.select("entity", "page_id", "page_seq", "link_seq",
-                           "a.href", "a.url", "a.text", "a.title")
+    found = F.regexp_extract_all(html.strip_noise(F.col("html")), F.lit(html.ANCHOR_RE), 0)
+    found = F.filter(found, lambda m: F.regexp_extract(m, html.ANCHOR_RE, 1).rlike(html.HREF_PRESENT_RE))
+    # explode first, then compute the per-anchor fields in plain projections
+    # (generated code) instead of inside an array lambda
+    a = pages.select("entity", "page_id", "page_seq", urls.base_parts(F.col("url")).alias("_base"),
+                     F.posexplode(found).alias("link_seq", "m"))
+    a = a.select("entity", "page_id", "page_seq", "link_seq", "_base",
+                 F.regexp_extract("m", html.ANCHOR_RE, 1).alias("_attrs"),
+                 F.regexp_extract("m", html.ANCHOR_RE, 2).alias("_inner"))
+    a = a.select("entity", "page_id", "page_seq", "link_seq", "_base",
+                 html.attr_value(F.col("_attrs"), "href").alias("href"),
+                 F.lower(html.node_text(F.col("_inner"))).alias("text"),
+                 html.attr_value(F.col("_attrs"), "title").alias("title"))
+    return a.select("entity", "page_id", "page_seq", "link_seq", "href",
+                    urls.resolve_with(F.col("_base"), F.col("href")).alias("url"), "text", "title")
 
 
 def crawlable(links: DataFrame, base_domain: F.Column | None = None,
