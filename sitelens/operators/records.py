@@ -63,6 +63,12 @@ def non_web(url_col, extensions: list[str] | None = None):
     return any_contains(F.lower(url_col), vocab.EXTRACT_DOC_EXTENSIONS if extensions is None else extensions)
 
 
+def is_html(content_type) -> F.Column:
+    """Content-type test before extraction: the header must start with
+    'text/html'; a missing header counts as '' and is rejected."""
+    return F.coalesce(content_type, F.lit("")).startswith("text/html")
+
+
 def prompt_payloads(pages: DataFrame, links: DataFrame, section_names: list[str],
                     prefix: int | None = vocab.CONTENT_PREFIX) -> DataFrame:
     """One prompt payload per page: url, headings (h1, first two h2), content
