@@ -24,6 +24,12 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
     # remove checkpoint files of per-round state once it is no longer referenced
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # plans with long regular expressions render to large strings; keep the
+    # driver's execution history small in long sessions
+    "spark.sql.maxPlanStringLength": "65536",
+    "spark.sql.ui.retainedExecutions": "50",
+    "spark.ui.retainedJobs": "200",
+    "spark.ui.retainedStages": "200",
 }
 
 
