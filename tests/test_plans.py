@@ -9,10 +9,16 @@ SF = "/root/testdata/sf0.001"
 
 
 def plan(df) -> str:
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain("formatted")
-    return buf.getvalue()
+    spark = df.sparkSession
+    old = spark.conf.get("spark.sql.maxPlanStringLength")
+    spark.conf.set("spark.sql.maxPlanStringLength", str(2 ** 30))
+    try:
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain("formatted")
+        return buf.getvalue()
+    finally:
+        spark.conf.set("spark.sql.maxPlanStringLength", old)
 
 
 def test_top_k_is_limited_before_the_shuffle(spark):
