@@ -690,3 +690,15 @@ def schema_issues_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     sp = spark.createDataFrame(_schema_rows(), "path string, kind string, ord int")
     dn = merged.select("entity", F.array_join("path", ".").alias("path"), "kind")
     return VD.structure_issues(sp, dn, full_types=True).select("entity", "path", "ord", "issue")
+
+
+# --- J2 for large vocabularies: one automaton pass per text -------------------
+
+@register("document_sections_large", ORACLES["document_sections"])
+def document_sections_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sitelens.operators import vocabmatch as VM
+    from sitelens.sources.tables import spread
+    d = spread(table(spark, sf_dir, "documents"), "doc_id").select(
+        F.col("source").alias("entity"), F.col("doc_id").alias("page_id"), "text")
+    out = VM.page_sections_large(d, "text", VM.vocab_table(spark, SECTIONS))
+    return out.withColumnRenamed("page_id", "doc_id")
