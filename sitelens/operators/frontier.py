@@ -26,7 +26,7 @@ from sitelens.session import cut_lineage, ensure_checkpoint_dir
 
 def crawl(seeds: DataFrame, edges: DataFrame, max_rounds: int = 50,
           page_sections: DataFrame | None = None, required: list[str] | None = None,
-          partitions: int | None = None, buckets: int = 16) -> DataFrame:
+          partitions: int | None = None, buckets: int = 16, compact_every: int = 16) -> DataFrame:
     """seeds(entity, url), edges(src, dst[, priority]) -> visited(entity, url, depth, priority).
 
     ``page_sections(url, section)`` with ``required`` enables the per-site
@@ -76,6 +76,9 @@ def crawl(seeds: DataFrame, edges: DataFrame, max_rounds: int = 50,
             break
         pieces.append(fresh)
         frontier = fresh
+        if len(pieces) > compact_every:
+            # keep the visited union (and every later plan) bounded in size
+            pieces = [cut_lineage(_union(pieces).repartition(n, "entity", "url"))]
     return _union(pieces)
 
 

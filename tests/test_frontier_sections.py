@@ -43,3 +43,10 @@ def test_link_analysis_emits_only_matching_links(spark):
     assert [(r.url, r.priority, r.relevance_score, r.expected_content) for r in out] == \
         [("u0", "high", 0.8, ["interview_process"])]
     assert F is not None
+
+
+def test_compaction_keeps_results(spark):
+    edges = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(12)], "src string, dst string")
+    seeds = spark.createDataFrame([("s", "n0")], "entity string, url string")
+    got = sorted((r.url, r.depth) for r in FR.crawl(seeds, edges, compact_every=3).collect())
+    assert got == sorted((f"n{i}", i) for i in range(13))
