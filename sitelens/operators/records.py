@@ -52,6 +52,8 @@ def extract_fragments(pages: DataFrame, extractor: ExtractorFn, content: str = "
                        H.title(F.col("html")).alias("title"), F.col(content).alias("content"),
                        F.lit(schema_section).cast("string").alias("schema_section"),
                        F.floor((seq - 1) / vocab.EXTRACT_BATCH).cast("bigint").alias("batch_no"))
+    # pages without content never reach the extractor
+    src = src.where(F.col("content").isNotNull() & (F.col("content") != ""))
     if concurrency:
         src = src.repartition(concurrency)
     return src.mapInPandas(extractor, FRAGMENT_SCHEMA)

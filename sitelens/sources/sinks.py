@@ -106,3 +106,10 @@ def validation_report(results: DataFrame, summary: DataFrame, run_ts: str) -> Da
     text = F.concat(head, summ, F.lit("\n" + bar + "\nDetailed Results:"),
                     F.coalesce(F.array_join(F.transform("d", lambda x: x["line"]), ""), F.lit("")))
     return j.select("entity", text.alias("json"))
+
+
+def single_page_result(fragments: DataFrame, url: str, path: str) -> None:
+    """Extraction result of one page (a pushed-down equality filter on the
+    source URL), written as JSON text."""
+    one = fragments.where(F.col("source_url") == url).select(F.col("json").alias("value"))
+    one.coalesce(1).write.mode("overwrite").text(path)

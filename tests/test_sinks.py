@@ -67,3 +67,11 @@ def test_taxonomy_reader_checks_shape(spark):
     assert json.loads(TB.taxonomy_program(spark, good).collect()[0].program_json) == {"a": {"b": 1}}
     with pytest.raises(Exception, match="programs"):
         TB.taxonomy_program(spark, bad).collect()
+
+
+def test_single_page_result(spark):
+    frags = spark.createDataFrame([("s", 1, "http://s/a", '{"a": 1}'), ("s", 2, "http://s/b", '{"b": 2}')],
+                                  "entity string, seq bigint, source_url string, json string")
+    out = tempfile.mkdtemp(prefix="one-") + "/r"
+    SK.single_page_result(frags, "http://s/b", out)
+    assert [r.value for r in spark.read.text(out).collect()] == ['{"b": 2}']
