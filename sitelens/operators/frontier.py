@@ -18,6 +18,7 @@ later rounds shuffle only the (small) frontier.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,15 +52,17 @@ def crawl(seeds: DataFrame, edges: DataFrame, max_rounds: int = 50,
                           .repartition(n, "entity", "url"))
     frontier = visited
     pieces = [visited]
-    done_sites = None
+    coverage = page_sections is not None and bool(required)
+    need = F.array(*[F.lit(s) for s in (required or [])])
+    # sections found per site, grown from each round's new pages only (at most
+    # sites x sections rows) instead of re-joining every visited page per round
+    found = visited.join(page_sections, "url").select("entity", "section").distinct() if coverage else None
+    held: list[DataFrame] = []
     for r in range(1, max_rounds + 1):
         active = frontier
-        if page_sections is not None and required:
-            need = F.array(*[F.lit(s) for s in required])
-            all_visited = _union(pieces)
-            found = (all_visited.join(page_sections, all_visited.url == page_sections.url)
-                     .groupBy("entity").agg(F.collect_set("section").alias("found")))
-            done_sites = found.where(F.size(F.array_except(need, F.col("found"))) == 0).select("entity")
+        if coverage:
+            per_site = found.groupBy("entity").agg(F.collect_set("section").alias("found"))
+            done_sites = per_site.where(F.size(F.array_except(need, F.col("found"))) == 0).select("entity")
             active = frontier.join(done_sites, "entity", "left_anti")
         step = (active.select("entity", F.col("url").alias("src"))
                 .join(cells, "src")
@@ -76,9 +79,18 @@ def crawl(seeds: DataFrame, edges: DataFrame, max_rounds: int = 50,
             break
         pieces.append(fresh)
         frontier = fresh
+        if coverage:
+            found = (found.unionByName(fresh.join(page_sections, "url").select("entity", "section"))
+                     .distinct().persist(StorageLevel.MEMORY_AND_DISK))
+            held.append(found)
+            for old_state in held[:-2]:     # earlier states are no longer read
+                old_state.unpersist()
+            held = held[-2:]
         if len(pieces) > compact_every:
             # keep the visited union (and every later plan) bounded in size
             pieces = [cut_lineage(_union(pieces).repartition(n, "entity", "url"))]
+            if coverage:
+                found = cut_lineage(found)
     return _union(pieces)
 
 
