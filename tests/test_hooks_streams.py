@@ -71,3 +71,17 @@ def test_non_web_and_content_type(spark):
     got = [(r.nw, r.html) for r in df.select(RC.non_web(F.col("url")).alias("nw"),
                                              RC.is_html(F.col("ct")).alias("html")).collect()]
     assert got == [(True, True), (False, False), (False, False)]
+
+
+def test_url_status_and_accessible_only(spark):
+    import datetime as dt
+    from sitelens.operators import fetchlog as FL
+    t = dt.datetime(2024, 1, 1)
+    log = spark.createDataFrame(
+        [("http://a/x", t, 1, 500), ("http://a/x", t, 2, 500), ("http://a/x", t, 3, 200),
+         ("http://a/y", t, 4, 500), ("http://a/y", t, 5, 500), ("http://a/y", t, 6, 500), ("http://a/y", t, 7, 200)],
+        "url string, ts timestamp, event_id bigint, status int")
+    urls = spark.createDataFrame([("http://a/x",), ("http://a/y",), ("not a url",)], "url string")
+    st = {r.url: (r.accessible, r.attempts_used, r.well_formed) for r in FL.url_status(log, urls).collect()}
+    assert st == {"http://a/x": (True, 3, True), "http://a/y": (False, 3, True), "not a url": (False, 0, False)}
+    assert [r.url for r in FL.accessible_only(urls, FL.url_status(log, urls)).collect()] == ["http://a/x"]
