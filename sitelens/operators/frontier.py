@@ -35,6 +35,13 @@ def crawl(seeds: DataFrame, edges: DataFrame, max_rounds: int = 50,
     spark = seeds.sparkSession
     ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if partitions is None:
+        # per-round state is small next to the link table; more splits than a
+        # few per core only add files and tasks to every round
+        try:
+            n = max(1, min(n, spark.sparkContext.defaultParallelism * 4))
+        except Exception:
+            pass
     if "priority" not in edges.columns:
         edges = edges.withColumn("priority", F.lit("high"))
     # links keyed by (src, salt): a page with a huge link list spreads over
