@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, simhash
+from . import decontaminate, exact_dedup, simhash, toxicity
 from .common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -27,6 +31,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op8_decontamination": op8_decontamination,
