@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelens.session import scratch_dir
+from sitelens.session import prepare, scratch_dir
 
 TOKENIZER_PACKAGE = "public_tokenizers"
-_written: list[str] = []
+_recording: list[str] | None = None
+_left_behind: list[str] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,17 +27,28 @@ def materialize(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     if by:
         writer = writer.partitionBy(by)
     writer.parquet(path)
-    _written.append(path)
+    if _recording is not None:
+        _recording.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Drop the tables written so far by ``materialize``.  Only for callers
-    that have themselves stored whatever they still read from them."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(conf).delete(path, True)
+def stage(fn):
+    """A pipeline stage: drops the tables that the stage before it left in the
+    shared folder, whose result has been stored by now, and remembers its own."""
+    @functools.wraps(fn)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        global _recording, _left_behind
+        prepare(spark)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        while _left_behind:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_left_behind.pop())
+            path.getFileSystem(conf).delete(path, True)
+        _recording = []
+        try:
+            return fn(spark, docs, sf_dir)
+        finally:
+            _left_behind, _recording = _recording, None
+    return run
 
 
 def text_or_empty(name: str = "text") -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, simhash, toxicity
+from . import decontaminate, exact_dedup, sentencepieces, simhash, toxicity
 from .common import table
 
 
@@ -23,6 +23,12 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_distance=3)
 
 
+def op5_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sentencepieces.encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_tokens", F.sha2(F.array_join("token_ids", ",").cast("binary"), 256)
+                        .alias("ids_sha256"), "round_trip")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
@@ -34,6 +40,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_sentencepieces": op5_sentencepieces,
     "op8_decontamination": op8_decontamination,
 }
 
