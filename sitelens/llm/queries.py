@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, sentencepieces, simhash, toxicity
+from . import decontaminate, exact_dedup, sentencepieces, simhash, token_counts, toxicity
 from .common import table
 
 
@@ -36,12 +36,17 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"), "n_near")
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), token_counts.read_vocabulary())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_sentencepieces": op5_sentencepieces,
     "op8_decontamination": op8_decontamination,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLES: dict[str, str] = {
