@@ -7,8 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact_dedup, secrets, sentencepieces, simhash, token_counts, toxicity
-from .queries_sql import OP6_SECRETS, OP8_DECONTAMINATION, OP9_CHAT
+from . import (
+    chat,
+    decontaminate,
+    exact_dedup,
+    language,
+    licenses,
+    secrets,
+    sentencepieces,
+    simhash,
+    token_counts,
+    toxicity,
+)
+from .queries_sql import OP3_LICENSES, OP6_SECRETS, OP8_DECONTAMINATION, OP9_CHAT
 from .common import materialize, table
 
 
@@ -20,6 +31,15 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.licenses(table(spark, sf_dir, "documents"))
+    names = F.transform("licenses", lambda m: m["license"])
+    scores = F.transform("licenses", lambda m: m["score"])
+    return found.select("doc_id", F.size("licenses").cast("bigint").alias("n_licenses"),
+                        F.array_join(names, ",").alias("licenses"),
+                        F.coalesce(F.array_max(scores), F.lit(0.0)).alias("best_score"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_distance=3)
 
@@ -38,6 +58,10 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.as_text(F.col("spans")).alias("spans"), "n_live", "n_shared", "n_example")
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
@@ -62,9 +86,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_licenses": op3_licenses,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_sentencepieces": op5_sentencepieces,
     "op6_secrets": op6_secrets,
+    "op7_language": op7_language,
     "op8_decontamination": op8_decontamination,
     "op9_chat": op9_chat,
     "op10_token_counts": op10_token_counts,
@@ -80,6 +106,7 @@ ORACLES: dict[str, str] = {
                doc_id = first_value(doc_id) OVER (PARTITION BY norm ORDER BY length(text) DESC, doc_id) AS kept,
                sha256(norm) AS text_sha256
         FROM t""",
+    "op3_licenses": OP3_LICENSES,
     "op6_secrets": OP6_SECRETS,
     "op8_decontamination": OP8_DECONTAMINATION,
     "op9_chat": OP9_CHAT,

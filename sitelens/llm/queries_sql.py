@@ -1,5 +1,7 @@
 """Longer DuckDB twins of the training-data queries."""
 
+from .licenses import TEMPLATES
+
 OP8_DECONTAMINATION = r"""
     WITH d AS (
         SELECT doc_id, coalesce(text, '') AS text FROM documents),
@@ -128,3 +130,31 @@ OP9_CHAT = r"""
                AS loss_sha256,
            coalesce(sum(stop) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS formatted_chars
     FROM placed GROUP BY 1"""
+
+_TEMPLATES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in TEMPLATES.items())
+
+OP3_LICENSES = r"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+    lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS unit FROM d),
+    units AS (
+        SELECT doc_id, text AS unit FROM d
+        UNION SELECT doc_id, unnest(string_split_regex(text, '\n[\x20\x09\x0D]*\n')) FROM d
+        UNION SELECT * FROM lines
+        UNION SELECT doc_id, unnest(string_split_regex(unit, '[.!?][\x20\x09-\x0D]+')) FROM lines),
+    uw AS (SELECT doc_id, list_filter(string_split_regex(lower(unit), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'),
+                                      lambda w: w <> '') AS w FROM units),
+    ub AS (SELECT doc_id, list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS b
+           FROM uw WHERE len(w) > 1),
+    tw AS (SELECT license, list_filter(string_split_regex(lower(body), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'),
+                                       lambda w: w <> '') AS w FROM (VALUES """ + _TEMPLATES + r""") v(license, body)),
+    tb AS (SELECT license, list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS b FROM tw),
+    met AS (
+        SELECT doc_id, license, max(2.0::DOUBLE * len(list_intersect(ub.b, tb.b)) / (len(ub.b) + len(tb.b))) AS score
+        FROM ub, tb WHERE len(ub.b) BETWEEN len(tb.b) * 0.6 AND len(tb.b) * 1.6 GROUP BY 1, 2),
+    per_doc AS (
+        SELECT doc_id, count(*) AS n_licenses, string_agg(license, ',' ORDER BY license) AS licenses,
+               max(score) AS best_score
+        FROM met WHERE score >= 0.8 GROUP BY 1)
+    SELECT doc_id, coalesce(n_licenses, 0) AS n_licenses, coalesce(licenses, '') AS licenses,
+           coalesce(best_score, 0.0::DOUBLE) AS best_score
+    FROM d LEFT JOIN per_doc USING (doc_id)"""
