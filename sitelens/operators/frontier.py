@@ -19,53 +19,55 @@ later rounds shuffle only the (small) frontier.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitelens.session import cut_lineage, ensure_checkpoint_dir
 
 
-def crawl(seeds: DataFrame, edges: DataFrame, max_rounds: int = 50,
-          page_sections: DataFrame | None = None, required: list[str] | None = None,
-          partitions: int | None = None, buckets: int = 16, compact_every: int = 16) -> DataFrame:
+#: Links of one page that one cell holds; pages with more are spread over several.
+LINKS_PER_CELL = 10_000
+
+
+def _cells(edges: DataFrame) -> DataFrame:
+    """Links keyed by (src, salt): a page with a huge link list is spread over
+    as many cells as its measured number of links asks for."""
+    links = edges.select("src", "dst", "priority").distinct()
+    hubs = (links.groupBy("src").agg(F.ceil(F.count(F.lit(1)) / LINKS_PER_CELL).alias("parts"))
+            .where(F.col("parts") > 1))
+    salt = F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.hash("dst"), F.col("parts")))
+    return links.join(hubs, "src", "left").select("src", salt.cast("int").alias("salt"), "dst", "priority")
+
+
+def crawl(seeds: DataFrame, edges: DataFrame, page_sections: DataFrame | None = None,
+          required: list[str] | None = None, compact_every: int = 16) -> DataFrame:
     """seeds(entity, url), edges(src, dst[, priority]) -> visited(entity, url, depth, priority).
 
+    Rounds go on until one reaches no new URL, whatever the depth of the graph.
     ``page_sections(url, section)`` with ``required`` enables the per-site
     coverage stop.  ``depth`` is the round in which the URL was first popped."""
-    spark = seeds.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if partitions is None:
-        # per-round state is small next to the link table; more splits than a
-        # few per core only add files and tasks to every round
-        try:
-            n = max(1, min(n, spark.sparkContext.defaultParallelism * 4))
-        except Exception:
-            pass
+    ensure_checkpoint_dir(seeds.sparkSession)
     if "priority" not in edges.columns:
         edges = edges.withColumn("priority", F.lit("high"))
-    # links keyed by (src, salt): a page with a huge link list spreads over
-    # ``buckets`` cells; the frontier reaches only the cells that exist for
-    # its source, so a small page costs at most one copy per link.
-    salted = (edges.select("src", "dst", "priority").distinct()
-              .withColumn("salt", F.pmod(F.hash("dst"), F.lit(buckets))))
-    links = cut_lineage(salted.repartition(n, "src", "salt"))
-    cells = cut_lineage(links.select("src", "salt").distinct().repartition(n, "src"))
-
-    if page_sections is not None and required:
+    # partition numbers are left to the session and to adaptive execution
+    links = cut_lineage(_cells(edges).repartition("src", "salt"))
+    cells = cut_lineage(links.select("src", "salt").distinct())
+
+    coverage = page_sections is not None and bool(required)
+    if coverage:
         page_sections = cut_lineage(page_sections.select("url", "section").distinct())
     visited = cut_lineage(seeds.select("entity", "url").distinct()
-                          .withColumn("depth", F.lit(0)).withColumn("priority", F.lit("high"))
-                          .repartition(n, "entity", "url"))
+                          .withColumn("depth", F.lit(0)).withColumn("priority", F.lit("high")))
     frontier = visited
     pieces = [visited]
-    coverage = page_sections is not None and bool(required)
     need = F.array(*[F.lit(s) for s in (required or [])])
     # sections found per site, grown from each round's new pages only (at most
     # sites x sections rows) instead of re-joining every visited page per round
     found = visited.join(page_sections, "url").select("entity", "section").distinct() if coverage else None
     held: list[DataFrame] = []
-    for r in range(1, max_rounds + 1):
+    r = 0
+    while True:
+        r += 1
         active = frontier
         if coverage:
             per_site = found.groupBy("entity").agg(F.collect_set("section").alias("found"))
@@ -80,8 +82,7 @@ def crawl(seeds: DataFrame, edges: DataFrame, max_rounds: int = 50,
         fresh = cut_lineage(step.join(_union(pieces), ["entity", "url"], "left_anti")
                             .select("entity", "url", F.lit(r).alias("depth"),
                                     F.element_at(F.array(F.lit("high"), F.lit("medium"), F.lit("low")),
-                                                 F.col("p") + 1).alias("priority"))
-                            .repartition(n, "entity", "url"))
+                                                 F.col("p") + 1).alias("priority")))
         if fresh.isEmpty():
             break
         pieces.append(fresh)
@@ -95,7 +96,7 @@ def crawl(seeds: DataFrame, edges: DataFrame, max_rounds: int = 50,
             held = held[-2:]
         if len(pieces) > compact_every:
             # keep the visited union (and every later plan) bounded in size
-            pieces = [cut_lineage(_union(pieces).repartition(n, "entity", "url"))]
+            pieces = [cut_lineage(_union(pieces))]
             if coverage:
                 found = cut_lineage(found)
     return _union(pieces)
@@ -116,3 +117,11 @@ def crawl_stats(visited: DataFrame, page_sections: DataFrame) -> DataFrame:
         F.count("*").alias("total_pages_visited"),
         F.count("_rel").alias("relevant_pages_found"),
         F.max("depth").alias("rounds"))
+
+
+def in_order(visited: DataFrame) -> DataFrame:
+    """Visited URLs with their place in their site's visit order: by depth, then
+    priority, then URL (rounds are unordered sets, so this order is the engine's)."""
+    rank = F.array_position(F.array(F.lit("high"), F.lit("medium"), F.lit("low")), F.col("priority"))
+    w = Window.partitionBy("entity").orderBy("depth", rank, "url")
+    return visited.withColumn("visit_order", F.row_number().over(w))

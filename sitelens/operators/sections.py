@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitelens import vocab
@@ -63,6 +63,14 @@ def link_analysis(links: DataFrame, sections: dict[str, list[str]] | None = None
                     F.lit("high").alias("priority"), "expected_content"))
 
 
+PRIORITIES = ("high", "medium", "low")
+
+
+def min_priority(links: DataFrame, least: str = "medium") -> DataFrame:
+    """links whose priority is at least ``least``; unknown priorities go."""
+    return links.where(F.col("priority").isin(*PRIORITIES[:PRIORITIES.index(least) + 1]))
+
+
 def page_category(sections_df: DataFrame) -> DataFrame:
     """One category per page: highest confidence, ties to taxonomy order."""
     key = F.struct(F.col("confidence"), (-F.col("section_ord")).alias("neg_ord"))
@@ -122,6 +130,3 @@ def analyze_pages(pages: DataFrame, analyzer: AnalyzerFn | None = None, content:
         F.create_map().cast("map<string,double>").alias("section_confidence"))
     return analysed.unionByName(empty)
 
-
-def rank_within(df: DataFrame, part: list[str], order: list[Column], name: str = "rn") -> DataFrame:
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*part).orderBy(*order)))

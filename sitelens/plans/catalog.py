@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sitelens import vocab
@@ -222,49 +222,51 @@ def link_priorities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- I1, I2, J4, J5, A7: frontier expansion over derived links ---------------
 
-MAX_ROUNDS = 50
-
-
 def _derived_edges(spark: SparkSession, sf_dir: str, keep: list[str] | None) -> tuple[DataFrame, DataFrame]:
-    """Link k of page i points to page (7*i + 13*k + 1) mod n (test graph:
-    no anchor of the corpus resolves to a page of the table)."""
+    """Link k of the i-th page of a site points to page (7*i + 13*k + 1) mod n of
+    the same site of n pages (test graph: no anchor of the corpus resolves to a
+    page of the table).  Nodes are page ids."""
     p = read_pages(spark, sf_dir)
+    place = Window.partitionBy("entity").orderBy("page_id")
+    ids = p.select("entity", "page_id").withColumn("i", F.row_number().over(place) - 1)
+    sizes = ids.groupBy("entity").agg(F.count(F.lit(1)).alias("n"))
     lk = LK.extract_links(p)
     if keep is not None:
         lk = lk.where(F.trim("text") != "").where(SC.any_contains(F.lower(F.col("text")), keep))
-    n = p.agg(F.count("*").alias("n"))  # one row: broadcast is bounded
-    dst_id = F.pmod(F.col("page_id") * 7 + F.col("link_seq") * 13 + 1, F.col("n"))
-    e = lk.crossJoin(F.broadcast(n)).select(F.col("page_id").alias("src_id"), dst_id.alias("dst_id"))
-    urls_ = p.select("page_id", "url")
-    edges = (e.join(urls_.withColumnRenamed("page_id", "src_id").withColumnRenamed("url", "src"), "src_id")
-             .join(urls_.withColumnRenamed("page_id", "dst_id").withColumnRenamed("url", "dst"), "dst_id")
-             .select("src", "dst"))
-    seeds = p.groupBy("entity").agg(F.min_by("url", "page_id").alias("url"))
+    e = lk.select("entity", "page_id", "link_seq").join(ids, ["entity", "page_id"]).join(sizes, "entity")
+    e = e.select("entity", F.col("page_id").alias("src"),
+                 F.pmod(F.col("i") * 7 + F.col("link_seq") * 13 + 1, F.col("n")).alias("i")).distinct()
+    edges = e.join(ids.withColumnRenamed("page_id", "dst"), ["entity", "i"]).select("src", "dst")
+    seeds = ids.where("i = 0").select("entity", F.col("page_id").alias("url"))
     return seeds, edges
 
 
 def _reach(spark: SparkSession, sf_dir: str, keep: list[str] | None) -> DataFrame:
     seeds, edges = _derived_edges(spark, sf_dir, keep)
-    visited = FR.crawl(seeds, edges, max_rounds=MAX_ROUNDS)
-    p = read_pages(spark, sf_dir).select("page_id", F.col("url"))
-    return visited.join(p, "url").select("entity", "page_id", F.col("depth").cast("int").alias("depth"), "url")
+    return FR.crawl(seeds, edges).select("entity", F.col("url").alias("page_id"),
+                                         F.col("depth").cast("int").alias("depth"))
 
 
 def _reach_sql(keep: list[str] | None) -> str:
     cond = f"WHERE trim(text) <> '' AND {S.any_contains('lower(text)', keep)}" if keep else ""
     return f"""
 {S.links_cte().strip()}, {S.pages_cte()},
-n AS (SELECT count(*) AS n FROM pages),
-edges AS (SELECT DISTINCT l.page_id AS src, (7 * l.page_id + 13 * l.link_seq + 1) % n.n AS dst FROM links l, n {cond}),
-seeds AS (SELECT entity, min(page_id) AS page_id FROM pg GROUP BY entity),
+ids AS (SELECT entity, page_id, row_number() OVER (PARTITION BY entity ORDER BY page_id) - 1 AS i,
+               count(*) OVER (PARTITION BY entity) AS n FROM pg),
+edges AS (SELECT DISTINCT s.page_id AS src, d.page_id AS dst
+          FROM (SELECT * FROM links {cond}) l JOIN ids s ON s.page_id = l.page_id
+          JOIN ids d ON d.entity = s.entity AND d.i = (7 * s.i + 13 * l.link_seq + 1) % s.n),
+seeds AS (SELECT entity, page_id FROM ids WHERE i = 0),
 reach AS (SELECT entity, page_id, min(depth) AS depth FROM rr GROUP BY entity, page_id)"""
 
 
 def _reach_rec() -> str:
-    return f"""rr(entity, page_id, depth) AS (
+    # a shortest path has fewer steps than the site has pages
+    return """rr(entity, page_id, depth) AS (
   SELECT entity, page_id, 0 FROM seeds
   UNION
-  SELECT rr.entity, e.dst, rr.depth + 1 FROM rr JOIN edges e ON e.src = rr.page_id WHERE rr.depth < {MAX_ROUNDS})"""
+  SELECT rr.entity, e.dst, rr.depth + 1 FROM rr JOIN edges e ON e.src = rr.page_id
+  JOIN ids ON ids.page_id = rr.page_id WHERE rr.depth < ids.n)"""
 
 
 def _reach_query(keep: list[str] | None, tail: str) -> str:
@@ -290,8 +292,8 @@ SELECT r.entity, count(*) AS total_pages_visited, count(rel.page_id) AS relevant
 FROM reach r LEFT JOIN rel ON rel.page_id = r.page_id GROUP BY r.entity""").replace("\n,\nrel AS", ",\nrel AS").replace("FROM rr GROUP BY entity, page_id)\n,", "FROM rr GROUP BY entity, page_id),"))
 def crawl_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     visited = _reach(spark, sf_dir, KEEP)
-    ps = page_sections(spark, sf_dir).join(read_pages(spark, sf_dir).select("page_id", "url"), "page_id")
-    return FR.crawl_stats(visited, ps.select("url", "section"))
+    ps = page_sections(spark, sf_dir).select(F.col("page_id").alias("url"), "section")
+    return FR.crawl_stats(visited.withColumnRenamed("page_id", "url"), ps)
 
 
 # --- P18, P19, P20, A11, U3, U5: fragments, leaves and the deep merge ---------
@@ -625,28 +627,83 @@ def stream_page_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- I1 end to end: crawl over the corpus's own links -------------------------
 
-@register("site_crawl", f"""
+_SITE_CRAWL = f"""
 WITH RECURSIVE {S.links_cte().strip()}, {S.pages_cte()},
 ct AS (SELECT entity, page_id, url, {S.region_text('html')} AS content FROM pg),
-emitted AS (SELECT l.page_id, l.url AS dst FROM links l
-            WHERE starts_with(l.url, 'http') AND {S.authority('l.url')} = l.entity
-              AND NOT {S.any_contains('lower(l.url)', vocab.CRAWL_DOC_EXTENSIONS)}
-              AND ({S.any_contains('l.text', KEEP)} OR {S.any_contains('lower(l.url)', KEEP)})
-              AND trim(l.text) <> ''
-              AND ({' OR '.join(S.any_contains('lower(l.text)', kws) for kws in SECTIONS.values())})),
+crawlable AS (SELECT l.* FROM links l
+              WHERE starts_with(l.url, 'http') AND {S.authority('l.url')} = l.entity
+                AND NOT {S.any_contains('lower(l.url)', vocab.CRAWL_DOC_EXTENSIONS)}
+                AND ({S.any_contains('l.text', KEEP)} OR {S.any_contains('lower(l.url)', KEEP)})),
+emitted AS (SELECT page_id, url AS dst FROM crawlable
+            WHERE trim(text) <> ''
+              AND ({' OR '.join(S.any_contains('lower(text)', kws) for kws in SECTIONS.values())})),
 edges AS (SELECT DISTINCT p.url AS src, e.dst FROM emitted e JOIN pg p ON p.page_id = e.page_id),
 seeds AS (SELECT entity, arg_min(url, page_id) AS url FROM pg GROUP BY entity),
 rr(entity, url, depth) AS (
   SELECT entity, url, 0 FROM seeds
   UNION
-  SELECT rr.entity, e.dst, rr.depth + 1 FROM rr JOIN edges e ON e.src = rr.url WHERE rr.depth < {MAX_ROUNDS})
-SELECT entity, url, CAST(min(depth) AS INTEGER) AS depth FROM rr GROUP BY entity, url
-""")
+  -- only pages have links, so a shortest path has fewer steps than there are pages
+  SELECT rr.entity, e.dst, rr.depth + 1 FROM rr JOIN edges e ON e.src = rr.url
+  WHERE rr.depth < (SELECT count(*) FROM pages)),
+visited AS (SELECT entity, url, CAST(min(depth) AS INTEGER) AS depth FROM rr GROUP BY entity, url),
+relevant AS (
+  SELECT v.entity, v.depth, min(p.page_id) AS page_id FROM visited v JOIN pg p ON p.entity = v.entity AND p.url = v.url
+  GROUP BY 1, 2, v.url HAVING min(p.page_id) IN (SELECT page_id FROM ({_sections_sql('ct', 'content')})))"""
+
+
+def _crawl(spark: SparkSession, sf_dir: str):
+    from sitelens.plans import sitejob as J
+    return J.crawl_sites(read_pages(spark, sf_dir), sections=SECTIONS, link_keywords=KEEP,
+                         coverage_stop=False, content_profile="region")
+
+
+@register("site_crawl", f"{_SITE_CRAWL} SELECT entity, url, depth FROM visited")
 def site_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _crawl(spark, sf_dir).visited.select("entity", "url", F.col("depth").cast("int").alias("depth"))
+
+
+@register("crawl_ranked_links", f"""{_SITE_CRAWL},
+first AS (
+  SELECT l.entity, l.url, arg_min(l.text, (r.depth, l.page_id, l.link_seq)) AS text,
+         min((r.depth, l.page_id, l.link_seq)) AS place
+  FROM crawlable l JOIN relevant r ON r.page_id = l.page_id
+  WHERE trim(l.text) <> '' AND NOT {S.any_contains('lower(l.text)', SKIP)} AND {S.any_contains('lower(l.text)', KEEP)}
+  GROUP BY 1, 2),
+scored AS (SELECT *, CAST({S.count_contains('lower(text)', KEEP)} AS INTEGER) AS relevance_score FROM first)
+SELECT entity, CAST(rank AS INTEGER) AS rank, url, text, relevance_score
+FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY relevance_score DESC, place) AS rank FROM scored)
+WHERE rank <= {vocab.TOP_LINKS}""")
+def crawl_ranked_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sitelens.plans import sitejob as J
-    crawl = J.crawl_sites(read_pages(spark, sf_dir), sections=SECTIONS, link_keywords=KEEP,
-                          max_rounds=MAX_ROUNDS, coverage_stop=False, content_profile="region")
-    return crawl.visited.select("entity", "url", F.col("depth").cast("int").alias("depth"))
+    return J.rank_sites(_crawl(spark, sf_dir), KEEP, SKIP)
+
+
+@register("crawl_documents", f"""{_SITE_CRAWL}
+SELECT v.entity, count(*) AS total_pages_visited,
+       (SELECT count(*) FROM relevant r WHERE r.entity = v.entity) AS relevant_pages_found
+FROM visited v GROUP BY v.entity""")
+def crawl_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sitelens.sources import sinks as SK
+    out = _crawl(spark, sf_dir)
+    return SK.crawl_counts(out.visited, out.relevant)
+
+
+#: Sections that end a site's crawl in ``frontier_reach_covered``.
+COVERED = list(SECTIONS)[:2]
+
+
+@register("frontier_reach_covered", _reach_query(None, f""",
+ps AS ({_sections_sql(f"(SELECT {S.authority('url')} AS entity, page_id, {S.region_text('html')} AS content FROM pages)", 'content')}),
+firsts AS (SELECT r.entity, ps.section, min(r.depth) AS depth FROM reach r JOIN ps ON ps.page_id = r.page_id
+           WHERE ps.section IN ({', '.join(S.q(x) for x in COVERED)}) GROUP BY 1, 2),
+ends AS (SELECT entity, max(depth) AS depth FROM firsts GROUP BY entity HAVING count(*) = {len(COVERED)})
+SELECT r.entity, r.page_id, CAST(r.depth AS INTEGER) AS depth FROM reach r LEFT JOIN ends e ON e.entity = r.entity
+WHERE e.depth IS NULL OR r.depth <= e.depth""").replace("\n,\nps AS", ",\nps AS"))
+def frontier_reach_covered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seeds, edges = _derived_edges(spark, sf_dir, None)
+    ps = page_sections(spark, sf_dir).select(F.col("page_id").alias("url"), "section")
+    return (FR.crawl(seeds, edges, page_sections=ps, required=COVERED)
+            .select("entity", F.col("url").alias("page_id"), F.col("depth").cast("int").alias("depth")))
 
 
 # --- A17: duplicate content (exact copies after normalisation) ----------------

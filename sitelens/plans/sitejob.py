@@ -37,11 +37,13 @@ class CrawlOutput:
     analysis: DataFrame
     links: DataFrame
     documents: DataFrame
+    pages: DataFrame
+    relevant: DataFrame
 
 
 def crawl_sites(pages: DataFrame, base_urls: DataFrame | None = None,
                 sections: dict[str, list[str]] | None = None, link_keywords: list[str] | None = None,
-                max_rounds: int = 50, prefix: int | None = None, run_ts: str = "1970-01-01 00:00:00",
+                prefix: int | None = None, run_ts: str = "1970-01-01 00:00:00",
                 coverage_stop: bool = True, content_profile: str = "crawl") -> CrawlOutput:
     """pages(entity, page_id, url, html) -> crawl results per site.
 
@@ -63,20 +65,25 @@ def crawl_sites(pages: DataFrame, base_urls: DataFrame | None = None,
     if base_urls is None:
         base_urls = pages.groupBy("entity").agg(F.min_by("url", "page_id").alias("url"))
     ps_url = ps.join(urls, "page_id").select("url", "section")
-    visited = FR.crawl(base_urls, edges, max_rounds=max_rounds,
+    visited = FR.crawl(base_urls, edges,
                        page_sections=ps_url if coverage_stop else None,
                        required=list(sections) if coverage_stop else None)
     meta = pages.select("entity", "page_id", "url", H.title(F.col("html")).alias("title"),
                         H.headings(F.col("html"), 1).alias("h1"), H.headings(F.col("html"), 2, 2).alias("h2"),
                         H.meta_description(F.col("html")).alias("description"))
-    docs = SK.crawl_result_documents(visited, analysis, meta, links, base_urls, run_ts)
-    return CrawlOutput(visited, analysis, links, docs)
+    docs = SK.crawl_result_documents(visited, analysis, meta, links, la, base_urls, run_ts)
+    return CrawlOutput(visited, analysis, links, docs, pages.select("entity", "page_id", "url"),
+                       SK.crawl_pages(visited, analysis, meta, links, la))
 
 
 def rank_sites(crawl: CrawlOutput, keep: list[str] | None = None, skip: list[str] | None = None) -> DataFrame:
     """Links of relevant visited pages, in visit order, ranked per site."""
-    rel = crawl.analysis.where(F.size("relevant_sections") > 0).select("entity", "page_id")
-    lk = crawl.links.join(rel, ["entity", "page_id"])
+    rel = (crawl.analysis.where(F.size("relevant_sections") > 0).select("entity", "page_id")
+           .join(crawl.pages, ["entity", "page_id"]))
+    # a link's place: its page's round, then the page, then the link in the page
+    order = crawl.visited.select("entity", "url", "depth").join(rel, ["entity", "url"]).drop("url")
+    lk = crawl.links.drop("page_seq").join(order, ["entity", "page_id"])
+    lk = lk.withColumn("page_seq", F.struct("depth", "page_id")).drop("depth")
     return LK.rank_links(lk, keep, skip)
 
 

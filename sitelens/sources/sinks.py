@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitelens import vocab
+from sitelens.operators.sections import min_priority
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, fmt: str = "parquet") -> None:
@@ -31,40 +32,62 @@ def stamp(run_ts: str) -> F.Column:
     return F.date_format(F.to_timestamp(F.lit(run_ts)), "yyyyMMdd_HHmmss")
 
 
+def crawl_pages(visited: DataFrame, analysis: DataFrame, pages_meta: DataFrame, links: DataFrame,
+                priorities: DataFrame) -> DataFrame:
+    """The relevant visited pages (at least one section), a row each, with
+    metadata, harvested links and the links of high or medium priority.
+
+    A URL that several pages carry is the page of the smallest id."""
+    harvested = (links.groupBy("entity", "page_id")
+                 .agg(F.sort_array(F.collect_list(F.struct("link_seq", "url", "text", "title"))).alias("l"))
+                 .select("entity", "page_id", F.transform("l", lambda x: F.struct(
+                     x["url"].alias("url"), x["text"].alias("text"), x["title"].alias("title"))).alias("link_data")))
+    wanted = (min_priority(priorities).groupBy("entity", "page_id")
+              .agg(F.sort_array(F.collect_list(F.struct("link_seq", "url"))).alias("l"))
+              .select("entity", "page_id", F.transform("l", lambda x: x["url"]).alias("relevant_links")))
+    one = pages_meta.groupBy("entity", "url").agg(F.min("page_id").alias("page_id"))
+    no_links = F.array().cast("array<struct<url:string,text:string,title:string>>")
+    return (visited.join(one, ["entity", "url"]).join(pages_meta.drop("url"), ["entity", "page_id"])
+            .join(analysis.where(F.size("relevant_sections") > 0), ["entity", "page_id"])
+            .join(harvested, ["entity", "page_id"], "left").join(wanted, ["entity", "page_id"], "left")
+            .withColumn("link_data", F.coalesce("link_data", no_links))
+            .withColumn("relevant_links", F.coalesce("relevant_links", F.array().cast("array<string>"))))
+
+
+def crawl_counts(visited: DataFrame, relevant: DataFrame) -> DataFrame:
+    """Per site the URLs visited, fetched or not, and the relevant pages."""
+    seen = visited.groupBy("entity").agg(F.count(F.lit(1)).alias("total_pages_visited"))
+    rel = relevant.groupBy("entity").agg(F.count(F.lit(1)).alias("n"))
+    return seen.join(rel, "entity", "left").select("entity", "total_pages_visited",
+                                                   F.coalesce("n", F.lit(0)).alias("relevant_pages_found"))
+
+
 def crawl_result_documents(visited: DataFrame, analysis: DataFrame, pages_meta: DataFrame, links: DataFrame,
-                           base_urls: DataFrame, run_ts: str) -> DataFrame:
-    """Crawl result per site: relevant pages (at least one section) in visit
-    order with their metadata and harvested links, and crawl stats.
+                           priorities: DataFrame, base_urls: DataFrame, run_ts: str) -> DataFrame:
+    """Crawl result per site as one JSON document: relevant pages in visit order
+    with their metadata and links, and crawl stats.  The document holds a site's
+    relevant pages at once; ``crawl_pages`` is the form for any size.
 
     visited(entity, url, depth); analysis(entity, page_id, relevant_sections);
     pages_meta(entity, page_id, url, title, h1, h2, description);
-    links(entity, page_id, link_seq, url, text, title); base_urls(entity, url)."""
-    ld = (links.groupBy("entity", "page_id")
-          .agg(F.sort_array(F.collect_list(F.struct("link_seq", "url", "text", "title"))).alias("l"))
-          .select("entity", "page_id", F.transform("l", lambda x: F.struct(x["url"].alias("url"), x["text"].alias("text"),
-                                                                          x["title"].alias("title"))).alias("link_data")))
-    pv = (visited.join(pages_meta, ["entity", "url"]).join(analysis, ["entity", "page_id"], "left")
-          .join(ld, ["entity", "page_id"], "left"))
-    entry = F.struct(
-        F.col("url").alias("url"),
-        F.coalesce("relevant_sections", F.array().cast("array<string>")).alias("relevant_sections"),
-        F.array().cast("array<string>").alias("relevant_links"),
-        F.struct("title", "h1", "h2", "description",
-                 F.coalesce("link_data", F.array().cast("array<struct<url:string,text:string,title:string>>"))
-                 .alias("link_data")).alias("metadata"))
-    per_site = pv.groupBy("entity").agg(
-        F.count("*").alias("visited"),
-        F.sort_array(F.collect_list(F.when(F.size("relevant_sections") > 0,
-                                           F.struct("depth", "url", entry.alias("e"))))).alias("rel"))
-    doc = per_site.join(base_urls.withColumnRenamed("url", "base_url"), "entity", "left").select(
+    links(entity, page_id, link_seq, url, text, title);
+    priorities(entity, page_id, link_seq, url, priority); base_urls(entity, url)."""
+    pages = crawl_pages(visited, analysis, pages_meta, links, priorities)
+    entry = F.struct("url", "relevant_sections", "relevant_links",
+                     F.struct("title", "h1", "h2", "description", "link_data").alias("metadata"))
+    listed = pages.groupBy("entity").agg(
+        F.sort_array(F.collect_list(F.struct("depth", "url", entry.alias("e")))).alias("rel"))
+    nothing = F.array().cast(listed.schema["rel"].dataType)
+    per_site = (crawl_counts(visited, pages).join(listed, "entity", "left")
+                .withColumn("rel", F.coalesce("rel", nothing)))
+    entries = F.transform("rel", lambda x: F.struct(x["url"], x["e"]))
+    return per_site.join(base_urls.withColumnRenamed("url", "base_url"), "entity", "left").select(
         "entity",
         F.to_json(F.struct(
             F.col("entity").alias("school_name"), "base_url",
-            F.map_from_entries(F.transform("rel", lambda x: F.struct(x["url"], x["e"]))).alias("relevant_urls"),
-            F.struct(F.col("visited").alias("total_pages_visited"),
-                     F.size("rel").alias("relevant_pages_found"),
-                     stamp(run_ts).alias("timestamp")).alias("crawl_stats"))).alias("json"))
-    return doc
+            F.map_from_entries(entries).alias("relevant_urls"),
+            F.struct("total_pages_visited", "relevant_pages_found", stamp(run_ts).alias("timestamp"))
+            .alias("crawl_stats"))).alias("json"))
 
 
 def ranked_url_documents(ranked: DataFrame, run_ts: str) -> DataFrame:
@@ -112,4 +135,5 @@ def single_page_result(fragments: DataFrame, url: str, path: str) -> None:
     """Extraction result of one page (a pushed-down equality filter on the
     source URL), written as JSON text."""
     one = fragments.where(F.col("source_url") == url).select(F.col("json").alias("value"))
-    one.coalesce(1).write.mode("overwrite").text(path)
+    # a shuffle, so that the extractor above keeps its own parallelism
+    one.repartition(1).write.mode("overwrite").text(path)

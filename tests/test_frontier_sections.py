@@ -50,3 +50,25 @@ def test_compaction_keeps_results(spark):
     seeds = spark.createDataFrame([("s", "n0")], "entity string, url string")
     got = sorted((r.url, r.depth) for r in FR.crawl(seeds, edges, compact_every=3).collect())
     assert got == sorted((f"n{i}", i) for i in range(13))
+
+
+def test_long_chain_is_crawled_to_its_end(spark):
+    n = 56
+    seeds = spark.createDataFrame([("s", "u0")], "entity string, url string")
+    edges = spark.createDataFrame([(f"u{i}", f"u{i + 1}") for i in range(n)], "src string, dst string")
+    got = {r.url: r.depth for r in FR.crawl(seeds, edges).collect()}
+    assert got == {f"u{i}": i for i in range(n + 1)}
+
+
+def test_hub_is_spread_by_its_measured_links(spark, monkeypatch):
+    monkeypatch.setattr(FR, "LINKS_PER_CELL", 5)
+    edges = spark.createDataFrame([("hub", f"u{i}", "high") for i in range(40)] + [("a", "b", "high")],
+                                  "src string, dst string, priority string")
+    cells = {(r.src, r.salt) for r in FR._cells(edges).collect()}
+    assert ("a", 0) in cells and len(cells) > 4
+
+
+def test_min_priority(spark):
+    df = spark.createDataFrame([("a", "high"), ("b", "medium"), ("c", "low"), ("d", None)], "url string, priority string")
+    assert {r.url for r in SC.min_priority(df).collect()} == {"a", "b"}
+    assert {r.url for r in SC.min_priority(df, "low").collect()} == {"a", "b", "c"}

@@ -23,7 +23,7 @@ SITE = [
 
 def test_crawl_rank_extract_validate(spark):
     p = pages_df(spark, SITE)
-    crawl = J.crawl_sites(p, max_rounds=10)
+    crawl = J.crawl_sites(p)
     visited = {r.url: r.depth for r in crawl.visited.collect()}
     assert visited == {"http://h.x/": 0, "http://h.x/adm": 1, "http://h.x/cur": 1, "http://h.x/int": 2}
     doc = json.loads(crawl.documents.collect()[0].json)
