@@ -1,17 +1,19 @@
-"""JSON flattening UDTFs (lateral, Arrow-batched).
+"""Flattening of JSON documents in Arrow batches.
 
 Spark's VARIANT functions explode one level at a time; documents of unknown
-depth need recursion, so the walk runs as a Python table function next to
-the data.  Each call handles one document; all joins, ordering and merging
-happen in Spark afterwards.
+depth are walked next to the data, one batch of documents a call.  All joins,
+ordering and merging happen in Spark afterwards.
 """
 
 from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql.functions import udtf
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 
 def kind_of(v) -> str:
@@ -58,92 +60,120 @@ def scalar_text(v) -> str | None:
     return canonical(v)
 
 
-def parse_object(s):
+def parse_object(text: str | None) -> dict:
+    """The document as an object, with the reason as a ``ValueError`` otherwise.
+
+    Accepted is what Python's reader accepts: of repeated keys the last counts."""
     try:
-        doc = json.loads(s)
-    except (TypeError, ValueError):
-        return None
-    return doc if isinstance(doc, dict) else None
-
-
-@udtf(returnType="path array<string>, depth int, kind string, value string, truthy boolean, "
-                 "items array<struct<kind:string,value:string,canon:string>>", useArrow=True)
-class JsonNodes:
-    """Every node reachable from the root object through object keys, with
-    its key path.  Arrays are atomic (their items are listed, not walked).
-    Top-level ``fill_keys`` absent from the document are emitted as empty
-    objects (the schema default every fragment receives)."""
-
-    def eval(self, doc_json: str, fill_keys: list | None = None):
-        doc = parse_object(doc_json)
-        if doc is None:
-            return
-        for k in fill_keys or []:
-            if k not in doc:
-                yield [k], 1, "object", None, False, None
-        stack = [([k], v) for k, v in reversed(list(doc.items()))]
-        while stack:
-            path, v = stack.pop()
-            k = kind_of(v)
-            items = [(kind_of(i), scalar_text(i), canonical(i)) for i in v] if k == "array" else None
-            value = None if k in ("object", "array") else scalar_text(v)
-            yield path, len(path), k, value, bool(v), items
-            if k == "object":
-                stack.extend((path + [ck], cv) for ck, cv in reversed(list(v.items())))
-
-
-@udtf(returnType="field_path string, kind string, value string, ord int", useArrow=True)
-class JsonLeaves:
-    """Validation leaves: objects recurse; list items that are objects
-    recurse, every other item (nested lists included) is one leaf named
-    ``path[i]``; empty objects and lists yield nothing."""
-
-    def eval(self, doc_json: str):
-        doc = parse_object(doc_json)
-        if doc is None:
-            return
-        out = []
+        doc = json.loads(text)
+    except json.JSONDecodeError:
+        raise
+    except TypeError:
+        raise ValueError("no document") from None
+    except RecursionError:
+        raise ValueError("nested too deeply") from None
+    if not isinstance(doc, dict):
+        raise ValueError("not an object")
+    return doc
+
+
+def walk(doc: dict, into_lists: bool) -> Iterator[tuple[tuple, object]]:
+    """(path, value) of everything below a document, parents first, in document
+    order, on an explicit stack.  A path holds keys and list positions; a list
+    inside a list is not opened."""
+    todo = [((key,), value) for key, value in reversed(doc.items())]
+    while todo:
+        path, value = todo.pop()
+        yield path, value
+        if isinstance(value, dict):
+            below = value.items()
+        elif into_lists and isinstance(value, list) and isinstance(path[-1], str):
+            below = enumerate(value)
+        else:
+            continue
+        todo.extend([((*path, step), child) for step, child in below][::-1])
+
+
+def rendered(path: tuple) -> str:
+    return "".join(f"[{p}]" if isinstance(p, int) else f".{p}" for p in path)[1:]
+
+
+def leaves(text: str | None) -> list[tuple[str, str, str | None, int]]:
+    """(field path, kind, value, place) of a document's leaves; no rows without an object.
+
+    Objects and lists are opened, lists in lists are leaves; what is empty has none."""
+    try:
+        found = [(path, value) for path, value in walk(parse_object(text), into_lists=True)
+                 if not isinstance(value, dict) and (not isinstance(value, list) or isinstance(path[-1], int))]
+        return [(rendered(path), kind_of(value), scalar_text(value), place)
+                for place, (path, value) in enumerate(found)]
+    except (ValueError, RecursionError):
+        return []
 
-        def walk(obj, prefix):
-            for key, value in obj.items():
-                cur = f"{prefix}.{key}" if prefix else key
-                if isinstance(value, dict):
-                    walk(value, cur)
-                elif isinstance(value, list):
-                    for i, item in enumerate(value):
-                        if isinstance(item, dict):
-                            walk(item, f"{cur}[{i}]")
-                        else:
-                            out.append((f"{cur}[{i}]", kind_of(item), scalar_text(item)))
-                else:
-                    out.append((cur, kind_of(value), scalar_text(value)))
-
-        walk(doc, "")
-        for i, (p, k, v) in enumerate(out):
-            yield p, k, v, i
-
-
-@udtf(returnType="path string, kind string, ord int", useArrow=True)
-class SchemaPaths:
-    """Schema (taxonomy) walk: object nodes recurse, every key is a path."""
-
-    def eval(self, doc_json: str):
-        doc = parse_object(doc_json)
-        if doc is None:
-            return
-        out = []
 
-        def walk(obj, prefix):
-            for key, value in obj.items():
-                cur = f"{prefix}.{key}" if prefix else key
-                out.append((cur, kind_of(value)))
-                if isinstance(value, dict):
-                    walk(value, cur)
+def schema_paths(program: dict) -> list[tuple[list[str], str, int]]:
+    """(path, kind, place) of every key of a schema, objects opened."""
+    return [(list(path), kind_of(value), place) for place, (path, value) in enumerate(walk(program, into_lists=False))]
+
 
-        walk(doc, "")
-        for i, (p, k) in enumerate(out):
-            yield p, k, i
+def json_leaves(df: DataFrame, column: str, keep: list[str]) -> DataFrame:
+    """``keep`` and ``field_path, kind, value, ord`` of each leaf of the JSON column."""
+    def flatten(batches):
+        for pdf in batches:
+            per_row = [leaves(t) for t in pdf[column]]
+            at = [k for k, rows in enumerate(per_row) for _ in rows]
+            out = pd.DataFrame([r for rows in per_row for r in rows], columns=["field_path", "kind", "value", "ord"])
+            yield pd.concat([pdf[keep].iloc[at].reset_index(drop=True), out], axis=1)
 
+    schema = T.StructType([df.schema[c] for c in keep] + [
+        T.StructField("field_path", T.StringType()), T.StructField("kind", T.StringType()),
+        T.StructField("value", T.StringType()), T.StructField("ord", T.IntegerType())])
+    return df.select(*keep, column).mapInPandas(flatten, schema)
 
-def lateral(df: DataFrame, fn, col: Column) -> DataFrame:
-    return df.lateralJoin(fn(col.outer()))
+
+NODE_SCHEMA = ("path array<string>, depth int, kind string, value string, truthy boolean, "
+               "items array<struct<kind:string,value:string,canon:string>>, error string, position int")
+#: Characters of a broken document that its error row shows on either side.
+AROUND = 50
+
+
+def nodes(text: str | None, fill: list[str]) -> list[tuple]:
+    """Every node reachable through object keys, in the order of ``NODE_SCHEMA``.
+
+    Lists are atomic: their items are listed.  Keys of ``fill`` that the document
+    lacks are empty objects.  A text without an object is one row with the error,
+    its position and the text around it."""
+    try:
+        doc = parse_object(text)
+        rows = [((k,), {}) for k in fill if k not in doc] + list(walk(doc, into_lists=False))
+        out = []
+        for path, value in rows:
+            kind = kind_of(value)
+            items = [{"kind": kind_of(i), "value": scalar_text(i), "canon": canonical(i)} for i in value] \
+                if kind == "array" else None
+            out.append((list(path), len(path), kind, None if kind in ("object", "array") else scalar_text(value),
+                        bool(value), items, None, None))
+        return out
+    except json.JSONDecodeError as e:
+        around = text[max(0, e.pos - AROUND):e.pos + AROUND]
+        return [(None, 0, "error", around, False, None, f"invalid JSON: {e.msg}", e.pos)]
+    except RecursionError:
+        return [(None, 0, "error", text[:2 * AROUND], False, None, "nested too deeply", 0)]
+    except ValueError as e:
+        return [(None, 0, "error", (text or "")[:2 * AROUND], False, None, str(e), 0)]
+
+
+def json_nodes(df: DataFrame, column: str, keep: list[str], fill: list[str]) -> DataFrame:
+    """``keep`` and ``NODE_SCHEMA`` of each node of the JSON column, error rows included."""
+    names = ["path", "depth", "kind", "value", "truthy", "items", "error", "position"]
+
+    def flatten(batches):
+        for pdf in batches:
+            per_row = [nodes(t, fill) for t in pdf[column]]
+            at = [k for k, rows in enumerate(per_row) for _ in rows]
+            out = pd.DataFrame([r for rows in per_row for r in rows], columns=names)
+            out["position"] = out["position"].astype("Int32")
+            yield pd.concat([pdf[keep].iloc[at].reset_index(drop=True), out], axis=1)
+
+    schema = T.StructType([df.schema[c] for c in keep] + T.StructType.fromDDL(NODE_SCHEMA).fields)
+    return df.select(*keep, column).mapInPandas(flatten, schema)

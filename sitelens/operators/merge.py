@@ -26,27 +26,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitelens.functions.jsonpaths import JsonNodes
+from sitelens.functions.jsonpaths import json_nodes
 from sitelens.session import cut_lineage
 
 
-def fragment_nodes(fragments: DataFrame, schema_keys: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """fragments(entity, seq, json) -> (nodes, errors).
+def fragment_nodes(fragments: DataFrame, schema_keys: list[str] | None = None) -> DataFrame:
+    """fragments(entity, seq, json) -> entity, seq, path array<string>, depth,
+    kind, value, truthy, items, error, position.
 
-    nodes: entity, seq, path array<string>, depth, kind, value, truthy, items.
-    Fragments that are not a JSON object go to ``errors`` and are skipped.
+    Fragments that are no JSON object give one row of depth 0 with the error.
     Top-level schema keys absent from a fragment are filled with ``{}``; a
     fragment still empty after that is dropped."""
-    parsed = fragments.select("entity", "seq", "json", F.try_parse_json("json").alias("_v"))
-    is_obj = F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False))
-    errors = parsed.where(~is_obj).select(
-        "entity", "seq",
-        F.when(F.col("_v").isNull(), F.lit("invalid JSON")).otherwise(F.lit("not an object")).alias("reason"),
-        F.substring("json", 1, 100).alias("context"))
-    good = parsed.where(is_obj).select("entity", "seq", "json")
-    keys = F.array(*[F.lit(k) for k in (schema_keys or [])]).cast("array<string>")
-    nodes = good.lateralJoin(JsonNodes(F.col("json").outer(), keys)).drop("json")
-    return nodes, errors
+    return json_nodes(fragments, "json", ["entity", "seq"], list(schema_keys or []))
+
+
+def fragment_errors(nodes: DataFrame) -> DataFrame:
+    """The fragments that were skipped: reason, position and the text around it."""
+    return nodes.where("depth = 0").select("entity", "seq", F.col("error").alias("reason"), "position",
+                                           F.col("value").alias("context"))
 
 
 def merge_nodes(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -54,12 +51,14 @@ def merge_nodes(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     merged nodes: entity, path, depth, kind, value.
     merged items: entity, path, seq, idx, kind, value (order = (seq, idx))."""
+    nodes = nodes.where("depth > 0")
     occ = F.struct("seq", "kind", "value")
     w = nodes.groupBy("entity", "path").agg(
         F.min(F.when(F.col("truthy"), occ)).alias("t"), F.min(occ).alias("f"), F.first("depth").alias("depth"))
-    w = w.select("entity", "path", "depth", "t", "f",
-                 F.coalesce(F.col("t.kind"), F.col("f.kind")).alias("kind"),
-                 F.when(F.col("t").isNotNull(), F.col("t.value")).otherwise(F.col("f.value")).alias("value"))
+    # read several times below: a row per path, written once
+    w = cut_lineage(w.select("entity", "path", "depth", "t", "f",
+                             F.coalesce(F.col("t.kind"), F.col("f.kind")).alias("kind"),
+                             F.when(F.col("t").isNotNull(), F.col("t.value")).otherwise(F.col("f.value")).alias("value")))
 
     # a path lives iff all proper ancestors won as objects
     anc = (w.where(F.col("depth") > 1)
@@ -79,7 +78,10 @@ def merge_nodes(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
                  .join(arr, ["entity", "path"])
                  .where(F.col("seq") >= F.col("t_seq"))
                  .select("entity", "path", "seq", "t_seq", "verbatim",
-                         F.posexplode("items").alias("idx", "it")))
+                         F.posexplode("items").alias("idx", "it"))
+                 # dealt out anew by item: the join's own exchange then serves nothing above
+                 # it, and its skewed partitions can be split
+                 .repartition("entity", "path", F.col("it.canon")))
     firsts = (item_rows.groupBy("entity", "path", F.col("it.canon").alias("canon"))
               .agg(F.min(F.struct("seq", "idx", F.col("it.kind").alias("kind"),
                                   F.col("it.value").alias("value"))).alias("m"))
@@ -94,11 +96,11 @@ def merge_nodes(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
 def merge_fragments(fragments: DataFrame, schema_keys: list[str] | None = None, materialize: bool = True):
     """Flatten once (materialised with a reliable checkpoint, since the node
     table feeds three branches of the merge), then merge."""
-    nodes, errors = fragment_nodes(fragments, schema_keys)
+    nodes = fragment_nodes(fragments, schema_keys)
     if materialize:
         nodes = cut_lineage(nodes)
     merged, items = merge_nodes(nodes)
-    return merged, items, errors
+    return merged, items, fragment_errors(nodes)
 
 
 def flat_record(merged: DataFrame, items: DataFrame) -> DataFrame:
@@ -113,30 +115,6 @@ def flat_record(merged: DataFrame, items: DataFrame) -> DataFrame:
     return n.unionByName(i)
 
 
-def fold_reference(fragments: list[dict]) -> dict:
-    """The sequential fold, for tests (brute-force oracle of the relational form)."""
-    def merge(target, source):
-        for key, value in source.items():
-            if key in target:
-                if isinstance(target[key], dict) and isinstance(value, dict):
-                    merge(target[key], value)
-                elif isinstance(target[key], list) and isinstance(value, list):
-                    cur = target[key]
-                    for x in value:
-                        if x not in cur:
-                            cur.append(x)
-                else:
-                    if value and not target[key]:
-                        target[key] = value
-            else:
-                target[key] = value
-    out: dict = {}
-    for frag in fragments:
-        if frag:
-            merge(out, frag)
-    return out
-
-
 def _decode(kind: str, value):
     import json
     if kind == "string":

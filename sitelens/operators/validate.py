@@ -120,31 +120,28 @@ def verdicts(results: DataFrame) -> DataFrame:
 def structure_issues(schema_paths: DataFrame, data_nodes: DataFrame, full_types: bool = False) -> DataFrame:
     """schema_paths(path, kind, ord) x sites vs data_nodes(entity, path, kind).
 
-    Missing path -> 'Missing required field: p'; schema object but data not
-    an object -> 'Type mismatch at p: expected dict'.  Children of a missing
-    or mismatched node are not reported.  ``full_types`` also reports other
-    kind differences (the documented stricter check)."""
+    Paths are arrays of keys, so a key with a dot is one step; issues show them
+    joined.  Missing path -> 'Missing required field: p'; schema object but data
+    not an object -> 'Type mismatch at p: expected dict'.  Children of a missing
+    or mismatched node are not reported.  ``full_types`` also reports other kind
+    differences (the documented stricter check)."""
     sites = data_nodes.select("entity").distinct()
-    cand = sites.crossJoin(F.broadcast(schema_paths))  # schema: bounded literal
+    cand = sites.crossJoin(schema_paths)     # one row a site and schema path, which is the output's bound
     j = cand.join(data_nodes.select("entity", "path", F.col("kind").alias("data_kind")), ["entity", "path"], "left")
     mismatch = (F.col("kind") == "object") & (F.col("data_kind") != "object")
     if full_types:
         mismatch = mismatch | ((F.col("kind") != "object") & (F.col("data_kind") != F.col("kind"))
                                & (F.col("data_kind") != "null"))
+    shown = F.array_join("path", ".")
     raw = j.where(F.col("data_kind").isNull() | mismatch).select(
         "entity", "path", "ord",
-        F.when(F.col("data_kind").isNull(), F.concat(F.lit("Missing required field: "), F.col("path")))
-        .when(F.col("kind") == "object", F.concat(F.lit("Type mismatch at "), F.col("path"), F.lit(": expected dict")))
-        .otherwise(F.concat(F.lit("Type mismatch at "), F.col("path"), F.lit(": expected "), F.col("kind")))
+        F.when(F.col("data_kind").isNull(), F.concat(F.lit("Missing required field: "), shown))
+        .when(F.col("kind") == "object", F.concat(F.lit("Type mismatch at "), shown, F.lit(": expected dict")))
+        .otherwise(F.concat(F.lit("Type mismatch at "), shown, F.lit(": expected "), F.col("kind")))
         .alias("issue"))
     # drop issues under an already reported ancestor
-    anc = (raw.select("entity", "path", F.explode(_prefixes(F.col("path"))).alias("anc")))
+    above = F.transform(F.sequence(F.lit(1), F.size("path") - 1), lambda i: F.slice("path", 1, i))
+    anc = raw.where(F.size("path") > 1).select("entity", "path", F.explode(above).alias("anc"))
     covered = anc.join(raw.select("entity", F.col("path").alias("anc")), ["entity", "anc"]).select("entity", "path")
-    return raw.join(covered.distinct(), ["entity", "path"], "left_anti")
-
-
-def _prefixes(path: Column) -> Column:
-    parts = F.split(path, "\\.")
-    n = F.size(parts)
-    return F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
-                       lambda i: F.when(i < n, F.array_join(F.slice(parts, 1, i), ".")))
+    return (raw.join(covered.distinct(), ["entity", "path"], "left_anti")
+            .withColumn("path", F.array_join("path", ".")))

@@ -299,7 +299,8 @@ def crawl_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- P18, P19, P20, A11, U3, U5: fragments, leaves and the deep merge ---------
 
 from sitelens import taxonomy as TX  # noqa: E402
-from sitelens.functions.jsonpaths import JsonLeaves  # noqa: E402
+from sitelens.functions.jsonpaths import json_leaves as flat_leaves  # noqa: E402
+from sitelens.functions.jsonpaths import schema_paths  # noqa: E402
 from sitelens.operators import merge as MG  # noqa: E402
 from sitelens.operators import records as RC  # noqa: E402
 from sitelens.operators import validate as VD  # noqa: E402
@@ -324,9 +325,7 @@ UNION ALL SELECT entity, page_id, 'tags[' || link_seq || ']', 'string', text, CA
 UNION ALL SELECT entity, seq, 'stats.anchors', 'number', CAST(n AS VARCHAR), CAST(2 + n AS INTEGER) FROM fr
 """)
 def json_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fr = _fragments(spark, sf_dir)
-    return fr.lateralJoin(JsonLeaves(F.col("json").outer())).select(
-        "entity", "seq", "field_path", "kind", "value", "ord")
+    return flat_leaves(_fragments(spark, sf_dir), "json", ["entity", "seq"])
 
 
 _MERGE_CTE = f"""{_FRAG_CTE},
@@ -375,10 +374,9 @@ def record_leaves(merged: DataFrame, items: DataFrame) -> DataFrame:
                         ["entity", "p"], ["seq", "idx"])
     flat_items = it.where(F.col("kind") != "object").select(
         "entity", F.format_string("%s[%d]", "p", "pos").alias("field_path"), "kind", "value")
-    obj_items = (it.where(F.col("kind") == "object")
-                 .lateralJoin(JsonLeaves(F.col("value").outer()).alias("l"))
-                 .select("entity", F.format_string("%s[%d].%s", "p", "pos", F.col("l.field_path")).alias("field_path"),
-                         F.col("l.kind").alias("kind"), F.col("l.value").alias("value")))
+    objects = it.where(F.col("kind") == "object").select("entity", "p", "pos", F.col("value").alias("json"))
+    obj_items = flat_leaves(objects, "json", ["entity", "p", "pos"]).select(
+        "entity", F.format_string("%s[%d].%s", "p", "pos", "field_path").alias("field_path"), "kind", "value")
     return scal.unionByName(flat_items).unionByName(obj_items).withColumn("ord", F.lit(0))
 
 
@@ -440,21 +438,8 @@ def validation_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return VD.rollup(_validation(spark, sf_dir))
 
 
-def _schema_rows() -> list[tuple[str, str, int]]:
-    from sitelens.functions.jsonpaths import kind_of
-    out = []
-
-    def walk(obj, prefix):
-        for k, v in obj.items():
-            p = f"{prefix}.{k}" if prefix else k
-            out.append((p, kind_of(v), len(out)))
-            if isinstance(v, dict):
-                walk(v, p)
-    walk(TX.SAMPLE_PROGRAM, "")
-    return out
-
-
-_SCHEMA_VALUES = ", ".join(f"({S.q(p)}, {S.q(k)}, {o})" for p, k, o in _schema_rows())
+SCHEMA = schema_paths(TX.SAMPLE_PROGRAM)
+_SCHEMA_VALUES = ", ".join(f"({S.q('.'.join(p))}, {S.q(k)}, {o})" for p, k, o in SCHEMA)
 
 
 @register("schema_issues", f"""WITH {_MERGE_CTE},
@@ -469,8 +454,8 @@ SELECT entity, path, ord, issue FROM raw r
 WHERE NOT EXISTS (SELECT 1 FROM raw a WHERE a.entity = r.entity AND starts_with(r.path, a.path || '.'))""")
 def schema_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     merged, _, _ = _merged(spark, sf_dir)
-    sp = spark.createDataFrame(_schema_rows(), "path string, kind string, ord int")
-    dn = merged.select("entity", F.array_join("path", ".").alias("path"), "kind")
+    sp = spark.createDataFrame(SCHEMA, "path array<string>, kind string, ord int")
+    dn = merged.select("entity", "path", "kind")
     return VD.structure_issues(sp, dn).select("entity", "path", "ord", "issue")
 
 
@@ -744,8 +729,8 @@ SELECT entity, path, ord, issue FROM raw r
 WHERE NOT EXISTS (SELECT 1 FROM raw a WHERE a.entity = r.entity AND starts_with(r.path, a.path || '.'))""")
 def schema_issues_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     merged, _, _ = _merged(spark, sf_dir)
-    sp = spark.createDataFrame(_schema_rows(), "path string, kind string, ord int")
-    dn = merged.select("entity", F.array_join("path", ".").alias("path"), "kind")
+    sp = spark.createDataFrame(SCHEMA, "path array<string>, kind string, ord int")
+    dn = merged.select("entity", "path", "kind")
     return VD.structure_issues(sp, dn, full_types=True).select("entity", "path", "ord", "issue")
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from sitelens import taxonomy as TXN
 from sitelens import vocab
 from sitelens.functions import html as H
+from sitelens.functions.jsonpaths import schema_paths
 from sitelens.operators import content as CT
 from sitelens.operators import frontier as FR
 from sitelens.operators import links as LK
@@ -110,22 +111,9 @@ def validate_records(merged: DataFrame, items: DataFrame, pages: DataFrame, acce
     results = VD.validate_fields(leaves, pt, run_ts=run_ts)
     summary = VD.summary(results, ["entity"])
     spark = pages.sparkSession
-    from sitelens.plans.catalog import _schema_rows
-    sp = spark.createDataFrame(_schema_rows() if program is None else _paths(program), "path string, kind string, ord int")
-    issues = VD.structure_issues(sp, merged.select("entity", F.array_join("path", ".").alias("path"), "kind"))
+    sp = spark.createDataFrame(schema_paths(TXN.SAMPLE_PROGRAM if program is None else program),
+                               "path array<string>, kind string, ord int")
+    issues = VD.structure_issues(sp, merged.select("entity", "path", "kind"))
     report = SK.validation_report(results, summary, run_ts)
     return results, summary, issues, report
 
-
-def _paths(program: dict) -> list[tuple[str, str, int]]:
-    from sitelens.functions.jsonpaths import kind_of
-    out: list[tuple[str, str, int]] = []
-
-    def walk(obj, prefix):
-        for k, v in obj.items():
-            p = f"{prefix}.{k}" if prefix else k
-            out.append((p, kind_of(v), len(out)))
-            if isinstance(v, dict):
-                walk(v, p)
-    walk(program, "")
-    return out

@@ -1,3 +1,5 @@
+import functools
+import itertools
 import json
 import random
 
@@ -26,7 +28,24 @@ def fold(frs, schema_keys=None):
         for k in schema_keys or []:
             d.setdefault(k, {})
         docs.append(d)
-    return MG.fold_reference(docs)
+    return settle([d for d in docs if d] or [{}])
+
+
+def settle(values):
+    """Merged value of one key by replaying its occurrences in order: the
+    occurrences that make it up are kept, and objects are settled key by key."""
+    parts = values[:1]
+    for v in values[1:]:
+        both = {type(parts[0]), type(v)}
+        if both == {dict}:
+            parts.append(v)
+        elif both == {list}:
+            parts = [functools.reduce(lambda seen, x: seen if x in seen else [*seen, x], v, parts[0])]
+        elif v and not any(parts):
+            parts = [v]
+    if isinstance(parts[0], dict):
+        return {k: settle([p[k] for p in parts if k in p]) for k in dict.fromkeys(itertools.chain(*parts))}
+    return parts[0]
 
 
 def test_golden_cases(spark):
@@ -57,7 +76,9 @@ def test_bad_json_routed_and_schema_fill(spark):
     seqs = {"s": ["{bad", "[1]", "{}"]}
     got, errors = run_merge(spark, seqs, ["x", "y"])
     assert got["s"] == {"x": {}, "y": {}}
-    assert sorted(r.reason for r in errors.collect()) == ["invalid JSON", "not an object"]
+    bad = sorted((r.reason, r.position, r.context) for r in errors.collect())
+    assert [b[0].split(":")[0] for b in bad] == ["invalid JSON", "not an object"]
+    assert bad[0][1] > 0 and bad[0][2]
 
 
 def _rand_value(rng, depth=0):
@@ -78,3 +99,24 @@ def test_relational_merge_equals_fold_on_random_sequences(spark):
     got, _ = run_merge(spark, seqs)
     bad = [e for e, frs in seqs.items() if got[e] != fold(frs)]
     assert not bad, (bad[:3], [seqs[b] for b in bad[:1]], [got[b] for b in bad[:1]])
+
+
+def test_what_the_reader_accepts_and_too_deep_documents(spark):
+    deep = '{"a":' * 100_000 + "1" + "}" * 100_000
+    got, errors = run_merge(spark, {"s": ['{"a":1,"a":2}', '{"c":NaN}', deep, '{"a":3']})
+    assert got["s"]["a"] == 2 and got["s"]["c"] != got["s"]["c"]
+    rows = {r.seq: r for r in errors.collect()}
+    assert set(rows) == {2, 3} and rows[2].reason == "nested too deeply"
+    assert rows[3].position == 6 and rows[3].context == '{"a":3'
+
+
+def test_items_are_dealt_anew_before_they_are_grouped(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.createDataFrame([("s", 0, '{"a":[1]}'), ("s", 1, '{"a":[2]}')], "entity string, seq bigint, json string")
+        _, items, _ = MG.merge_fragments(df)
+        plan = items._jdf.queryExecution().executedPlan().toString()
+        above = plan[:plan.index("SortMergeJoin [entity")]
+        assert "canon" in plan and "Exchange hashpartitioning(entity" in above
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

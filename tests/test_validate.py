@@ -2,7 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from sitelens.functions.jsonpaths import JsonLeaves
+from sitelens.functions.jsonpaths import json_leaves
 from sitelens.operators import validate as VD
 
 
@@ -33,17 +33,20 @@ def test_exact_fuzzy_and_skip(spark):
 def test_leaf_paths(spark):
     doc = json.dumps({"a": {"b": [{"c": 1}, 2, [3]]}, "d": {}})
     df = spark.createDataFrame([(doc,)], "json string")
-    out = df.lateralJoin(JsonLeaves(F.col("json").outer())).orderBy("ord").collect()
+    out = json_leaves(df, "json", []).orderBy("ord").collect()
     assert [(r.field_path, r.kind, r.value) for r in out] == [
         ("a.b[0].c", "number", "1"), ("a.b[1]", "number", "2"), ("a.b[2]", "array", "[3]")]
 
 
 def test_structure(spark):
-    sp = spark.createDataFrame([("a", "object", 0), ("a.b", "number", 1), ("c", "number", 2)],
-                               "path string, kind string, ord int")
-    dn = spark.createDataFrame([("s", "a", "number")], "entity string, path string, kind string")
+    sp = spark.createDataFrame([(["a"], "object", 0), (["a", "b"], "number", 1), (["c"], "number", 2),
+                                (["d", "e"], "string", 3)], "path array<string>, kind string, ord int")
+    # a data key with a dot is no path of two keys
+    dn = spark.createDataFrame([("s", ["a"], "number"), ("s", ["d.e"], "string")],
+                               "entity string, path array<string>, kind string")
     out = sorted((r.path, r.issue) for r in VD.structure_issues(sp, dn).collect())
-    assert out == [("a", "Type mismatch at a: expected dict"), ("c", "Missing required field: c")]
+    assert out == [("a", "Type mismatch at a: expected dict"), ("c", "Missing required field: c"),
+                   ("d.e", "Missing required field: d.e")]
 
 
 def test_summary_counts(spark):
