@@ -14,10 +14,10 @@ Texts of more than ``CHUNK`` characters are cut every ``CHUNK`` characters:
    backwards: one state stays at each cut.
 3. Each chunk traces its own path between its two states.
 
-Shorter texts are one chunk.  Between places where no piece can span (before a
-space that follows another character) the library's encoding of the single word
-is taken and kept, so the lattice runs only around cuts and in long runs without
-spaces.
+Shorter texts are one chunk, and one chunk is what the library encodes at once.  It
+also encodes what lies in a chunk between the first and the last place that no
+piece spans (before a space that follows another character), so the lattice runs
+only around cuts and in long runs without spaces.
 
 Encoding is the library's, without begin or end.  Decoding gives the text back,
 except that U+2581 stands for a space in this vocabulary and comes back as one.
@@ -33,7 +33,7 @@ import itertools
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,8 +42,10 @@ from .common import materialize, text_or_empty, tokenizer_path
 MODEL = "piece_bpe_32k.model"
 #: Characters of a chunk; texts up to this length are one chunk.
 CHUNK = 1 << 15
-#: Words and pairs a Python worker remembers.
-REMEMBERED = 400_000
+#: Pairs of pieces a Python worker remembers.
+REMEMBERED = 100_000
+#: Texts that are encoded at a time.
+ROWS = 256
 SPACE = "▁"
 START = ""
 NONE, FREE = np.float32(-np.inf), np.float32(0)
@@ -64,40 +66,18 @@ class Pieces:
             self.bytes[i] = bytes([b])
         self.rank = {piece: -sp.get_score(i) for piece, i in self.ids.items()}
         self.longest = max(map(len, self.ids))
-        self.words: dict[str, tuple[int, ...]] = {}
         self.allowed: dict[tuple[str, str], bool] = {}
-        if any(SPACE in p.lstrip(SPACE) for p in self.ids):
+        if any(SPACE in p.lstrip(SPACE) or "\0" in p for p in self.ids):
             raise ValueError("a piece goes on behind a space: words can't be told apart")
 
-    # words
-
-    def word(self, unit: str) -> tuple[int, ...]:
-        """Ids of a unit that no piece leaves: spaces, then other characters."""
-        found = self.words.get(unit)
-        if found is None:
-            if len(self.words) >= REMEMBERED:
-                self.words.clear()
-            # the library puts the first space there itself
-            found = self.words[unit] = tuple(self.sp.encode(unit[1:])) if len(unit) > 1 else (self.ids[unit],)
-        return found
+    def encode(self, texts: list[str | None]) -> list[list[int]]:
+        return self.sp.encode([t or "" for t in texts], num_threads=1)
 
     def span(self, s: str) -> list[int]:
-        """Ids of a normalised text whose ends are both free of spanning pieces."""
-        out: list[int] = []
-        known, lead = self.words, ""
-        for p in s.split(SPACE)[1:]:
-            lead += SPACE
-            if p:
-                unit = lead + p
-                found = known.get(unit)
-                out.extend(self.word(unit) if found is None else found)
-                lead = ""
-        if lead:
-            out.extend(self.word(lead))
-        return out
-
-    def encode(self, text: str | None) -> list[int]:
-        return self.span(normal(text)) if text else []
+        """Ids of a normalised text, from a space on, whose ends no piece spans."""
+        if len(s) < 2:
+            return [self.ids[s]] if s else []
+        return self.sp.encode(s[1:])                       # the library puts the first space there itself
 
     def decode(self, ids) -> str:
         if ids is None or not len(ids):
@@ -213,7 +193,7 @@ class Pieces:
             return self.trace(chunk.s, entries[entry], exits[exit_], chunk.end)
         head = self.trace(chunk.s, entries[entry], None, free[0]) if entries[entry][0] < free[0] else []
         tail = self.trace(chunk.s, (free[1], START), exits[exit_], chunk.end) if exits[exit_][0] > free[1] else []
-        return head + (self.span(chunk.s[free[0]:free[1]]) if free[1] > free[0] else []) + tail
+        return head + self.span(chunk.s[free[0]:free[1]]) + tail
 
 
 class Chunk:
@@ -281,14 +261,23 @@ def read_model(path: str | None = None) -> bytes:
 CHUNK_SCHEMA = "row bigint, chunk int, s string, begin int, end int, first boolean, last boolean"
 
 
-def encode(docs: DataFrame, model: bytes, size: int = CHUNK) -> DataFrame:
-    """``docs`` with ``token_ids`` of its ``text``."""
+def encode(docs: DataFrame, model: bytes, size: int = CHUNK, verify: bool = False) -> DataFrame:
+    """``docs`` with ``token_ids`` of its ``text``, and ``round_trip``, whether they decode to it, if asked for."""
     shared = docs.sparkSession.sparkContext.broadcast(model)      # half a megabyte
 
-    @F.pandas_udf("array<int>")
-    def whole(texts: pd.Series) -> pd.Series:
+    def whole(batches):
+        import pyarrow as pa
         p = pieces_of(shared.value)
-        return pd.Series([np.array(p.encode(t), np.int32) for t in texts], dtype=object)
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                texts = part.column("text").to_pylist()
+                ids = [np.array(i, np.int32) for i in p.encode(texts)]
+                columns = [*part.columns, pa.array(ids, pa.list_(pa.int32()))]
+                if verify:
+                    columns.append(pa.array([p.decode(i) == (t or "").replace(SPACE, " ")
+                                             for i, t in zip(ids, texts, strict=True)]))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     def cut(batches):
         p = pieces_of(shared.value)
@@ -319,10 +308,13 @@ def encode(docs: DataFrame, model: bytes, size: int = CHUNK) -> DataFrame:
                                 strict=True)]
             yield pd.DataFrame({"row": pdf["row"], "chunk": pdf["chunk"], "ids": ids})
 
-    docs = docs.drop("token_ids")
+    docs = docs.drop("token_ids", *["round_trip"] * verify)
+    added = [T.StructField("token_ids", T.ArrayType(T.IntegerType())), T.StructField("round_trip", T.BooleanType())]
+    schema = T.StructType([*docs.schema.fields, *added[:2 if verify else 1]])
+    names = schema.names
     giant = F.char_length(text_or_empty()) > size
     key = F.xxhash64(text_or_empty())
-    small = docs.where(~giant).withColumn("token_ids", whole(text_or_empty()))
+    small = docs.where(~giant).mapInArrow(whole, schema)
     texts = docs.where(giant).select(key.alias("row"), "text").dropDuplicates(["row"])
     parts = materialize(texts.mapInPandas(cut, CHUNK_SCHEMA).repartition(F.col("row"), F.col("chunk")), "piece-chunks")
     chosen = (parts.mapInPandas(transfers, "row bigint, chunk int, n int, matrix binary")
@@ -330,9 +322,11 @@ def encode(docs: DataFrame, model: bytes, size: int = CHUNK) -> DataFrame:
     traced = parts.join(chosen, ["row", "chunk"]).mapInPandas(paths, "row bigint, chunk int, ids array<int>")
     joined = (traced.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("chunk", "ids"))).alias("runs"))
               .select("row", F.flatten(F.transform("runs", lambda r: r["ids"])).alias("token_ids")))
-    names = [c for c in docs.columns]
-    large = (docs.where(giant).select(F.struct(*names).alias("d"), key.alias("row")).join(joined, "row")
+    large = (docs.where(giant).select(F.struct(*docs.columns).alias("d"), key.alias("row")).join(joined, "row")
              .select("d.*", "token_ids"))
+    if verify:
+        decoded = decoder(docs, model)(F.col("token_ids"))
+        large = large.withColumn("round_trip", decoded == F.replace(text_or_empty(), F.lit(SPACE), F.lit(" ")))
     return small.unionByName(large)
 
 
@@ -347,14 +341,7 @@ def decoder(docs: DataFrame, model: bytes):
     return decoded
 
 
-def round_trip(text: Column, decoded: Column) -> Column:
-    return decoded == F.replace(text, F.lit(SPACE), F.lit(" "))
-
-
 def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """``docs`` with ``token_ids``, ``n_tokens`` and ``round_trip``: whether the ids decode to the text."""
-    model = read_model(path)
-    out = encode(docs, model)
-    decoded = decoder(docs, model)(F.col("token_ids"))
-    return (out.withColumn("n_tokens", F.size("token_ids").cast("bigint"))
-            .withColumn("round_trip", round_trip(text_or_empty(), decoded)))
+    return (encode(docs, read_model(path), verify=True)
+            .withColumn("n_tokens", F.size("token_ids").cast("bigint")))

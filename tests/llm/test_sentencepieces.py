@@ -31,9 +31,10 @@ def samples(n):
 
 
 def test_words_match_the_library(pieces, library):
-    for text in samples(300):
-        assert pieces.encode(text) == library.encode(text)
-        assert pieces.decode(pieces.encode(text)) == text == library.decode(library.encode(text))
+    texts = list(samples(300))
+    assert pieces.encode([*texts, None]) == [*map(library.encode, texts), []]
+    for text in texts:
+        assert pieces.decode(library.encode(text)) == text == library.decode(library.encode(text))
 
 
 @pytest.mark.parametrize("size", [17, 40, 100])
