@@ -17,8 +17,7 @@ TITLE_RE = "(?is)<title[^>]*>(.*?)</title>"
 ANCHOR_RE = "(?is)<a(\\s[^>]*)>(.*?)</a>"
 TAG_GLUE_RE = f"{WS}*<[^>]*>{WS}*"
 HREF_PRESENT_RE = "(?is)(^|\\s)href\\s*="
-META_DESC_RE = ("(?is)<meta\\s[^>]*name\\s*=\\s*[\"']description[\"'][^>]*content\\s*=\\s*"
-                "\"([^\"]*)\"")
+META_RE = "(?is)<meta(\\s[^>]*)>"
 
 
 def attr_re(name: str) -> str:
@@ -33,7 +32,7 @@ def strip_noise(html: Column) -> Column:
 
 def node_text(fragment: Column) -> Column:
     """``tag.get_text(strip=True)``: text pieces stripped and glued."""
-    return unescape(strip_ws(F.regexp_replace(fragment, TAG_GLUE_RE, "")))
+    return strip_ws(unescape(F.regexp_replace(fragment, TAG_GLUE_RE, "")))
 
 
 def title(html: Column) -> Column:
@@ -48,7 +47,11 @@ def headings(html: Column, level: int, limit: int | None = None) -> Column:
 
 
 def meta_description(html: Column) -> Column:
-    return F.nullif(unescape(F.regexp_extract(html, META_DESC_RE, 1)), F.lit(""))
+    """``content`` of the first ``<meta name="description">`` that has one, in
+    any order and quoting of the attributes; NULL when absent or empty."""
+    tags = F.regexp_extract_all(strip_noise(html), F.lit(META_RE), 1)
+    named = F.filter(tags, lambda t: F.lower(attr_value(t, "name")) == "description")
+    return F.nullif(F.try_element_at(F.transform(named, lambda t: attr_value(t, "content")), F.lit(1)), F.lit(""))
 
 
 def attr_value(attrs: Column, name: str) -> Column:

@@ -6,33 +6,54 @@ RE2, so the same pattern text can drive a DuckDB twin in the oracle.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# ASCII whitespace as Python's str.split()/strip() sees it for the corpus.
-WS = "[ \\t\\n\\f\\r]"
+# Whitespace as Python's str.split()/strip() sees it, Unicode included.
+WS = "[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
-# Named entities decoded natively; '&amp;' goes last so '&amp;lt;' -> '&lt;'.
-ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-    ("&nbsp;", "\u00a0"), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"), ("&amp;", "&"),
-]
+# Character references: decimal, hexadecimal, or a name of the HTML5 table.
+REFERENCE_RE = "^(#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,7}|[A-Za-z][A-Za-z0-9]*);"
 
 
-def lit_str(s: str) -> Column:
-    return F.lit(s)
+def _names() -> dict[str, str]:
+    """The HTML5 names that end in a semicolon, and the code points of the
+    Windows-1252 range that stand for other characters."""
+    import html.entities
+    table = {k[:-1]: v for k, v in html.entities.html5.items() if k.endswith(";")}
+    for n in range(0x80, 0xA0):
+        shown = bytes([n]).decode("cp1252", "ignore")
+        if shown:
+            table[f"#{n}"] = shown
+    return table
 
 
 def unescape(c: Column) -> Column:
-    for k, v in ENTITIES:
-        c = F.replace(c, F.lit(k), F.lit(v))
-    return c
+    """Character references decoded in one pass from left to right, so that
+    ``&amp;lt;`` gives ``&lt;``.  Texts without ``&`` are left alone."""
+    names = F.from_json(F.lit(json.dumps(_names())), "map<string,string>")
+
+    def decoded(part: Column) -> Column:
+        name = F.regexp_extract(part, REFERENCE_RE, 1)
+        digits = F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 8), 16, 10)).otherwise(F.substring(name, 2, 9))
+        code = F.when(name.startswith("#"), digits.cast("bigint"))
+        char = F.coalesce(
+            F.try_element_at(names, F.when(code.isNull(), name).otherwise(F.concat(F.lit("#"), code.cast("string")))),
+            F.when((code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF), F.lit("\ufffd"))
+            .when(code.isNotNull(), F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")))
+        return F.when((name == "") | char.isNull(), F.concat(F.lit("&"), part)).otherwise(
+            F.concat(char, F.substring(part, F.length(name) + 2, F.length(part))))
+
+    parts = F.split(c, "&", -1)
+    rest = F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), decoded)
+    return F.when(F.contains(c, F.lit("&")), F.concat(parts[0], F.array_join(rest, ""))).otherwise(c)
 
 
 def strip_ws(c: Column) -> Column:
-    """Python ``str.strip()`` for ASCII whitespace."""
+    """Python ``str.strip()``."""
     return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
 
 

@@ -64,7 +64,9 @@ def resolve_with(bp: Column, href: Column) -> Column:
     """``urljoin`` given ``base_parts``.  Rooted references without dot
     segments (the common case) take a plain concatenation; only the rest go
     through segment merging."""
-    base = bp["base"]
+    given, base = href, bp["base"]
+    # as the standard library splits URLs: leading control characters and blanks go, line breaks and tabs anywhere
+    href = F.regexp_replace(F.regexp_replace(href, "^[\\x00-\\x20]+", ""), "[\\t\\n\\r]", "")
     h_path, h_query, h_frag = _part(href, 3), _part(href, 4), _part(href, 5)
     rooted = F.split(h_path, "/")
     rel = F.concat(bp["dir"], F.split(h_path, "/"))
@@ -80,9 +82,11 @@ def resolve_with(bp: Column, href: Column) -> Column:
         F.when(href.isNull(), F.lit(None))
         .when(href.startswith("/") & ~href.startswith("//") & ~href.rlike(DOT_SEGMENT_RE),
               F.concat(bp["prefix"], href))
-        .when(href.rlike(SCHEME_RE), href)
+        .when(href.rlike(SCHEME_RE), F.when(F.lower(F.regexp_extract(href, SCHEME_RE, 1)) == F.lower(bp["scheme"]), href)
+              .otherwise(given))
         .when(href.startswith("//"), F.concat(bp["scheme"], F.lit(":"), href))
-        .when(href == "", base)
+        .when(given == "", base)
+        .when(href == "", bp["no_frag"])
         .when(href.startswith("#"), F.concat(bp["no_frag"], href))
         .when(href.startswith("?"), F.concat(bp["no_query"], href))
         .when((h_path == "") & (h_query != ""), F.concat(bp["no_query"], href))
@@ -99,6 +103,3 @@ def is_document(url: Column, extensions: list[str]) -> Column:
     from sitelens.functions.text import any_contains
     return any_contains(F.lower(url), extensions)
 
-
-def is_well_formed(url: Column) -> Column:
-    return F.try_parse_url(url, F.lit("HOST")).isNotNull()

@@ -127,11 +127,14 @@ def select_one(root: Node, selector: str) -> Node | None:
 
 
 def strings(node: Node) -> Iterator[str]:
-    for c in node.children:
+    """Text pieces below a node in document order, on an explicit stack."""
+    todo = node.children[::-1]
+    while todo:
+        c = todo.pop()
         if isinstance(c, str):
             yield c
         elif c.tag not in RAW_TEXT:
-            yield from strings(c)
+            todo.extend(c.children[::-1])
 
 
 def get_text(node: Node) -> str:
@@ -147,19 +150,17 @@ def crawl_content(root: Node, repeat_nested: bool = False) -> str:
         found = select_one(root, sel)
         if found is None:
             continue
-
-        def visit(n: Node):
-            for c in n.children:
-                if not isinstance(c, Node):
+        todo = found.children[::-1]
+        while todo:
+            c = todo.pop()
+            if not isinstance(c, Node):
+                continue
+            parent_cls = c.parent.classes if c.parent is not None else []
+            if c.tag in tags and not (skip & set(c.classes + parent_cls)):
+                out.append(get_text(c) + " ")
+                if not repeat_nested:
                     continue
-                if c.tag in tags:
-                    parent_cls = c.parent.classes if c.parent is not None else []
-                    if not (skip & set(c.classes + parent_cls)):
-                        out.append(get_text(c) + " ")
-                        if not repeat_nested:
-                            continue
-                visit(c)
-        visit(found)
+            todo.extend(c.children[::-1])
         break
     text = "".join(out)
     if not text:
@@ -183,18 +184,14 @@ def dom_content(root: Node) -> str:
     checks = [matcher(s) for s in vocab.DOM_REMOVE_SELECTORS]
     parts: list[str] = []
 
-    def visit(n: Node):
-        for c in n.children:
-            if isinstance(c, str):
-                parts.append(c)
-            elif not _removed(c, checks) and c.tag not in RAW_TEXT:
-                block = c.tag in BLOCK
-                if block:
-                    parts.append(" ")
-                visit(c)
-                if block:
-                    parts.append(" ")
-    visit(main)
+    todo = main.children[::-1]
+    while todo:
+        c = todo.pop()
+        if isinstance(c, str):
+            parts.append(c)
+        elif not _removed(c, checks) and c.tag not in RAW_TEXT:
+            edge = [" "] if c.tag in BLOCK else []
+            todo.extend(edge + c.children[::-1] + edge)
     return " ".join("".join(parts).split())
 
 

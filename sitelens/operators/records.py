@@ -72,10 +72,10 @@ def is_html(content_type) -> F.Column:
 
 
 def prompt_payloads(pages: DataFrame, links: DataFrame, section_names: list[str],
-                    prefix: int | None = vocab.CONTENT_PREFIX) -> DataFrame:
+                    prefix: int | None = None) -> DataFrame:
     """One prompt payload per page: url, headings (h1, first two h2), content
-    (cut to ``prefix`` code points as the crawler sends it; None sends the
-    whole text) and links with non-blank text; plus the token estimate of
+    (whole; ``prefix`` cuts it to so many code points, ``vocab.CONTENT_PREFIX``
+    being the crawler's number) and links with non-blank text; plus the token estimate of
     system + user text (characters // 4)."""
     lk = (links.where(F.trim("text") != "")
           .groupBy("entity", "page_id")

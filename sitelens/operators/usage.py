@@ -45,7 +45,8 @@ def usage_totals(calls: DataFrame, keys: list[str]) -> DataFrame:
     return c.groupBy(*keys).agg(
         F.count("*").alias("requests"), F.sum("prompt_tokens").alias("prompt_tokens"),
         F.sum("completion_tokens").alias("completion_tokens"), F.sum("total_tokens").alias("total_tokens"),
-        F.round(F.sum(call_cost(F.col("prompt_tokens"), F.col("completion_tokens"))), 6).alias("cost"))
+        # from the exact token sums: no order of addition changes it
+        F.round(call_cost(F.sum("prompt_tokens"), F.sum("completion_tokens")), 6).alias("cost"))
 
 
 def _micros(ts: Column) -> Column:

@@ -1,69 +1,56 @@
 """Keyword presence for large vocabularies.
 
 Flat ``contains`` expressions are right for the default vocabularies (a few
-dozen terms) and stay in generated code.  A vocabulary of thousands of
-terms would make plans huge and cost |text| x |vocab|; this path matches all
-terms in one pass per text with an Aho-Corasick automaton instead.
-
-The vocabulary is a table (section, section_ord, keyword).  It is broadcast
-only after a size check (``max_terms``); a larger vocabulary is refused
-rather than shipped whole.  Matching runs per Arrow batch next to the data;
-counting hits per (page, section) is an ordinary aggregate.
+dozen terms) and stay in generated code.  A vocabulary of thousands of terms
+would make plans huge and cost |text| x |vocab|.  Here the vocabulary stays a
+table of any size: each keyword is filed under its first characters (at most
+``GRAM``), a text's distinct character runs of those lengths are joined to it,
+and the candidates are verified against the whole text.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.operators.sections import confidence
 
+GRAM = 4
+
 
 def vocab_table(spark, sections: dict[str, list[str]]) -> DataFrame:
     rows = [(s, i, k) for i, (s, ks) in enumerate(sections.items()) for k in ks]
     return spark.createDataFrame(rows, "section string, section_ord int, keyword string")
 
 
-def matched_terms(pages: DataFrame, text_col: str, vocab: DataFrame, max_terms: int = 200_000) -> DataFrame:
-    """pages(entity, page_id, <text>) -> (entity, page_id, keyword) for every
-    distinct keyword that occurs as a substring of the lower-cased text."""
-    n = vocab.select("keyword").distinct().count()
-    if n > max_terms:
-        raise ValueError(f"vocabulary of {n} terms exceeds the broadcast bound {max_terms}")
-    terms = sorted(r.keyword for r in vocab.select("keyword").distinct().collect())  # bounded by the check
-    sc = pages.sparkSession.sparkContext
-    bterms = sc.broadcast(terms)
+def _runs(text: Column) -> Column:
+    """Distinct character runs of 1 to GRAM characters."""
+    chars = F.split(text, "")
+    runs, last = [chars], chars
+    for k in range(1, GRAM):
+        n = F.greatest(F.size(chars) - k, F.lit(0))
+        last = F.zip_with(F.slice(last, F.lit(1), n), F.slice(chars, F.lit(k + 1), n), lambda a, b: F.concat(a, b))
+        runs.append(last)
+    return F.array_distinct(F.flatten(F.array(*runs)))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import ahocorasick
-        auto = ahocorasick.Automaton()
-        for i, t in enumerate(bterms.value):
-            auto.add_word(t, i)
-        auto.make_automaton()
-        for pdf in batches:
-            ents, ids, kws = [], [], []
-            for e, pid, text in zip(pdf["entity"], pdf["page_id"], pdf[text_col]):
-                if text is None:
-                    continue
-                seen = {idx for _end, idx in auto.iter(text.lower())}
-                for idx in sorted(seen):
-                    ents.append(e)
-                    ids.append(pid)
-                    kws.append(bterms.value[idx])
-            yield pd.DataFrame({"entity": pd.Series(ents, dtype="object"),
-                                "page_id": pd.Series(ids, dtype="int64"),
-                                "keyword": pd.Series(kws, dtype="object")})
 
-    return pages.select("entity", "page_id", text_col).mapInPandas(
-        run, "entity string, page_id bigint, keyword string")
-
-
-def page_sections_large(pages: DataFrame, text_col: str, vocab: DataFrame, max_terms: int = 200_000) -> DataFrame:
+def matched_terms(pages: DataFrame, text_col: str, vocab: DataFrame) -> DataFrame:
+    """pages(entity, page_id, <text>) -> (entity, page_id, keyword) for every
+    distinct non-empty keyword that occurs as a substring of the lower-cased text."""
+    texts = pages.select("entity", "page_id", F.lower(text_col).alias("low")).where(F.col("low").isNotNull())
+    filed = vocab.select("keyword", F.substring("keyword", 1, GRAM).alias("run")).distinct()
+    met = (texts.select("entity", "page_id", F.explode(_runs(F.col("low"))).alias("run"))
+           .join(filed.where("keyword <> ''"), "run").select("entity", "page_id", "keyword").distinct())
+    # the candidates of a page meet its text once
+    listed = met.groupBy("entity", "page_id").agg(F.collect_list("keyword").alias("keywords"))
+    held = F.filter("keywords", lambda k: F.contains(F.col("low"), k))
+    return (texts.join(listed, ["entity", "page_id"]).select("entity", "page_id", F.explode(held).alias("keyword"))
+            .distinct())
+
+
+def page_sections_large(pages: DataFrame, text_col: str, vocab: DataFrame) -> DataFrame:
     """Same output as ``sections.page_sections``: hits = number of the
     section's list entries present in the text."""
-    hits = matched_terms(pages, text_col, vocab, max_terms).join(F.broadcast(vocab), "keyword")
+    hits = matched_terms(pages, text_col, vocab).join(vocab, "keyword")
     agg = hits.groupBy("entity", "page_id", "section", "section_ord").agg(F.count("*").cast("int").alias("hits"))
     return agg.select("entity", "page_id", "section", "section_ord", "hits", confidence(F.col("hits")).alias("confidence"))

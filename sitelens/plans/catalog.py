@@ -489,7 +489,7 @@ _CALLS_SQL = ("calls AS (SELECT user_id AS caller, ts, event_id AS call_id, CAST
 WITH {_CALLS_SQL}
 SELECT caller, count(*) AS requests, sum(prompt_tokens) AS prompt_tokens, sum(completion_tokens) AS completion_tokens,
        sum(prompt_tokens + completion_tokens) AS total_tokens,
-       round(sum(prompt_tokens / 1000.0 * 0.03 + completion_tokens / 1000.0 * 0.06), 6) AS cost
+       round(sum(prompt_tokens) / 1000.0::DOUBLE * 0.03::DOUBLE + sum(completion_tokens) / 1000.0::DOUBLE * 0.06::DOUBLE, 6) AS cost
 FROM calls GROUP BY caller
 """)
 def token_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -595,8 +595,6 @@ g AS (SELECT *, sum(CAST(prev IS NULL OR epoch_us(ts) - epoch_us(prev) >= {STREA
              OVER (PARTITION BY caller ORDER BY ts, call_id) AS sess FROM c)
 SELECT caller, min(ts) AS session_start, max(ts) + INTERVAL {STREAM_GAP_SECONDS} SECOND AS session_end,
        count(*) AS n_calls, sum(tot) AS tokens FROM g GROUP BY caller, sess
--- append mode emits a session once the watermark (max event time - 5 minutes) passes its end
-HAVING max(ts) + INTERVAL {STREAM_GAP_SECONDS} SECOND <= (SELECT max(ts) FROM events) - INTERVAL 5 MINUTE
 """)
 def stream_usage_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = ST.run_usage_sessions(spark, os.path.join(sf_dir, "events.parquet"), f"{STREAM_GAP_SECONDS} seconds")

@@ -2,8 +2,9 @@
 
 On a cluster the operator of the job sets ``spark.checkpoint.dir`` to a
 shared, durable folder; every lineage cut and intermediate table of this
-package goes below it.  Only when it is unset (tests, local runs) do we
-create a private folder under the system temp dir.
+package goes below it.  Only when it is unset and the master is local (tests,
+local runs) is it a private folder under the system temp dir; on a cluster, where
+executors would not see that folder, a missing setting is an error.
 """
 
 from __future__ import annotations
@@ -24,6 +25,9 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
     # remove checkpoint files of per-round state once it is no longer referenced
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # state of unbounded streams is kept on disk, not in the heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # plans with long regular expressions render to large strings; keep the
     # driver's execution history small in long sessions
     "spark.sql.maxPlanStringLength": "65536",
@@ -95,6 +99,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="sitelens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -120,11 +126,3 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def local_path(uri: str) -> str:
-    """Strip a ``file:`` scheme so pure-Python test helpers can open paths."""
-    if uri.startswith("file:"):
-        uri = uri[5:]
-        while uri.startswith("//"):
-            uri = uri[1:]
-    return os.path.normpath(uri)

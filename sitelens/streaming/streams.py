@@ -61,15 +61,27 @@ def new_url_stream(pages_stream: DataFrame, within_watermark: str | None = None)
     return links.dropDuplicates(["entity", "url"])
 
 
-def usage_session_stream(calls_stream: DataFrame, gap: str, watermark: str = "5 minutes") -> DataFrame:
-    c = calls_stream.withColumn("total_tokens", F.col("prompt_tokens") + F.col("completion_tokens"))
-    return (c.withWatermark("ts", watermark)
-            .groupBy("caller", F.session_window("ts", gap).alias("s"))
+def _sessions(calls: DataFrame, gap: str) -> DataFrame:
+    c = calls.withColumn("total_tokens", F.col("prompt_tokens") + F.col("completion_tokens"))
+    return (c.groupBy("caller", F.session_window("ts", gap).alias("s"))
             .agg(F.count("*").alias("n_calls"), F.sum("total_tokens").alias("tokens"))
             .select("caller", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"),
                     "n_calls", "tokens"))
 
 
+def usage_session_stream(calls_stream: DataFrame, gap: str, watermark: str = "5 minutes") -> DataFrame:
+    """Sessions that the watermark has closed."""
+    return _sessions(calls_stream.withWatermark("ts", watermark), gap)
+
+
+def open_sessions(calls: DataFrame, closed: DataFrame, gap: str) -> DataFrame:
+    """Sessions of an exhausted input that no watermark can close any more: those
+    of each caller's calls from the end of its last closed session on."""
+    ends = closed.groupBy(F.col("caller").alias("c")).agg(F.max("session_end").alias("end"))
+    rest = calls.join(ends, F.col("caller").eqNullSafe(F.col("c")), "left")
+    return _sessions(rest.where(F.col("end").isNull() | (F.col("ts") >= F.col("end"))).drop("c", "end"), gap)
+
+
 def run_new_urls(spark: SparkSession, pages_path: str) -> DataFrame:
     out = scratch_dir(spark, "stream-new-urls")
     _run(new_url_stream(stream_pages(spark, pages_path)), out)
@@ -81,7 +93,10 @@ def run_usage_sessions(spark: SparkSession, events_path: str, gap: str) -> DataF
     ev = _read_dir(spark.readStream.schema(schema), events_path)
     out = scratch_dir(spark, "stream-usage")
     _run(usage_session_stream(US.calls_from_events(ev), gap), out)
-    return spark.read.parquet(out)
+    closed = spark.read.parquet(out)
+    # the input has ended: what is still open is complete as well
+    calls = US.calls_from_events(spark.read.schema(schema).parquet(events_path))
+    return closed.unionByName(open_sessions(calls, closed, gap))
 
 
 def run_page_sections(spark: SparkSession, pages_path: str, sections: dict[str, list[str]],

@@ -77,9 +77,6 @@ DOM_MAIN_SELECTORS = ["main", "article", '[role="main"]', "#content", ".content"
 DOM_REMOVE_SELECTORS = ["nav", "header", "footer", ".nav", ".menu", ".sidebar", ".widget",
                         "script", "style", "noscript"]
 
-# Elements dropped before whole-page text is taken for validation.
-PLAIN_TEXT_DROP_TAGS = ["script", "style", "nav", "header", "footer"]
-
 # Non-web documents: the crawler tests three, the extractor seven.
 CRAWL_DOC_EXTENSIONS = [".pdf", ".doc", ".docx"]
 EXTRACT_DOC_EXTENSIONS = [".pdf", ".doc", ".docx", ".ppt", ".pptx", ".xls", ".xlsx"]
@@ -115,7 +112,3 @@ TEST_SECTION_KEYWORDS = {
     "spanish": ["para", "los", "ción"],
 }
 
-
-def section_table(sections: dict[str, list[str]]) -> list[tuple[str, int, str]]:
-    """(section, ordinal, keyword) rows in taxonomy order."""
-    return [(s, i, k) for i, (s, ks) in enumerate(sections.items()) for k in ks]

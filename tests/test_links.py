@@ -74,7 +74,7 @@ def test_anchor_extraction(spark):
     out = LK.extract_links(p).orderBy("link_seq").collect()
     assert [(r.link_seq, r.url, r.text, r.title) for r in out] == [
         (0, "https://h.x/one", "helloworld", "One"),
-        (1, "https://h.x/two", "two ", ""),
+        (1, "https://h.x/two", "two", ""),
         (2, "https://h.x/three", "3", ""),
     ]
 

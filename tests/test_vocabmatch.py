@@ -16,8 +16,11 @@ def test_large_vocab_path_equals_native_expressions(spark):
         assert native == large
 
 
-def test_vocab_bound_is_enforced(spark):
-    import pytest
-    p = spark.createDataFrame([("e", 1, "abc")], "entity string, page_id bigint, content string")
-    with pytest.raises(ValueError):
-        VM.matched_terms(p, "content", VM.vocab_table(spark, {"s": ["a", "b", "c"]}), max_terms=2)
+def test_thousands_of_terms_of_any_length(spark):
+    import random
+    rnd = random.Random(1)
+    words = ["".join(rnd.choices("abcé ", k=rnd.randrange(1, 9))) for _ in range(3000)]
+    texts = ["".join(rnd.choices("abcé ", k=rnd.randrange(0, 200))) for _ in range(30)] + [None, "ABC"]
+    p = spark.createDataFrame([("e", i, t) for i, t in enumerate(texts)], "entity string, page_id bigint, content string")
+    got = {(r.page_id, r.keyword) for r in VM.matched_terms(p, "content", VM.vocab_table(spark, {"s": words})).collect()}
+    assert got == {(i, w) for i, t in enumerate(texts) if t for w in set(words) if w in t.lower()}
