@@ -2,11 +2,10 @@
 against the schema.
 
 Field checks pair every leaf of a site's record with every accessible page
-of that site.  The pair count is inherent, so the job spreads it: each page
-gets a salt ``pmod(hash(url), buckets)``; leaves are replicated only to the
-(entity, salt) cells that actually hold pages (a small site with three pages
-gets at most three copies), and the pair join runs on (entity, salt).  A
-site holding a third of all pages is therefore split into ``buckets`` tasks.
+of that site.  The pair count is inherent, so the job spreads it: a site's pages
+are dealt over cells of about ``PAGES_PER_CELL`` pages, leaves are replicated only
+to the (entity, salt) cells that hold pages, and the pair join runs on
+(entity, salt).  A site's number of cells grows with its pages.
 Page text is normalised once per page, before the join.
 """
 
@@ -28,11 +27,18 @@ def normalise(c: Column) -> Column:
     return squash_ws(F.lower(c))
 
 
-def pair_leaves_with_pages(leaves: DataFrame, pages: DataFrame, buckets: int = 64) -> DataFrame:
+#: Pages of one site that one cell holds.
+PAGES_PER_CELL = 500
+
+
+def pair_leaves_with_pages(leaves: DataFrame, pages: DataFrame, pages_per_cell: int = PAGES_PER_CELL) -> DataFrame:
     """leaves(entity, field_path, kind, value, ...) x pages(entity, url, page_seq, text)
-    within each entity, skew-spread by salting."""
-    salted = pages.withColumn("_salt", F.pmod(F.hash("url"), F.lit(buckets)))
-    cells = salted.groupBy("entity", "_salt").agg(F.count("*").alias("_n")).select("entity", "_salt")
+    within each entity, a site's pages spread over as many cells as their measured
+    number asks for."""
+    sizes = pages.groupBy("entity").agg(F.ceil(F.count(F.lit(1)) / pages_per_cell).alias("_parts"))
+    salted = (pages.join(sizes, "entity").withColumn("_salt", F.pmod(F.hash("url"), F.col("_parts")))
+              .drop("_parts"))
+    cells = salted.select("entity", "_salt").distinct()
     lv = leaves.join(cells, "entity")
     return lv.join(salted, ["entity", "_salt"]).drop("_salt")
 
@@ -76,11 +82,11 @@ def check_fields(pairs: DataFrame, run_ts: str | None = None) -> DataFrame:
     return out
 
 
-def validate_fields(leaves: DataFrame, pages: DataFrame, buckets: int = 64,
+def validate_fields(leaves: DataFrame, pages: DataFrame, pages_per_cell: int = PAGES_PER_CELL,
                     run_ts: str | None = None) -> DataFrame:
     """pages(entity, url, page_seq, text): text is the page's plain text."""
     pg = pages.select("entity", "url", "page_seq", normalise(F.col("text")).alias("content_norm"))
-    return check_fields(pair_leaves_with_pages(prepare_leaves(leaves), pg, buckets), run_ts)
+    return check_fields(pair_leaves_with_pages(prepare_leaves(leaves), pg, pages_per_cell), run_ts)
 
 
 def summary(results: DataFrame, keys: list[str]) -> DataFrame:

@@ -11,7 +11,7 @@ def check(spark, values, content):
                                    "entity string, field_path string, kind string, value string, ord int")
     pages = spark.createDataFrame([("s", "http://s/1", 0, content)], "entity string, url string, page_seq bigint, text string")
     return {r.field_path: (r.is_valid, r.source_text, r.notes)
-            for r in VD.validate_fields(leaves, pages, buckets=4).collect()}
+            for r in VD.validate_fields(leaves, pages, pages_per_cell=4).collect()}
 
 
 def test_exact_fuzzy_and_skip(spark):
@@ -65,6 +65,6 @@ def test_salted_pairs_cover_every_page(spark):
                                    "entity string, field_path string, kind string, value string, ord int")
     pages = spark.createDataFrame([("big", f"http://b/{i}", i, "x") for i in range(200)] + [("small", "http://s/0", 0, "y")],
                                   "entity string, url string, page_seq bigint, text string")
-    res = VD.validate_fields(leaves, pages, buckets=16)
+    res = VD.validate_fields(leaves, pages, pages_per_cell=16)
     counts = {r.entity: r.n for r in res.groupBy("entity").agg(F.count("*").alias("n")).collect()}
     assert counts == {"big": 1000, "small": 1}
