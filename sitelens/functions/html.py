@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sitelens.functions.text import WS, strip_ws, squash_ws, unescape
+from sitelens.functions.text import WS, bind, squash_ws, strip_ws, unescape
 
 NOISE_RE = "(?is)<script\\b[^>]*>.*?</script>|<style\\b[^>]*>.*?</style>|<!--.*?-->"
 TITLE_RE = "(?is)<title[^>]*>(.*?)</title>"
@@ -74,12 +74,12 @@ def anchors(html: Column, page_url: Column | None = None, base: Column | None =
         base = urls.base_parts(page_url)
 
     def fields(m):
-        attrs = F.regexp_extract(m, ANCHOR_RE, 1)
-        href = attr_value(attrs, "href")
-        url = urls.resolve_with(base, href) if base is not None else href
-        return F.struct(href.alias("href"), url.alias("url"),
-                        F.lower(node_text(F.regexp_extract(m, ANCHOR_RE, 2))).alias("text"),
-                        attr_value(attrs, "title").alias("title"))
+        def of(attrs):
+            return bind(attr_value(attrs, "href"), lambda href: F.struct(
+                href.alias("href"), (urls.resolve_with(base, href) if base is not None else href).alias("url"),
+                F.lower(node_text(F.regexp_extract(m, ANCHOR_RE, 2))).alias("text"),
+                attr_value(attrs, "title").alias("title")))
+        return bind(F.regexp_extract(m, ANCHOR_RE, 1), of)
 
     return F.transform(found, fields)
 

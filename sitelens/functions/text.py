@@ -31,25 +31,45 @@ def _names() -> dict[str, str]:
     return table
 
 
+def bind(value: Column, body) -> Column:
+    """``body`` of a value that is written into the plan, and computed, once
+    however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _character(name: Column) -> Column:
+    """What a reference's name stands for, NULL if nothing."""
+    table = F.lit("".join(f"&{k};{v}\x01" for k, v in sorted(_names().items())))
+
+    def named(key: Column) -> Column:
+        return F.when(F.contains(table, key), F.substring_index(F.call_function("substring_index", table, key, F.lit(-1)),
+                                                                   "\x01", 1))
+
+    def numbered(code: Column) -> Column:
+        return (F.when((code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF), F.lit("\ufffd"))
+                .when(code.between(0x80, 0x9F), named(F.concat(F.lit("&#"), code.cast("string"), F.lit(";"))))
+                .otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")))
+
+    digits = F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 8), 16, 10)).otherwise(F.substring(name, 2, 9))
+    return F.when(name.startswith("#"), bind(digits.cast("bigint"), lambda code: F.coalesce(
+        numbered(code), F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")))).otherwise(
+        bind(F.concat(F.lit("&"), name, F.lit(";")), named))
+
+
 def unescape(c: Column) -> Column:
     """Character references decoded in one pass from left to right, so that
     ``&amp;lt;`` gives ``&lt;``.  Texts without ``&`` are left alone."""
-    names = F.from_json(F.lit(json.dumps(_names())), "map<string,string>")
-
     def decoded(part: Column) -> Column:
-        name = F.regexp_extract(part, REFERENCE_RE, 1)
-        digits = F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 8), 16, 10)).otherwise(F.substring(name, 2, 9))
-        code = F.when(name.startswith("#"), digits.cast("bigint"))
-        char = F.coalesce(
-            F.try_element_at(names, F.when(code.isNull(), name).otherwise(F.concat(F.lit("#"), code.cast("string")))),
-            F.when((code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF), F.lit("\ufffd"))
-            .when(code.isNotNull(), F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")))
-        return F.when((name == "") | char.isNull(), F.concat(F.lit("&"), part)).otherwise(
-            F.concat(char, F.substring(part, F.length(name) + 2, F.length(part))))
-
-    parts = F.split(c, "&", -1)
-    rest = F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), decoded)
-    return F.when(F.contains(c, F.lit("&")), F.concat(parts[0], F.array_join(rest, ""))).otherwise(c)
+        return bind(F.regexp_extract(part, REFERENCE_RE, 1), lambda name: F.when(
+            name == "", F.concat(F.lit("&"), part)).otherwise(bind(_character(name), lambda char: F.when(
+                char.isNull(), F.concat(F.lit("&"), part)).otherwise(
+                F.concat(char, F.substring(part, F.length(name) + 2, F.length(part)))))))
+
+    def all_parts(parts: Column) -> Column:
+        rest = F.transform(F.slice(parts, F.lit(2), F.size(parts) - 1), decoded)
+        return F.concat(parts[0], F.array_join(rest, ""))
+
+    return bind(c, lambda s: F.when(F.contains(s, F.lit("&")), bind(F.split(s, "&", -1), all_parts)).otherwise(s))
 
 
 def strip_ws(c: Column) -> Column:

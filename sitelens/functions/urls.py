@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sitelens.functions.text import bind
+
 SCHEME_RE = "^([A-Za-z][A-Za-z0-9+.-]*):"
 AUTHORITY_RE = "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
 # scheme, authority, path, query (with '?'), fragment (with '#')
@@ -64,9 +66,16 @@ def resolve_with(bp: Column, href: Column) -> Column:
     """``urljoin`` given ``base_parts``.  Rooted references without dot
     segments (the common case) take a plain concatenation; only the rest go
     through segment merging."""
-    given, base = href, bp["base"]
     # as the standard library splits URLs: leading control characters and blanks go, line breaks and tabs anywhere
-    href = F.regexp_replace(F.regexp_replace(href, "^[\\x00-\\x20]+", ""), "[\\t\\n\\r]", "")
+    def clean(given: Column) -> Column:
+        stripped = F.regexp_replace(F.regexp_replace(given, "^[\\x00-\\x20]+", ""), "[\\t\\n\\r]", "")
+        return bind(stripped, lambda h: _resolved(bp, given, h))
+
+    return bind(href, clean)
+
+
+def _resolved(bp: Column, given: Column, href: Column) -> Column:
+    base = bp["base"]
     h_path, h_query, h_frag = _part(href, 3), _part(href, 4), _part(href, 5)
     rooted = F.split(h_path, "/")
     rel = F.concat(bp["dir"], F.split(h_path, "/"))

@@ -610,6 +610,9 @@ def stream_page_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- I1 end to end: crawl over the corpus's own links -------------------------
 
+#: The run time that the written documents carry.
+RUN_TS = "2024-05-06 07:08:09"
+
 _SITE_CRAWL = f"""
 WITH RECURSIVE {S.links_cte().strip()}, {S.pages_cte()},
 ct AS (SELECT entity, page_id, url, {S.region_text('html')} AS content FROM pg),
@@ -671,6 +674,34 @@ def crawl_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SK.crawl_counts(out.visited, out.relevant)
 
 
+# --- SNK1, SNK2, SRC2, SRC3: documents written and read again ------------------
+
+_RANKED_SQL = ORACLES["crawl_ranked_links"]
+
+
+@register("ranked_documents_read_back", _RANKED_SQL)
+def ranked_documents_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sitelens.session import scratch_dir
+    from sitelens.sources import sinks as SK
+    from sitelens.sources import tables as TB
+    path = f"{scratch_dir(spark, 'ranked')}/{RUN_TS.translate(str.maketrans(' ', '_', ':-'))}"
+    SK.write_documents(SK.ranked_url_documents(crawl_ranked_links(spark, sf_dir), RUN_TS), path)
+    return TB.ranked_urls(spark, path)
+
+
+@register("crawl_documents_read_back", f"""{_SITE_CRAWL}
+SELECT l.entity, CAST(row_number() OVER (PARTITION BY l.page_id ORDER BY l.link_seq) - 1 AS INTEGER) AS link_seq,
+       l.url, l.text, l.title
+FROM crawlable l JOIN relevant r ON r.page_id = l.page_id""")
+def crawl_documents_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sitelens.session import scratch_dir
+    from sitelens.sources import sinks as SK
+    from sitelens.sources import tables as TB
+    path = f"{scratch_dir(spark, 'crawled')}/{RUN_TS.translate(str.maketrans(' ', '_', ':-'))}"
+    SK.write_documents(_crawl(spark, sf_dir).documents, path)
+    return TB.crawl_result_links(spark, path).drop("page_seq")
+
+
 #: Sections that end a site's crawl in ``frontier_reach_covered``.
 COVERED = list(SECTIONS)[:2]
 
