@@ -75,14 +75,18 @@ def template_bigrams(text: str) -> list[str]:
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:], strict=False)))
 
 
+#: Words that any text may hold; they are chosen last.
+COMMON = frozenset("a an and any as at be by for from in is may not of on or that the this to under use with you".split())
+
+
 def needed_words(bigrams: list[str], threshold: float) -> set[str]:
-    """Words of which a matching unit has at least one, long ones first.
+    """Words of which a matching unit has at least one, telling and long ones first.
 
     A match shares at least ``t / (2 - t)`` of the template's bigrams, so it can
     avoid no set of bigrams larger than the rest."""
     least = math.ceil(threshold / (2 - threshold) * len(bigrams) - 1e-9)
     chosen: set[str] = set()
-    for word in sorted({w for b in bigrams for w in b.split()}, key=lambda w: (-len(w), w)):
+    for word in sorted({w for b in bigrams for w in b.split()}, key=lambda w: (w in COMMON, -len(w), w)):
         if sum(bool(chosen & set(b.split())) for b in bigrams) > len(bigrams) - least:
             break
         chosen.add(word)
