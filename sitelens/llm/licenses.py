@@ -4,6 +4,13 @@ A document is compared as a whole and by its blocks (between blank lines), lines
 and sentences.  A unit matches a template if ``2 * common / (unit + template)``
 over their distinct word bigrams is at least ``THRESHOLD``.
 
+``windowed`` adds the notices that are in no unit of their own, wrapped over the
+lines of a comment or paragraph: every template is also compared with the windows
+of its own number of words that begin at one of its bigrams, over the whole text
+with any marks (so comment leaders too) as gaps between words.  A window must hold
+the least number of shared bigrams, which the bigrams' positions tell beforehand.
+A license's score is that of its best unit or window.
+
 Two prunings lose nothing.  Size: a template is tried only on units with between
 ``t / (2 - t)`` and ``(2 - t) / t`` times its bigrams.  Words: a match shares so
 many bigrams with its template that it must hold one of the template's chosen
@@ -19,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +36,9 @@ from .common import text_or_empty
 THRESHOLD = 0.8
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SENTENCE_END = r"[.!?][\x20\x09-\x0D]+"
+#: Of windows: marks of any script, and the leaders of comment lines that are words.
+GAPS = r"[^\p{L}\p{M}\p{N}]+"
+LEADERS = r"(?im)^[^\p{L}\p{M}\p{N}\n]*(?:rem|dnl)(?=[\x20\x09])"
 
 # The notices by which public licenses are declared.
 TEMPLATES = {
@@ -70,11 +81,20 @@ TEMPLATES = {
 }
 
 
+def template_words(text: str) -> list[str]:
+    return [w for w in re.split(SEPARATORS, text.lower()) if w]
+
+
 def template_bigrams(text: str) -> list[str]:
-    words = [w for w in re.split(SEPARATORS, text.lower()) if w]
+    words = template_words(text)
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:], strict=False)))
 
 
+def least_shared(n_bigrams: int, threshold: float) -> int:
+    """Bigrams of a template that a match holds at least."""
+    return math.ceil(threshold / (2 - threshold) * n_bigrams - 1e-9)
+
+
 #: Words that any text may hold; they are chosen last.
 COMMON = frozenset("a an and any as at be by for from in is may not of on or that the this to under use with you".split())
 
@@ -84,7 +104,7 @@ def needed_words(bigrams: list[str], threshold: float) -> set[str]:
 
     A match shares at least ``t / (2 - t)`` of the template's bigrams, so it can
     avoid no set of bigrams larger than the rest."""
-    least = math.ceil(threshold / (2 - threshold) * len(bigrams) - 1e-9)
+    least = least_shared(len(bigrams), threshold)
     chosen: set[str] = set()
     for word in sorted({w for b in bigrams for w in b.split()}, key=lambda w: (w in COMMON, -len(w), w)):
         if sum(bool(chosen & set(b.split())) for b in bigrams) > len(bigrams) - least:
@@ -93,11 +113,20 @@ def needed_words(bigrams: list[str], threshold: float) -> set[str]:
     return chosen
 
 
-def unit_bigrams(unit: Column) -> Column:
-    words = F.array_remove(F.split(F.lower(unit), SEPARATORS, -1), "")
+def bigrams_of(text: Column, gaps: str) -> Column:
+    """The bigrams in order, with repeats."""
+    words = F.array_remove(F.split(F.lower(text), gaps, -1), "")
     n = F.greatest(F.size(words) - 1, F.lit(0))
-    return F.array_distinct(F.zip_with(F.slice(words, F.lit(1), n), F.slice(words, F.lit(2), n),
-                                       lambda a, b: F.concat(a, F.lit(" "), b)))
+    return F.zip_with(F.slice(words, F.lit(1), n), F.slice(words, F.lit(2), n), lambda a, b: F.concat(a, F.lit(" "), b))
+
+
+def unit_bigrams(unit: Column) -> Column:
+    return F.array_distinct(bigrams_of(unit, SEPARATORS))
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def units(text: Column) -> Column:
@@ -107,7 +136,49 @@ def units(text: Column) -> Column:
         F.flatten(F.transform(lines, lambda x: F.split(x, SENTENCE_END, -1)))))
 
 
-def licenses(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
+def window_scores(text: Column, templates: dict[str, str], threshold: float) -> Column:
+    """Array of ``license, score``: the best window of every template that has one of ``threshold``."""
+    kind = "array<struct<license:string,score:double>>"
+    table = {name: template_bigrams(body) for name, body in sorted(templates.items())}
+    table = {name: b for name, b in table.items() if b}
+    known = F.array(*[F.struct(F.lit(name).alias("license"), F.array(*map(F.lit, b)).alias("bigrams"),
+                               F.lit(least_shared(len(b), threshold)).alias("least"),
+                               F.lit(len(template_words(templates[name])) - 1).alias("span"))
+                      for name, b in table.items()])
+    every = F.array(*map(F.lit, sorted(set().union(*table.values()))))
+
+    def dice(window: Column, t: Column) -> Column:
+        return (F.lit(2.0) * F.size(F.array_intersect(window, t["bigrams"]))
+                / (F.size(F.array_distinct(window)) + F.size(t["bigrams"])))
+
+    def best(grams: Column, hits: Column, t: Column) -> Column:
+        def of(places: Column) -> Column:
+            # the least number of hits lies within the window's span
+            full = F.filter(places, lambda p, j: F.coalesce(
+                F.get(places, j + t["least"] - 1) < p + t["span"], F.lit(False)))
+            starts = F.array_distinct(F.transform(full, lambda p: F.greatest(
+                F.least(p, F.size(grams) - t["span"]), F.lit(0))))
+            return F.array_max(F.transform(starts, lambda p: dice(F.slice(grams, p + 1, t["span"]), t)))
+        mine = F.filter(hits, lambda h: F.array_contains(t["bigrams"], h["gram"]))
+        return F.struct(t["license"].alias("license"), F.coalesce(
+            bound(F.transform(mine, lambda h: h["place"]), of), F.lit(0.0)).alias("score"))
+
+    def scores(grams: Column, common: Column, near: Column) -> Column:
+        hits = F.filter(F.transform(grams, lambda g, i: F.struct(i.alias("place"), g.alias("gram"))),
+                        lambda h: F.array_contains(common, h["gram"]))
+        return F.filter(bound(hits, lambda hits_: F.transform(near, lambda t: best(grams, hits_, t))),
+                        lambda m: m["score"] >= threshold).cast(kind)
+
+    def of_grams(grams: Column) -> Column:
+        return bound(F.array_intersect(grams, every), lambda common: bound(
+            F.filter(known, lambda t: F.size(F.array_intersect(common, t["bigrams"])) >= t["least"]),
+            lambda near: F.when(F.size(near) > 0, scores(grams, common, near)).otherwise(F.array().cast(kind))))
+
+    return bound(bigrams_of(F.regexp_replace(text, LEADERS, " "), GAPS), of_grams)
+
+
+def licenses(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD,
+             windowed: bool = False) -> DataFrame:
     """``doc_id, licenses`` (array of ``license, score`` in order of the license) of every row."""
     templates = TEMPLATES if templates is None else templates
     kind = "array<struct<license:string,score:double>>"
@@ -129,10 +200,17 @@ def licenses(docs: DataFrame, templates: dict[str, str] | None = None, threshold
             return F.struct(t["license"].alias("license"), F.coalesce(F.array_max(dice), F.lit(0.0)).alias("score"))
         return of
 
-    holds_word = F.regexp_like(F.lower("text"), F.lit(r"(?<![^\x00-\x2F\x3A-\x60\x7B-\x7F])(?:" + "|".join(words)
-                                                    + r")(?![^\x00-\x2F\x3A-\x60\x7B-\x7F])"))
+    holds_word = F.regexp_like(F.lower("text"), F.lit(r"(?<![0-9a-z])(?:" + "|".join(words) + ")(?![0-9a-z])"))
     scanned = rows.withColumn("units", F.when(holds_word, F.filter(
         F.transform(units(F.col("text")), unit_bigrams), lambda u: F.size(u) > 0)))
-    scored = F.filter(F.transform(known, best(F.col("units"))), lambda m: m["score"] >= threshold)
+    scored = F.filter(F.transform(known, best(F.col("units"))), lambda m: m["score"] >= threshold).cast(kind)
+    if windowed:
+        scored = bound(F.concat(scored, window_scores(F.col("text"), templates, threshold)), _best_of_each)
     return scanned.select("doc_id", F.when(F.col("units").isNull(), F.array().cast(kind))
-                          .otherwise(scored.cast(kind)).alias("licenses"))
+                          .otherwise(scored).alias("licenses"))
+
+
+def _best_of_each(found: Column) -> Column:
+    """One element a license, with its highest score, in order of the license."""
+    return F.array_sort(F.filter(F.array_distinct(found), lambda m: ~F.exists(
+        found, lambda o: (o["license"] == m["license"]) & (o["score"] > m["score"]))))

@@ -32,7 +32,7 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = licenses.licenses(table(spark, sf_dir, "documents"))
+    found = licenses.licenses(table(spark, sf_dir, "documents"), windowed=True)
     names = F.transform("licenses", lambda m: m["license"])
     scores = F.transform("licenses", lambda m: m["score"])
     return found.select("doc_id", F.size("licenses").cast("bigint").alias("n_licenses"),
