@@ -68,7 +68,7 @@ class Model:
                 if here:
                     hits += 1
                     found.update(here)
-        upper = sum(map(text[:2000].count, "ABCDEFGHIJKLMNOPQRSTUVWXYZ")) if text.isupper() else 0
+        upper = sum(map(text.count, "ABCDEFGHIJKLMNOPQRSTUVWXYZ")) if text.isupper() else 0
         return sorted(found), [float(upper > 20), float(text.count("!!") >= 3),
                                float(len(words) > 20 and len(distinct) < len(words) / 4),
                                float(hits >= 1), float(hits >= 2), float(hits * 100 >= len(words) > 0)]
