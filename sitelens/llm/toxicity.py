@@ -34,7 +34,9 @@ from .common import materialize, text_or_empty
 #: Labelled rows a class that the voters and the classifier learn from, at most.
 SAMPLE = 4000
 #: FEWEST: terms taken even if a sample is too small to tell them from chance.
-LEXICON, LEXICON_VOTERS, FEWEST, TRIED = 512, 48, 8, 20_000
+LEXICON, LEXICON_VOTERS, FEWEST = 512, 48, 8
+#: Contexts that a worker holds before it passes them on.
+CONTEXTS = 100_000
 PREFIXES = (4, 5, 6)
 FOLDS, HELD_OUT = 5, 0
 STRIP = ".,;:!?\"'()[]{}<>*_-"
@@ -100,6 +102,12 @@ def _terms_of(word: str) -> list[str]:
     return ["=" + word, *(word[:n] for n in PREFIXES if len(word) > n)]
 
 
+def _terms_column(word: str) -> Column:
+    """``_terms_of`` as a column."""
+    prefixes = [F.when(F.char_length(word) > n, F.substring(word, 1, n)) for n in PREFIXES]
+    return F.array_compact(F.array(F.concat(F.lit("="), F.col(word)), *prefixes))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, text, toxic`` of at most ``SAMPLE`` ids a class, from the learning folds."""
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
@@ -127,7 +135,6 @@ def learn_lexicon(sample: DataFrame) -> list[str]:
               .agg(F.sum("toxic").alias("k1"), F.sum(1 - F.col("toxic")).alias("k0")))
     tried = materialize(counts.where("k1 > 0"), "toxicity-terms")
     base = n1 / (n1 + n0)
-    first = {r.term for r in _strongest(tried, base).limit(TRIED).collect()}
 
     # copies of one toxic text repeat all its words: what counts is the number of
     # different words that a term follows
@@ -137,12 +144,17 @@ def learn_lexicon(sample: DataFrame) -> list[str]:
             for text, y in zip(pdf["text"], pdf["toxic"], strict=True):
                 before = ""
                 for w in text.lower().split():
-                    out.update((t, before, y) for t in _terms_of(w.strip(STRIP)) if t in first)
+                    out.add((w.strip(STRIP), before, y))
                     before = w
-            yield pd.DataFrame(list(out), columns=["term", "before", "toxic"])
+                if len(out) >= CONTEXTS:
+                    yield pd.DataFrame(list(out), columns=["word", "before", "toxic"])
+                    out = set()
+            yield pd.DataFrame(list(out), columns=["word", "before", "toxic"])
 
-    seen = sample.mapInPandas(contexts, "term string, before string, toxic int").distinct()
+    seen = (sample.mapInPandas(contexts, "word string, before string, toxic int")
+            .select(F.explode(_terms_column("word")).alias("term"), "before", "toxic").distinct())
     counts = seen.groupBy("term").agg(F.sum("toxic").alias("k1"), F.sum(1 - F.col("toxic")).alias("k0"))
+    counts = counts.where("k1 > 0").join(_associated(tried, base).select("term"), "term", "left_semi")
     ranked = _strongest(counts, base).limit(4 * LEXICON).collect()
     chance = 2 * np.log(max(tried.count(), 2))
     chosen: dict[str, int] = {}
@@ -156,12 +168,16 @@ def learn_lexicon(sample: DataFrame) -> list[str]:
     return list(chosen)[:LEXICON]
 
 
+def _associated(counts: DataFrame, base: float) -> DataFrame:
+    return counts.where(F.col("k1") > 4 * base / (1 - base) * F.col("k0"))
+
+
 def _strongest(counts: DataFrame, base: float) -> DataFrame:
     """Terms by the likelihood ratio of "toxic rows have it more often than clean ones"."""
     n = F.col("k1") + F.col("k0")
     ratio = 2 * (F.col("k1") * F.log(F.col("k1") / (n * base))
                  + F.when(F.col("k0") > 0, F.col("k0") * F.log(F.col("k0") / (n * (1 - base)))).otherwise(0.0))
-    return (counts.withColumn("strength", ratio).where(F.col("k1") > 4 * base / (1 - base) * F.col("k0"))
+    return (_associated(counts.withColumn("strength", ratio), base)
             .orderBy(F.desc("strength"), F.desc(F.length("term")), "term"))
 
 
