@@ -18,6 +18,7 @@ from . import (
     simhash,
     token_counts,
     toxicity,
+    whitening,
 )
 from .queries_sql import OP3_LICENSES, OP6_SECRETS, OP8_DECONTAMINATION, OP9_CHAT
 from .common import materialize, table
@@ -83,6 +84,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), token_counts.read_vocabulary())
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deviations beyond a long, which need billions of rows, are null here."""
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"), components=32)
+    return found.withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_exact_dedup": op2_exact_dedup,
@@ -94,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_chat": op9_chat,
     "op10_token_counts": op10_token_counts,
+    "op11_whitening": op11_whitening,
 }
 
 ORACLES: dict[str, str] = {
