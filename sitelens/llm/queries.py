@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import (
     chat,
     decontaminate,
+    divergence,
     exact_dedup,
     language,
     licenses,
@@ -20,7 +21,7 @@ from . import (
     toxicity,
     whitening,
 )
-from .queries_sql import OP3_LICENSES, OP6_SECRETS, OP8_DECONTAMINATION, OP9_CHAT
+from .queries_sql import OP3_LICENSES, OP6_SECRETS, OP8_DECONTAMINATION, OP9_CHAT, OP12_DIVERGENCE
 from .common import materialize, table
 
 
@@ -90,6 +91,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("deviation", F.col("deviation").try_cast("bigint"))
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"), min_docs=10, top_terms=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_exact_dedup": op2_exact_dedup,
@@ -102,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat": op9_chat,
     "op10_token_counts": op10_token_counts,
     "op11_whitening": op11_whitening,
+    "op12_divergence": op12_divergence,
 }
 
 ORACLES: dict[str, str] = {
@@ -118,4 +124,5 @@ ORACLES: dict[str, str] = {
     "op6_secrets": OP6_SECRETS,
     "op8_decontamination": OP8_DECONTAMINATION,
     "op9_chat": OP9_CHAT,
+    "op12_divergence": OP12_DIVERGENCE,
 }

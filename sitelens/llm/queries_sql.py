@@ -131,6 +131,40 @@ OP9_CHAT = r"""
            coalesce(sum(stop) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS formatted_chars
     FROM placed GROUP BY 1"""
 
+OP12_DIVERGENCE = r"""
+    WITH d AS (
+        SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+        FROM documents),
+    t AS (SELECT k, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+    kept AS (SELECT lang, term, count(*) AS c FROM t GROUP BY 1, 2 HAVING count(DISTINCT k) >= 10),
+    l AS (SELECT lang, count(*) AS v, sum(c) AS total FROM kept GROUP BY 1),
+    g AS (SELECT DISTINCT lang, source FROM d),
+    n AS (SELECT lang, source, term, count(*) AS c FROM t JOIN (SELECT lang, term FROM kept) USING (lang, term)
+          GROUP BY 1, 2, 3),
+    gt AS (SELECT lang, source, sum(c) AS total FROM n GROUP BY 1, 2),
+    p AS (
+        SELECT g.lang, g.source, kept.term, coalesce(n.c, 0) AS c,
+               1 + (1000000000::HUGEINT * (coalesce(n.c, 0) + 2)) // (coalesce(gt.total, 0) + 2 * l.v) AS p,
+               1 + (1000000000::HUGEINT * (kept.c + 2)) // (l.total + 2 * l.v) AS q
+        FROM g JOIN kept ON kept.lang = g.lang JOIN l ON l.lang = g.lang
+        LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = kept.term
+        LEFT JOIN gt ON gt.lang = g.lang AND gt.source = g.source),
+    sums AS (
+        SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+        FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+    pairs AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sums.value, 0)::BIGINT AS value
+        FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source),
+    terms AS (
+        SELECT lang, source, 'term' AS part, term AS item, (((p - q) * (p - q)) // (p + q))::BIGINT AS value
+        FROM p WHERE c > 0 AND p > q),
+    ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+        FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+    SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 10"""
+
 _TEMPLATES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in TEMPLATES.items())
 
 OP3_LICENSES = r"""
