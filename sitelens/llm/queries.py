@@ -17,6 +17,7 @@ from . import (
     secrets,
     sentencepieces,
     simhash,
+    suffix_dedup,
     token_counts,
     toxicity,
     whitening,
@@ -95,6 +96,11 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(table(spark, sf_dir, "documents"), min_docs=10, top_terms=10)
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.removed_spans(table(spark, sf_dir, "documents"), length=400)
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_exact_dedup": op2_exact_dedup,
@@ -108,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_counts": op10_token_counts,
     "op11_whitening": op11_whitening,
     "op12_divergence": op12_divergence,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 
 ORACLES: dict[str, str] = {
