@@ -35,7 +35,7 @@ from .common import materialize
 
 MIN_DOCS, TOP_TERMS = 10, 10
 #: Bytes of text counted at once, and runs that a task holds before it sends them on.
-SLICE, HELD_RUNS = 1 << 21, 1 << 18
+SLICE, HELD_RUNS = 1 << 21, 1 << 20
 #: Terms and sources of one cell of the pair sums.
 CELL_TERMS, TILE = 4096, 64
 
@@ -87,42 +87,58 @@ def run_counts(changes: np.ndarray, docs: np.ndarray, groups: np.ndarray) -> tup
     return at, np.diff(at, append=len(docs)), np.add.reduceat(other.astype(np.int64), at)
 
 
-def count_slice(texts: list[bytes], groups: np.ndarray) -> list[tuple]:
-    """Runs of texts in group order: ``(group, hi, lo, tail, n, docs)`` arrays, a tuple a bucket."""
+def count_slice(texts: list[bytes], groups: np.ndarray) -> dict[int, list[np.ndarray]]:
+    """Runs of texts in group order, by width of the bucket: arrays of the term's
+    words (or of its bytes, from 32 on), group, occurrences and documents."""
     data = lowered()[np.frombuffer(b"\n".join(texts), np.uint8)]
     starts, lengths = term_bounds(data)
     ends = np.cumsum([len(t) + 1 for t in texts])
     docs = np.searchsorted(ends, starts, side="right")
-    out, low, width = [], 0, 8
+    out, low, width = {}, 0, 8
     longest = int(lengths.max(initial=0))
     while low < longest:
         mine = np.flatnonzero((lengths > low) & (lengths <= width))
         if len(mine):
-            rows = padded(data, starts[mine], lengths[mine], width)
-            if width <= 16:
-                words = [w.astype(np.uint64) for w in np.ascontiguousarray(rows).view(">u8").T]
-                order = radix_order(words)
-                words = [w[order] for w in words]
-                changes = np.ones(len(order), bool)
-                changes[1:] = np.any([w[1:] != w[:-1] for w in words], axis=0)
-            else:
-                terms = np.ascontiguousarray(rows).view(f"S{width}").ravel()
-                order = np.argsort(terms, kind="stable")
-                terms = terms[order]
-                changes = np.ones(len(order), bool)
-                changes[1:] = terms[1:] != terms[:-1]
+            terms = term_columns(padded(data, starts[mine], lengths[mine], width))
+            order = term_order(terms)
+            terms = [w[order] for w in terms]
             doc = docs[mine][order]
-            at, n, in_docs = run_counts(changes, doc, groups[doc])
-            zero, none = np.zeros(len(at), np.int64), np.full(len(at), None, object)
-            if width <= 16:
-                hi = words[0][at].view(np.int64)
-                out.append((groups[doc[at]], hi, words[1][at].view(np.int64) if width == 16 else zero, none, n, in_docs))
-            else:
-                out.append((groups[doc[at]], zero, zero, terms[at].astype(object), n, in_docs))
+            at, n, in_docs = run_counts(new_terms(terms), doc, groups[doc])
+            out[width] = [*[w[at] for w in terms], groups[doc[at]], n, in_docs]
         low, width = width, width * 2
     return out
 
 
+def term_columns(rows: np.ndarray) -> list[np.ndarray]:
+    """One or two words of short terms, the bytes of longer ones."""
+    rows = np.ascontiguousarray(rows)
+    width = rows.shape[1]
+    return [w.astype(np.uint64) for w in rows.view(">u8").T] if width <= 16 else [rows.view(f"S{width}").ravel()]
+
+
+def term_order(terms: list[np.ndarray]) -> np.ndarray:
+    return radix_order(terms) if terms[0].dtype == np.uint64 else np.argsort(terms[0], kind="stable")
+
+
+def new_terms(terms: list[np.ndarray]) -> np.ndarray:
+    changes = np.ones(len(terms[0]), bool)
+    changes[1:] = np.any([w[1:] != w[:-1] for w in terms], axis=0)
+    return changes
+
+
+def merged(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """Runs of one width, those of one term and group added up."""
+    columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+    order = np.argsort(columns[-3].astype(np.uint16), kind="stable") if columns[-3].max() < 1 << 16 else \
+        np.argsort(columns[-3], kind="stable")
+    order = order[term_order([c[order] for c in columns[:-3]])]
+    columns = [c[order] for c in columns]
+    first = new_terms(columns[:-3])
+    first[1:] |= columns[-3][1:] != columns[-3][:-1]
+    at = np.flatnonzero(first)
+    return [*[c[at] for c in columns[:-2]], *[np.add.reduceat(c, at) for c in columns[-2:]]]
+
+
 def slices(text: bytes):
     """A text in parts of about ``SLICE`` bytes, cut before a byte that is in no term."""
     while len(text) > SLICE:
@@ -133,64 +149,71 @@ def slices(text: bytes):
     yield text
 
 
+def count_long(text: bytes, code: int) -> dict[int, list[np.ndarray]]:
+    """One long document, part by part; a term counts it once."""
+    by_width: dict[int, list] = {}
+    for part in slices(text):
+        for width, run in count_slice([part], np.array([code])).items():
+            by_width.setdefault(width, []).append(run)
+            if len(by_width[width]) > 8:
+                by_width[width] = [merged(by_width[width])]
+    found = {width: merged(runs) for width, runs in by_width.items()}
+    return {width: [*run[:-1], np.ones_like(run[-1])] for width, run in found.items()}
+
+
 def count_terms(batches):
     """Per partition: its runs, added up before they are sent on."""
-    import pandas as pd
-    held: dict[tuple, list[int]] = {}
+    import pyarrow as pa
+    held: dict[int, list[list[np.ndarray]]] = {}
     codes: dict[tuple[str, str], int] = {}
-    names: list[tuple[str, str]] = []
 
-    def add(texts, own):
-        own = np.array(own)
-        order = np.argsort(own, kind="stable")
-        for group, hi, lo, tail, n, docs in count_slice([texts[i] for i in order], own[order]):
-            for key in zip(group.tolist(), hi.tolist(), lo.tolist(), tail.tolist(), n.tolist(), docs.tolist(), strict=True):
-                at = held.setdefault(key[:4], [0, 0])
-                at[0] += key[4]
-                at[1] += key[5]
+    def size() -> int:
+        return sum(len(run[-1]) for runs in held.values() for run in runs)
+
+    def add(found: dict[int, list[np.ndarray]]) -> bool:
+        """True if what is held should be sent on."""
+        for width, run in found.items():
+            held.setdefault(width, []).append(run)
+        if size() < HELD_RUNS:
+            return False
+        for width, runs in held.items():
+            held[width] = [merged(runs)]
+        return size() > HELD_RUNS // 2
 
     def sent():
-        rows = [(*names[g], hi, lo, tail, n, docs) for (g, hi, lo, tail), (n, docs) in held.items()]
+        names = [pa.array([n[k] for n in codes], pa.string()) for k in (0, 1)]
+        for width, runs in held.items():
+            run = merged(runs)
+            group, n, docs = (pa.array(c.astype(np.int64)) for c in run[-3:])
+            words = [pa.array(w.view(np.int64)) for w in run[:-3]] if width <= 16 else []
+            words += [pa.array(np.zeros(len(n), np.int64))] * (2 - len(words))
+            tail = pa.nulls(len(n), pa.binary()) if width <= 16 else pa.array(run[0].tolist(), pa.binary())
+            columns = [*[name.take(group) for name in names], *words, tail, n, docs]
+            yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in RUNS.split(", ")])
         held.clear()
-        return pd.DataFrame(rows, columns=[c.split()[0] for c in RUNS.split(", ")])
+
+    def counted(texts, own):
+        order = np.argsort(own, kind="stable")
+        return count_slice([texts[i] for i in order], np.array(own)[order])
 
     for batch in batches:
-        texts, own, size = [], [], 0
-        for lang, source, text in zip(batch["lang"], batch["source"], batch["text"], strict=True):
-            code = codes.setdefault((lang, source), len(codes))
-            if code == len(names):
-                names.append((lang, source))
-            text = text.encode()
+        texts, own, held_bytes = [], [], 0
+        for lang, source, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            code, text = codes.setdefault((lang, source), len(codes)), text.encode()
             if len(text) > SLICE:
-                # the parts of one text are one document
-                add_long(text, code, held)
+                if add(count_long(text, code)):
+                    yield from sent()
                 continue
             texts.append(text)
             own.append(code)
-            size += len(text)
-            if size >= SLICE:
-                add(texts, own)
-                texts, own, size = [], [], 0
-                if len(held) >= HELD_RUNS:
-                    yield sent()
-        if texts:
-            add(texts, own)
-        if len(held) >= HELD_RUNS:
-            yield sent()
-    if held:
-        yield sent()
-
-
-def add_long(text: bytes, code: int, held: dict) -> None:
-    """One long document, part by part; a term counts it once."""
-    met = set()
-    for part in slices(text):
-        for _, hi, lo, tail, n, _ in count_slice([part], np.array([code])):
-            for key, k in zip(zip(hi.tolist(), lo.tolist(), tail.tolist(), strict=True), n.tolist(), strict=True):
-                at = held.setdefault((code, *key), [0, 0])
-                at[0] += k
-                at[1] += key not in met
-                met.add(key)
+            held_bytes += len(text)
+            if held_bytes >= SLICE:
+                if add(counted(texts, own)):
+                    yield from sent()
+                texts, own, held_bytes = [], [], 0
+        if texts and add(counted(texts, own)):
+            yield from sent()
+    yield from sent()
 
 
 def term_text(hi: Column, lo: Column, tail: Column) -> Column:
@@ -212,7 +235,7 @@ def apart(p: Column, q: Column) -> Column:
 def term_runs(docs: DataFrame) -> DataFrame:
     """``lang, source, hi, lo, tail, n, docs`` of every term of every group."""
     blank = lambda name: F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name)
-    runs = docs.select(blank("lang"), blank("source"), blank("text")).mapInPandas(count_terms, RUNS)
+    runs = docs.select(blank("lang"), blank("source"), blank("text")).mapInArrow(count_terms, RUNS)
     return (runs.groupBy("lang", "source", "hi", "lo", "tail")
             .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
 
@@ -283,10 +306,10 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_T
     kept = materialize(whole(kept), "audit-kept")
     blank = lambda name: F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name)
     groups = docs.select(blank("lang"), blank("source")).distinct()
-    langs = (groups.groupBy("lang").agg(F.count(F.lit(1)).alias("sources")).join(
+    langs = materialize(groups.groupBy("lang").agg(F.count(F.lit(1)).alias("sources")).join(
         kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_n").alias("lang_total")), "lang", "left")
         .select("lang", "sources", F.coalesce("v", F.lit(0)).alias("v"),
-                F.coalesce("lang_total", F.lit(0)).alias("lang_total")))
+                F.coalesce("lang_total", F.lit(0)).alias("lang_total")), "audit-langs")
     found = materialize(whole(runs).join(kept, ["lang", *packed]), "audit-found")
     totals = found.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     sized = materialize(groups.join(totals, ["lang", "source"], "left").join(langs, "lang")

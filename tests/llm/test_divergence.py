@@ -74,15 +74,15 @@ def test_radix_order_is_stable_and_ascending():
 
 def test_a_long_text_is_counted_in_parts_as_one_document(monkeypatch):
     monkeypatch.setattr(D, "SLICE", 50)
-    import pandas as pd
+    import pyarrow as pa
     text = " ".join(w for _, t, _, _ in corpus(5, 30) for w in [t]) + " " + "q" * 200 + " end end"
-    batch = pd.DataFrame({"lang": ["en"] * 2, "source": ["s"] * 2, "text": [text, "end"]})
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in (["en"] * 2, ["s"] * 2, [text, "end"])], names=["l", "s", "t"])
     total = Counter()
     for out in D.count_terms([batch]):
-        for r in out.itertuples():
-            key = r.tail if r.tail is not None else b"".join((int(w) % 2**64).to_bytes(8, "big") for w in (r.hi, r.lo)).rstrip(b"\0")
-            total[key.decode()] += r.n
-            assert r.docs == (2 if key == b"end" else 1)
+        for r in out.to_pylist():
+            key = r["tail"] or b"".join((w % 2**64).to_bytes(8, "big") for w in (r["hi"], r["lo"])).rstrip(b"\0")
+            total[key.decode()] += r["n"]
+            assert r["docs"] == (2 if key == b"end" else 1)
     assert total == Counter(plain_terms(text)) + Counter(["end"])
 
 
