@@ -9,6 +9,10 @@ their shortest depth, whatever order a sequential crawler pops them in.
 Per-site early stop: a site whose visited pages already cover every
 required section is not expanded further (checked once per round).
 
+With a ``SnapshotStore`` every round is published as a version of the crawl's result
+(``history`` gives the counts after each).  A crawl that ended between rounds, or in
+one, goes on from the last published round when it is called again.
+
 Each round's new rows are cut from their lineage with a reliable
 ``checkpoint()`` into the session's checkpoint folder, so a lost executor
 only recomputes one round, and the plan does not grow with the round count.
@@ -19,10 +23,11 @@ later rounds shuffle only the (small) frontier.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitelens.session import cut_lineage, ensure_checkpoint_dir
+from sitelens.sources.snapshots import SnapshotStore
 
 
 #: Links of one page that one cell holds; pages with more are spread over several.
@@ -40,9 +45,13 @@ def _cells(edges: DataFrame) -> DataFrame:
 
 
 def crawl(seeds: DataFrame, edges: DataFrame, page_sections: DataFrame | None = None,
-          required: list[str] | None = None, compact_every: int = 16) -> DataFrame:
+          required: list[str] | None = None, compact_every: int = 16,
+          snapshots: SnapshotStore | None = None, stop_after: int | None = None) -> DataFrame:
     """seeds(entity, url), edges(src, dst[, priority]) -> visited(entity, url, depth, priority).
 
+    ``snapshots`` publishes each round and resumes from the last one published;
+    ``stop_after`` ends the call after that round, with the crawl open.
+
     Rounds go on until one reaches no new URL, whatever the depth of the graph.
     ``page_sections(url, section)`` with ``required`` enables the per-site
     coverage stop.  ``depth`` is the round in which the URL was first popped."""
@@ -56,17 +65,24 @@ def crawl(seeds: DataFrame, edges: DataFrame, page_sections: DataFrame | None =
     coverage = page_sections is not None and bool(required)
     if coverage:
         page_sections = cut_lineage(page_sections.select("url", "section").distinct())
-    visited = cut_lineage(seeds.select("entity", "url").distinct()
-                          .withColumn("depth", F.lit(0)).withColumn("priority", F.lit("high")))
-    frontier = visited
+    def keep(rows: DataFrame, version: int) -> DataFrame:
+        return snapshots.save(version, rows) if snapshots else cut_lineage(rows)
+
+    done = snapshots.versions() if snapshots else []
+    if done:
+        r, visited = done[-1], snapshots.read(*done)
+        frontier = snapshots.read(r)
+    else:
+        r = 0
+        visited = frontier = keep(seeds.select("entity", "url").distinct()
+                                  .withColumn("depth", F.lit(0)).withColumn("priority", F.lit("high")), 0)
     pieces = [visited]
     need = F.array(*[F.lit(s) for s in (required or [])])
     # sections found per site, grown from each round's new pages only (at most
     # sites x sections rows) instead of re-joining every visited page per round
     found = visited.join(page_sections, "url").select("entity", "section").distinct() if coverage else None
     held: list[DataFrame] = []
-    r = 0
-    while True:
+    while stop_after is None or r < stop_after:
         r += 1
         active = frontier
         if coverage:
@@ -79,10 +95,10 @@ def crawl(seeds: DataFrame, edges: DataFrame, page_sections: DataFrame | None =
                 .groupBy("entity", F.col("dst").alias("url"))
                 .agg(F.min(F.when(F.col("priority") == "high", 0)
                            .when(F.col("priority") == "medium", 1).otherwise(2)).alias("p")))
-        fresh = cut_lineage(step.join(_union(pieces), ["entity", "url"], "left_anti")
-                            .select("entity", "url", F.lit(r).alias("depth"),
-                                    F.element_at(F.array(F.lit("high"), F.lit("medium"), F.lit("low")),
-                                                 F.col("p") + 1).alias("priority")))
+        fresh = keep(step.join(_union(pieces), ["entity", "url"], "left_anti")
+                     .select("entity", "url", F.lit(r).alias("depth"),
+                             F.element_at(F.array(F.lit("high"), F.lit("medium"), F.lit("low")),
+                                          F.col("p") + 1).alias("priority")), r)
         if fresh.isEmpty():
             break
         pieces.append(fresh)
@@ -118,3 +134,14 @@ def crawl_stats(visited: DataFrame, page_sections: DataFrame) -> DataFrame:
         F.count("_rel").alias("relevant_pages_found"),
         F.max("depth").alias("rounds"))
 
+
+
+def history(snapshots: SnapshotStore, page_sections: DataFrame) -> DataFrame:
+    """Per site and round the crawl's counts as they were after that round: ``entity,
+    round, total_pages_visited, relevant_pages_found``."""
+    rel = page_sections.select("url").distinct().withColumn("rel", F.lit(1))
+    each = (snapshots.read().join(rel, "url", "left").groupBy("entity", F.col("depth").alias("round"))
+            .agg(F.count(F.lit(1)).alias("n"), F.count("rel").alias("n_rel")))
+    so_far = Window.partitionBy("entity").orderBy("round")       # a row a round
+    return each.select("entity", "round", F.sum("n").over(so_far).alias("total_pages_visited"),
+                       F.sum("n_rel").over(so_far).alias("relevant_pages_found"))

@@ -49,7 +49,7 @@ def fragment_errors(nodes: DataFrame) -> DataFrame:
 def merge_nodes(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """nodes -> (merged nodes, merged array items).
 
-    merged nodes: entity, path, depth, kind, value.
+    merged nodes: entity, path, depth, kind, value, source_seq (the fragment it comes from).
     merged items: entity, path, seq, idx, kind, value (order = (seq, idx))."""
     nodes = nodes.where("depth > 0")
     occ = F.struct("seq", "kind", "value")
@@ -68,7 +68,8 @@ def merge_nodes(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     dead = (anc.join(wk, ["entity", "anc"]).where(F.col("anc_kind") != "object")
             .select("entity", "path").distinct())
     live = w.join(dead, ["entity", "path"], "left_anti")
-    merged = live.select("entity", "path", "depth", "kind", "value")
+    merged = live.select("entity", "path", "depth", "kind", "value",
+                         F.coalesce(F.col("t.seq"), F.col("f.seq")).alias("source_seq"))
 
     # arrays with a truthy winner: winner items, then unseen later items
     arr = (live.where((F.col("kind") == "array") & F.col("t").isNotNull())
@@ -93,6 +94,93 @@ def merge_nodes(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return merged, items
 
 
+def summarise(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What a record keeps of some fragments so that others can still be merged in:
+    ``(paths, items)``.
+
+    paths: entity, path, depth and the first truthy (t) and first present (f) occurrence.
+    items: entity, path, canon, seq, idx, kind, value of each array item's first place,
+    and the other places of items in the array that t is (``repeat``).
+
+    Summaries of any parts of the fragments, in any order, join to the summary of the
+    whole (``join_summaries``).  Minima do so.  Items stand in arrays that are truthy,
+    so none comes before t, and whichever array becomes the winner later has all its
+    own places here, as it is the first truthy occurrence of its part as well."""
+    nodes = nodes.where("depth > 0")
+    occ = F.struct("seq", "kind", "value")
+    paths = nodes.groupBy("entity", "path").agg(
+        F.first("depth").alias("depth"), F.min(F.when(F.col("truthy"), occ)).alias("t"), F.min(occ).alias("f"))
+    rows = (nodes.where(F.col("kind") == "array").select("entity", "path", "seq", F.posexplode("items").alias("idx", "it"))
+            .select("entity", "path", F.col("it.canon").alias("canon"), F.col("seq"), "idx",
+                    F.col("it.kind").alias("kind"), F.col("it.value").alias("value")))
+    return _kept(paths, rows)
+
+
+def _kept(paths: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    place = F.struct("seq", "idx", "kind", "value")
+    firsts = (rows.groupBy("entity", "path", "canon").agg(F.min(place).alias("m"))
+              .select("entity", "path", "canon", "m.*"))
+    winners = paths.where(F.col("t.kind") == "array").select("entity", "path", F.col("t.seq").alias("seq"))
+    repeats = (rows.join(winners, ["entity", "path", "seq"])
+               .join(firsts.select("entity", "path", "seq", "idx"), ["entity", "path", "seq", "idx"], "left_anti"))
+    columns = ["entity", "path", "canon", "seq", "idx", "kind", "value"]
+    items = (firsts.select(*columns).withColumn("repeat", F.lit(False))
+             .unionByName(repeats.select(*columns).withColumn("repeat", F.lit(True))))
+    return paths, items
+
+
+def join_summaries(a: tuple[DataFrame, DataFrame], b: tuple[DataFrame, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """The summary of both parts; associative and commutative, for parts without a
+    fragment (entity, seq) in common, and idempotent for equal ones."""
+    paths = (a[0].unionByName(b[0]).groupBy("entity", "path")
+             .agg(F.first("depth").alias("depth"), F.min("t").alias("t"), F.min("f").alias("f")))
+    rows = a[1].unionByName(b[1]).drop("repeat").distinct()
+    return _kept(paths, rows)
+
+
+def finish(summary: tuple[DataFrame, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(merged nodes, merged array items) of a summary, as ``merge_nodes`` gives them."""
+    paths, items = summary
+    w = cut_lineage(paths.select("entity", "path", "depth", "t", "f",
+                                 F.coalesce(F.col("t.kind"), F.col("f.kind")).alias("kind"),
+                                 F.when(F.col("t").isNotNull(), F.col("t.value")).otherwise(F.col("f.value")).alias("value")))
+    above = (w.where(F.col("depth") > 1)
+             .select("entity", "path", F.explode(F.transform(F.sequence(F.lit(1), F.col("depth") - 1),
+                                                             lambda i: F.slice("path", 1, i))).alias("up")))
+    no_object = w.where(F.col("kind") != "object").select("entity", F.col("path").alias("up"))
+    dead = above.join(no_object, ["entity", "up"]).select("entity", "path").distinct()
+    live = w.join(dead, ["entity", "path"], "left_anti")
+    arrays = (live.where((F.col("kind") == "array") & F.col("t").isNotNull())
+              .select("entity", "path", ((F.col("f.seq") == F.col("t.seq")) | (F.col("f.kind") != "array")).alias("verbatim")))
+    kept = items.join(arrays, ["entity", "path"]).where(~F.col("repeat") | F.col("verbatim"))
+    return (live.select("entity", "path", "depth", "kind", "value",
+                        F.coalesce(F.col("t.seq"), F.col("f.seq")).alias("source_seq")),
+            kept.select("entity", "path", "seq", "idx", "kind", "value"))
+
+
+class RecordStore:
+    """Summaries in the shared folder, a version an upsert; new fragments are merged into
+    the last version without reading the earlier fragments again."""
+
+    def __init__(self, spark, root: str):
+        from sitelens.sources.snapshots import SnapshotStore
+        self.paths, self.items = SnapshotStore(spark, f"{root}/paths"), SnapshotStore(spark, f"{root}/items")
+
+    def upsert(self, fragments: DataFrame, version: int, schema_keys: list[str] | None = None) -> None:
+        """Merges the fragments in as ``version`` (numbers ascend; one that is repeated
+        after a failure is kept once)."""
+        new = summarise(cut_lineage(fragment_nodes(fragments, schema_keys)))
+        earlier = [v for v in self.items.versions() if v < version]
+        if earlier:
+            new = join_summaries(self.summary(earlier[-1]), new)
+        self.paths.save(version, new[0])
+        self.items.save(version, new[1])        # published last: a version counts once its items are there
+
+    def summary(self, version: int | None = None) -> tuple[DataFrame, DataFrame]:
+        version = self.items.versions()[-1] if version is None else version
+        return self.paths.read(version), self.items.read(version)
+
+
 def merge_fragments(fragments: DataFrame, schema_keys: list[str] | None = None, materialize: bool = True):
     """Flatten once (materialised with a reliable checkpoint, since the node
     table feeds three branches of the merge), then merge."""

@@ -55,16 +55,16 @@ def prepare_leaves(leaves: DataFrame) -> DataFrame:
         F.when(F.col("cv") == "", F.lit(0)).otherwise(F.size(F.split(F.col("cv"), " "))).alias("n_words"))
 
 
-def check_fields(pairs: DataFrame, run_ts: str | None = None) -> DataFrame:
-    """Per (leaf, page): is_valid, source_text, notes (first rule wins).
+def check_fields(pairs: DataFrame, run_ts: str | None = None, more: tuple[str, ...] = ()) -> DataFrame:
+    """Per (leaf, page): is_valid, source_text, notes (first rule wins), and the columns ``more``.
     ``exact`` and ``matched`` are computed once per pair; the word scan runs
     only for pairs that are neither skipped nor exact."""
     cc = F.col("content_norm")
     step = pairs.select(
-        "entity", "field_path", "ord", "url", "page_seq", "skip", "cv", "n_words",
+        "entity", "field_path", "ord", "url", "page_seq", *more, "skip", "cv", "n_words",
         (~F.col("skip") & cc.contains(F.col("cv"))).alias("exact"), "words", "content_norm")
     step = step.select(
-        "entity", "field_path", "ord", "url", "page_seq", "skip", "cv", "n_words", "exact",
+        "entity", "field_path", "ord", "url", "page_seq", *more, "skip", "cv", "n_words", "exact",
         # a one-word value that is not an exact match has no matching word
         F.when(F.col("skip") | F.col("exact"), F.lit(None))
         .when(F.col("n_words") <= 1, F.lit(0))
@@ -75,7 +75,7 @@ def check_fields(pairs: DataFrame, run_ts: str | None = None) -> DataFrame:
     notes = (F.when(F.col("skip"), SKIPPED).when(F.col("exact"), EXACT)
              .when(fuzzy_ok, F.format_string("Fuzzy match (%d/%d words)", F.col("matched"), F.col("n_words")))
              .otherwise(NO_MATCH))
-    out = step.select("entity", "field_path", "ord", "url", "page_seq", is_valid.alias("is_valid"),
+    out = step.select("entity", "field_path", "ord", "url", "page_seq", *more, is_valid.alias("is_valid"),
                       source.alias("source_text"), notes.alias("notes"))
     if run_ts:
         out = out.withColumn("validation_date", F.to_timestamp(F.lit(run_ts)))

@@ -296,6 +296,27 @@ def crawl_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FR.crawl_stats(visited.withColumnRenamed("page_id", "url"), ps)
 
 
+@register("crawl_snapshots", _reach_query(KEEP, f""",
+rel AS (SELECT DISTINCT ps.page_id FROM ({_sections_sql(f"(SELECT {S.authority('url')} AS entity, page_id, {S.region_text('html')} AS content FROM pages)", 'content')}) ps),
+each AS (SELECT r.entity, r.depth, count(*) AS n, count(rel.page_id) AS n_rel
+         FROM reach r LEFT JOIN rel ON rel.page_id = r.page_id GROUP BY 1, 2)
+SELECT entity, CAST(depth AS INTEGER) AS round,
+       CAST(sum(n) OVER (PARTITION BY entity ORDER BY depth) AS BIGINT) AS total_pages_visited,
+       CAST(sum(n_rel) OVER (PARTITION BY entity ORDER BY depth) AS BIGINT) AS relevant_pages_found
+FROM each""").replace("\n,\nrel AS", ",\nrel AS"))
+def crawl_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A crawl that ends after two rounds and is taken up again; its counts after every round."""
+    from sitelens.session import scratch_dir
+    from sitelens.sources.snapshots import SnapshotStore
+    seeds, edges = _derived_edges(spark, sf_dir, KEEP)
+    path = scratch_dir(spark, "crawl-snapshots")
+    FR.crawl(seeds, edges, snapshots=SnapshotStore(spark, path), stop_after=2)
+    store = SnapshotStore(spark, path)
+    FR.crawl(seeds, edges, snapshots=store)
+    ps = page_sections(spark, sf_dir).select(F.col("page_id").alias("url"), "section")
+    return FR.history(store, ps)
+
+
 # --- P18, P19, P20, A11, U3, U5: fragments, leaves and the deep merge ---------
 
 from sitelens import taxonomy as TX  # noqa: E402
@@ -304,6 +325,7 @@ from sitelens.functions.jsonpaths import schema_paths  # noqa: E402
 from sitelens.operators import merge as MG  # noqa: E402
 from sitelens.operators import records as RC  # noqa: E402
 from sitelens.operators import validate as VD  # noqa: E402
+from sitelens.operators import matchindex as MI  # noqa: E402
 
 
 def _fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -362,6 +384,20 @@ def merged_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return MG.flat_record(merged, items)
 
 
+#: Upserts in which the fragments arrive, dealt without regard to their order.
+UPSERTS = 3
+
+
+@register("merged_records_incremental", ORACLES["merged_records"])
+def merged_records_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sitelens.session import scratch_dir
+    fragments = _fragments(spark, sf_dir)
+    store = MG.RecordStore(spark, scratch_dir(spark, "records"))
+    for k in range(UPSERTS):
+        store.upsert(fragments.where(F.pmod(F.xxhash64("seq"), F.lit(UPSERTS)) == k), k, TX.top_keys())
+    return MG.flat_record(*MG.finish(store.summary()))
+
+
 # --- V1-V8, J6-J10, A12, A14: validation --------------------------------------
 
 def record_leaves(merged: DataFrame, items: DataFrame) -> DataFrame:
@@ -380,13 +416,24 @@ def record_leaves(merged: DataFrame, items: DataFrame) -> DataFrame:
     return scal.unionByName(flat_items).unionByName(obj_items).withColumn("ord", F.lit(0))
 
 
-def _validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _validation_inputs(spark: SparkSession, sf_dir: str):
+    """Leaves, pages and the record's parts."""
     merged, items, _ = _merged(spark, sf_dir)
-    leaves = record_leaves(merged, items)
     pg = read_pages(spark, sf_dir).select("entity", "url", "page_seq", H.plain_text(F.col("html")).alias("text"))
+    return record_leaves(merged, items), pg, merged, items
+
+
+def _validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaves, pg, _, _ = _validation_inputs(spark, sf_dir)
     return VD.validate_fields(leaves, pg)
 
 
+def _indexed(spark: SparkSession, sf_dir: str) -> MI.IndexedValidation:
+    """The same results as compared pairs and counts."""
+    leaves, pg, _, _ = _validation_inputs(spark, sf_dir)
+    return MI.IndexedValidation(leaves, pg)
+
+
 _VALIDATION_CTE = f"""{_MERGE_CTE},
 leaves AS (SELECT entity, path AS field_path, kind, value FROM merged WHERE node_type = 'node' AND kind NOT IN ('object', 'array')
            UNION ALL
@@ -415,7 +462,7 @@ def field_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT entity, field_path, bool_or(is_valid) AS valid_anywhere, arg_min(url, page_seq) FILTER (WHERE is_valid) AS first_source_url,
        count(*) AS pages_checked FROM res GROUP BY entity, field_path""")
 def field_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return VD.verdicts(_validation(spark, sf_dir))
+    return _indexed(spark, sf_dir).verdicts()
 
 
 @register("validation_summary", f"""WITH {_VALIDATION_CTE}
@@ -426,7 +473,7 @@ SELECT entity, count(*) AS total_fields, CAST(count_if(is_valid) AS BIGINT) AS v
        CAST(count_if(contains(notes, {S.q(vocab.NOT_PUBLISHED)})) AS BIGINT) AS not_published
 FROM res GROUP BY entity""")
 def validation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return VD.summary(_validation(spark, sf_dir), ["entity"])
+    return _indexed(spark, sf_dir).summary(["entity"])
 
 
 @register("validation_rollup", f"""WITH {_VALIDATION_CTE}
@@ -435,7 +482,33 @@ SELECT entity, regexp_extract(field_path, '^([^.\\[]*)', 1) AS section, count(*)
        CAST(grouping(entity, regexp_extract(field_path, '^([^.\\[]*)', 1)) AS INTEGER) AS level
 FROM res GROUP BY ROLLUP (entity, regexp_extract(field_path, '^([^.\\[]*)', 1))""")
 def validation_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return VD.rollup(_validation(spark, sf_dir))
+    return _indexed(spark, sf_dir).rollup()
+
+
+def record_urls(merged: DataFrame, items: DataFrame, pages: DataFrame) -> DataFrame:
+    """The URL list of each record: the page of every value that the merge kept, so a
+    page counts as often as it gave one (``times``): the pages' columns and that."""
+    seqs = (merged.where(F.col("kind") != "object").select("entity", F.col("source_seq").alias("page_seq"))
+            .unionByName(items.select("entity", F.col("seq").alias("page_seq"))))
+    return pages.join(seqs.groupBy("entity", "page_seq").agg(F.count(F.lit(1)).alias("times")), ["entity", "page_seq"])
+
+
+@register("record_url_validation", f"""WITH {_VALIDATION_CTE},
+src AS (SELECT entity, coalesce(min(seq) FILTER (WHERE title <> ''), min(seq)) AS seq FROM fr GROUP BY entity
+        UNION ALL SELECT entity, coalesce(min(seq) FILTER (WHERE lang <> ''), min(seq)) FROM fr GROUP BY entity
+        UNION ALL SELECT entity, coalesce(min(seq) FILTER (WHERE n <> 0), min(seq)) FROM fr GROUP BY entity
+        UNION ALL SELECT entity, coalesce(t_seq, f_seq) FROM tt
+        UNION ALL SELECT entity, seq FROM items)
+SELECT res.entity, count(*) AS total_fields, CAST(count_if(is_valid) AS BIGINT) AS valid_fields,
+       CAST(count_if(NOT is_valid) AS BIGINT) AS invalid_fields, count_if(is_valid) * 100.0 / count(*) AS validation_rate,
+       CAST(count_if(contains(notes, 'Exact match')) AS BIGINT) AS exact_matches,
+       CAST(count_if(contains(notes, 'Fuzzy match')) AS BIGINT) AS fuzzy_matches,
+       CAST(count_if(contains(notes, {S.q(vocab.NOT_PUBLISHED)})) AS BIGINT) AS not_published
+FROM res JOIN src ON src.entity = res.entity AND src.seq = res.page_seq GROUP BY res.entity""")
+def record_url_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every leaf against the record's own list of URLs, repeated ones counted each time."""
+    leaves, pg, merged, items = _validation_inputs(spark, sf_dir)
+    return MI.IndexedValidation(leaves, record_urls(merged, items, pg)).summary(["entity"])
 
 
 SCHEMA = schema_paths(TX.SAMPLE_PROGRAM)
@@ -591,7 +664,7 @@ def stream_new_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("stream_usage_sessions", f"""
 WITH {_CALLS_SQL},
 c AS (SELECT *, prompt_tokens + completion_tokens AS tot, lag(ts) OVER (PARTITION BY caller ORDER BY ts, call_id) AS prev FROM calls),
-g AS (SELECT *, sum(CAST(prev IS NULL OR epoch_us(ts) - epoch_us(prev) >= {STREAM_GAP_SECONDS * 1_000_000} AS INTEGER))
+g AS (SELECT *, sum(CAST(prev IS NULL OR epoch_us(ts) - epoch_us(prev) > {STREAM_GAP_SECONDS * 1_000_000} AS INTEGER))
              OVER (PARTITION BY caller ORDER BY ts, call_id) AS sess FROM c)
 SELECT caller, min(ts) AS session_start, max(ts) + INTERVAL {STREAM_GAP_SECONDS} SECOND AS session_end,
        count(*) AS n_calls, sum(tot) AS tokens FROM g GROUP BY caller, sess
@@ -602,6 +675,22 @@ def stream_usage_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("session_end").cast("timestamp_ntz").alias("session_end"), "n_calls", "tokens")
 
 
+#: Files, and so micro-batches, in which the derived links arrive.
+STREAM_LINK_FILES = 3
+
+
+@register("stream_frontier_reach", ORACLES["frontier_reach"])
+def stream_frontier_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The links arrive in files dealt by their target, so that most pages' links come in several batches."""
+    from sitelens.session import scratch_dir
+    from sitelens.streaming import frontier_stream as FS
+    seeds, edges = _derived_edges(spark, sf_dir, None)
+    path = scratch_dir(spark, "stream-links")
+    edges.repartition(STREAM_LINK_FILES, "dst").write.parquet(path)
+    found = FS.run_reach(seeds, path, "src bigint, dst bigint")
+    return found.select("entity", F.col("url").alias("page_id"), F.col("depth").cast("int").alias("depth"))
+
+
 @register("stream_page_sections", f"WITH {_PAGE_SECTIONS_CTE} SELECT * FROM ps")
 def stream_page_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = ST.run_page_sections(spark, os.path.join(sf_dir, "pages.parquet"), SECTIONS, H.region_text)

@@ -6,9 +6,10 @@
   once it falls behind the watermark).
 * ``usage_session_stream``: calls grouped into gap sessions per caller with
   ``session_window`` under a watermark; sessions are emitted once closed
-  (append mode).
-* ``page_section_stream``: stateless page -> section rows, written per
-  micro-batch with ``foreachBatch`` (a snapshot after every batch).
+  (append mode).  A call exactly one gap after the last one still belongs to its
+  session, as in the batch form.
+* ``run_page_sections``: stateless page -> section rows, published per micro-batch
+  as a version of a ``SnapshotStore``: a batch that is replayed changes nothing.
 
 All sinks and checkpoints live below the session's checkpoint folder; tests
 and the registry drive them with ``trigger(availableNow=True)``.
@@ -24,6 +25,7 @@ from sitelens.operators import links as LK
 from sitelens.operators import sections as SC
 from sitelens.operators import usage as US
 from sitelens.session import scratch_dir
+from sitelens.sources.snapshots import SnapshotStore
 
 
 def _run(df: DataFrame, out: str, mode: str = "append", fmt: str = "parquet") -> None:
@@ -79,7 +81,7 @@ def open_sessions(calls: DataFrame, closed: DataFrame, gap: str) -> DataFrame:
     of each caller's calls from the end of its last closed session on."""
     ends = closed.groupBy(F.col("caller").alias("c")).agg(F.max("session_end").alias("end"))
     rest = calls.join(ends, F.col("caller").eqNullSafe(F.col("c")), "left")
-    return _sessions(rest.where(F.col("end").isNull() | (F.col("ts") >= F.col("end"))).drop("c", "end"), gap)
+    return _sessions(rest.where(F.col("end").isNull() | (F.col("ts") > F.col("end"))).drop("c", "end"), gap)
 
 
 def run_new_urls(spark: SparkSession, pages_path: str) -> DataFrame:
@@ -99,16 +101,23 @@ def run_usage_sessions(spark: SparkSession, events_path: str, gap: str) -> DataF
     return closed.unionByName(open_sessions(calls, closed, gap))
 
 
+def publish_batches(stream: DataFrame, make, store: SnapshotStore, checkpoint: str) -> None:
+    """Runs ``make(batch)`` on every micro-batch and publishes its rows under the batch
+    number.  A batch that is replayed after a failure, whether before or after its
+    rows were published, is in the store once."""
+    q = (stream.writeStream.foreachBatch(lambda batch, epoch: store.save(epoch, make(batch)) and None)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
 def run_page_sections(spark: SparkSession, pages_path: str, sections: dict[str, list[str]],
-                      content_fn) -> DataFrame:
+                      content_fn, max_files: int | None = None) -> DataFrame:
     out = scratch_dir(spark, "stream-sections")
+    store = SnapshotStore(spark, out)
 
-    def per_batch(batch: DataFrame, epoch: int) -> None:
+    def found(batch: DataFrame) -> DataFrame:
         pg = batch.select("entity", "page_id", content_fn(F.col("html")).alias("content"))
-        (SC.page_sections(pg, sections=sections).withColumn("batch_id", F.lit(epoch))
-         .write.mode("append").parquet(out))
+        return SC.page_sections(pg, sections=sections)
 
-    q = (stream_pages(spark, pages_path).writeStream.foreachBatch(per_batch)
-         .option("checkpointLocation", out + "-ckpt").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(out)
+    publish_batches(stream_pages(spark, pages_path, max_files=max_files), found, store, out + "-ckpt")
+    return store.read()
