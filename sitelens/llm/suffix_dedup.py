@@ -219,8 +219,9 @@ def build(length: int):
         places = made.places()
         windows = made.windows(places)
         order = np.argsort(windows, kind="stable")
-        places, windows = places[order], windows[order]
-        same = windows[1:] == windows[:-1]
+        places = places[order]
+        same = np.concatenate([windows[order[k + 1:k + 4097]] == windows[order[k:k + 4096][:len(order) - k - 1]]
+                               for k in range(0, max(1, len(order) - 1), 4096)])
         repeated = np.concatenate([places[1:][same], places[:-1][same]])
         made.sa = places[np.concatenate([[True], ~same])]
         return pd.DataFrame([made.row(int(pdf["bucket"].iloc[0]), made.hits(repeated))], columns=RUN_COLUMNS)
@@ -328,6 +329,21 @@ HITS = "e1 bigint, e2 bigint, first int, last int"
 
 # --- repeats of entries ---------------------------------------------------------
 
+def united(found: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, ranges``: an entry's ranges of windows as an array of ``(first, last)``,
+    those that touch united, so that joins with its places don't multiply them."""
+    lists = found.groupBy(*keys).agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("all"))
+
+    def add(done, r):
+        end = F.element_at(done, -1)
+        grown = F.concat(F.slice(done, F.lit(1), F.size(done) - 1),
+                         F.array(F.struct(end["first"].alias("first"), F.greatest(end["last"], r["last"]).alias("last"))))
+        return F.when((F.size(done) > 0) & (r["first"] <= F.try_element_at(done, F.lit(-1))["last"] + 1), grown).otherwise(
+            F.concat(done, F.array(r)))
+    nothing = F.array().cast("array<struct<first:int,last:int>>")
+    return lists.select(*keys, F.aggregate("all", nothing, add).alias("ranges"))
+
+
 def refine(length: int, width: int):
     """Entries cut at multiples of ``width`` from their anchor."""
     def run(batches):
@@ -342,6 +358,9 @@ def refine(length: int, width: int):
                     # a single window's hash says all
                     out.append((*entry_id(body, delta), core - (core >> 63 << 64), n, delta,
                                 body if width > 1 else b"", r.e1, r.e2, offset))
+                if len(out) > 1 << 14:
+                    yield pd.DataFrame(out, columns=columns)
+                    out = []
             yield pd.DataFrame(out, columns=columns)
     return run
 
@@ -367,7 +386,8 @@ def repeats(entries: DataFrame, length: int, hot: int, batches: int, widths: tup
         out += [family.add(dealt.where(F.col("batch") == b)) for b in range(batches)]
         family.close()
     if widths and not shared.where(apart).isEmpty():
-        cut = entries.join(shared.where(apart).select("core"), "core", "left_semi")
+        # dealt out anew, as the join brings a core's entries together
+        cut = entries.join(shared.where(apart).select("core"), "core", "left_semi").repartition("e1", "e2")
         places = materialize(cut.mapInPandas(refine(length, widths[0]),
                                              "f1 bigint, f2 bigint, core bigint, n int, delta int, body binary, "
                                              "e1 bigint, e2 bigint, at int")
@@ -381,8 +401,11 @@ def repeats(entries: DataFrame, length: int, hot: int, batches: int, widths: tup
             one = places.drop("many", "e1", "e2", "at").dropDuplicates(["f1", "f2"]).join(several, ["f1", "f2"])
             one = materialize(one.withColumnsRenamed({"f1": "e1", "f2": "e2"}), "suffix-pieces")
             found = repeats(one, length, hot, batches, widths[1:]).withColumnsRenamed({"e1": "f1", "e2": "f2"})
-        out.append(materialize(found, "suffix-found").join(places.select("f1", "f2", "e1", "e2", "at"), ["f1", "f2"])
-                   .select("e1", "e2", (F.col("at") + F.col("first")).alias("first"), (F.col("at") + F.col("last")).alias("last")))
+        found = materialize(united(found, ["f1", "f2"]), "suffix-found")
+        out.append(places.select("f1", "f2", "e1", "e2", "at").join(found, ["f1", "f2"])
+                   .select("e1", "e2", "at", F.explode("ranges").alias("r"))
+                   .select("e1", "e2", (F.col("at") + F.col("r.first")).alias("first"),
+                           (F.col("at") + F.col("r.last")).alias("last")))
     both = out[0]
     for more in out[1:]:
         both = both.unionByName(more)
@@ -439,10 +462,11 @@ def removed_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT, batches
     entries = materialize(cut.where(F.col("body").isNotNull()).dropDuplicates(["e1", "e2"])
                           .select("e1", "e2", "core", "n", "delta", "body").join(several, ["e1", "e2"]), "suffix-entries")
     narrow = max(2, length // 16)
-    found = materialize(repeats(entries, length, hot, batches, (narrow, 1)).distinct(), "suffix-repeats")
+    found = materialize(united(repeats(entries, length, hot, batches, (narrow, 1)), ["e1", "e2"]), "suffix-repeats")
     ranges = (cut.select("e1", "e2", "k1", "k2", F.col("first").alias("begin")).join(found, ["e1", "e2"])
-              .select("k1", "k2", (F.col("begin") + F.col("first")).alias("begin"),
-                      (F.col("begin") + F.col("last") + length).alias("stop"))
+              .select("k1", "k2", "begin", F.explode("ranges").alias("r"))
+              .select("k1", "k2", (F.col("begin") + F.col("r.first")).alias("begin"),
+                      (F.col("begin") + F.col("r.last") + length).alias("stop"))
               .groupBy("k1", "k2").agg(F.collect_set(F.struct("begin", "stop")).alias("ranges")))
     cleaned = held.drop("parts").join(ranges, ["k1", "k2"]).mapInPandas(
         remove, "k1 bigint, k2 bigint, n_removed bigint, spans array<array<bigint>>, kept_sha256 string")
