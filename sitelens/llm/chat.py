@@ -1,11 +1,14 @@
 """Chat formatting by prefix-target expansion.
 
-A conversation is formatted once, turn by turn:
-``<|im_start|>role\\ntext<|im_end|>\\n``.  Every assistant turn is an example: the
-formatted conversation up to and including that turn, of which only the reply's
-text is trainable.  As examples of one conversation are prefixes of each other,
-an example holds its end and the span of its reply in the formatted conversation;
-``render`` writes the strings out.
+A turn is formatted as ``<|im_start|>role\\ntext<|im_end|>\\n``.  Every assistant turn
+is exploded into an example of its own: the formatted conversation up to and including
+that turn, of which only the reply's text is trainable.  A conversation that doesn't end
+with an assistant turn has one more row, all of it without anything trainable.
+
+An example is stored in parts of a cell each, so a long conversation's examples are many
+rows of bounded size.  The parts before an example's own cell are the same for
+all examples behind them; the text of n turns is written about n / 2 times, which is
+what the method asks for.
 
 Control strings inside roles and texts are escaped reversibly: a backslash is
 doubled, ``<|`` becomes ``<\\|``, and a line feed in a role ``\\n``.
@@ -24,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 START, END = "<|im_start|>", "<|im_end|>\n"
 CELL = 256
 
@@ -76,40 +81,63 @@ def format_turns(conversations: DataFrame) -> DataFrame:
                          (begin + F.col("size") - len(END)).alias("reply_end"))
 
 
-def examples(segments: DataFrame) -> DataFrame:
-    """One row per assistant turn: ``conv_id, target_seq, context_end, reply_begin, reply_end, end``.
-
-    The example's text is the formatted conversation up to ``end``; characters from
-    ``reply_begin`` to ``reply_end`` are trainable."""
-    return segments.where("target").select("conv_id", F.col("seq").alias("target_seq"),
-                                           F.col("begin").alias("context_end"), "reply_begin", "reply_end", "end")
-
-
-def render(segments: DataFrame) -> DataFrame:
-    """Examples with their text: ``conv_id, target_seq, text, reply_begin, reply_end``.
-
-    The texts of a conversation of n turns have about n * n / 4 turns; use
-    ``examples`` where conversations are long."""
-    found = examples(segments).withColumnRenamed("conv_id", "c")
-    parts = (found.join(segments.select("conv_id", "seq", "segment"),
-                        F.col("c").eqNullSafe(F.col("conv_id")) & (F.col("seq") <= F.col("target_seq")))
-             .groupBy("conv_id", "target_seq", "reply_begin", "reply_end")
-             .agg(F.array_sort(F.collect_list(F.struct("seq", "segment"))).alias("parts")))
-    return parts.select("conv_id", "target_seq",
-                        F.array_join(F.transform("parts", lambda p: p["segment"]), "").alias("text"),
-                        "reply_begin", "reply_end")
-
-
-def read_back(segments: DataFrame) -> DataFrame:
-    """``conv_id, cell, seq, role, text, loss`` parsed from the formatted segments;
-    ``loss`` is the text under the example's mask."""
-    body = F.substring("segment", F.lit(len(START) + 1), F.char_length("segment") - len(START) - len(END))
-    role = F.substring_index(body, "\n", 1)
-    text = F.substring(body, F.char_length(role) + 2, F.char_length(body))
-    span = F.substring("segment", (F.col("reply_begin") - F.col("begin") + 1).cast("int"),
-                       (F.col("reply_end") - F.col("reply_begin")).cast("int"))
-    return segments.select("conv_id", "cell", "seq", "end", "target", unescape_role(role).alias("role"),
-                           unescape(text).alias("text"), F.when(F.col("target"), unescape(span)).alias("loss"))
+def expand(segments: DataFrame) -> DataFrame:
+    """The examples, a row a part: ``conv_id, target_seq, own, last, cell, part,
+    trainable, reply_begin, reply_end``.
+
+    ``target_seq`` is the turn an example ends with, ``part`` its text in the turns of
+    ``cell``, ``own`` marks the part with the reply, whose characters from
+    ``reply_begin`` to ``reply_end`` are the loss mask (null elsewhere), and ``last`` the
+    example that holds the whole conversation."""
+    turn = F.struct("seq", "segment", "target", (F.col("reply_begin") - F.col("begin")).cast("int").alias("from"),
+                    (F.col("reply_end") - F.col("begin")).cast("int").alias("to"))
+    cells = (segments.groupBy("conv_id", "cell").agg(F.array_sort(F.collect_list(turn)).alias("turns")))
+    ends = segments.groupBy(F.col("conv_id").alias("c")).agg(F.max("seq").alias("last_seq"))
+    cells = materialize(cells.join(ends, F.col("conv_id").eqNullSafe(F.col("c"))).drop("c"), "chat-cells")
+    text = lambda turns: F.array_join(F.transform(turns, lambda t: t["segment"]), "")
+    spots = F.filter(F.transform("turns", lambda t, i: F.struct(t.alias("t"), (i + 1).alias("n"))),
+                     lambda s: s["t"]["target"] | (s["t"]["seq"] == F.col("last_seq")))
+    own = cells.select("conv_id", "cell", "turns", "last_seq", F.explode(spots).alias("s")).select(
+        "conv_id", F.col("s.t.seq").alias("target_seq"), "cell", (F.col("s.t.seq") == F.col("last_seq")).alias("last"),
+        F.col("s.t.target").alias("trainable"), text(F.slice("turns", F.lit(1), F.col("s.n") - 1)).alias("context"),
+        F.col("s.t").alias("t"))
+    before, reply = F.char_length("context"), F.col("trainable")
+    own_parts = own.select(
+        "conv_id", "target_seq", F.lit(True).alias("own"), "last", "cell", F.concat("context", "t.segment").alias("part"),
+        "trainable", F.when(reply, before + F.col("t.from")).alias("reply_begin"),
+        F.when(reply, before + F.col("t.to")).alias("reply_end"))
+    earlier = cells.select(F.col("conv_id").alias("c"), F.col("cell").alias("k"), text(F.col("turns")).alias("part"))
+    none = F.lit(None).cast("int")
+    parts = (own.select("conv_id", "target_seq", "cell", "last", "trainable")
+             .join(earlier, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("k") < F.col("cell")))
+             .select("conv_id", "target_seq", F.lit(False).alias("own"), "last", F.col("k").alias("cell"), "part",
+                     "trainable", none.alias("reply_begin"), none.alias("reply_end")))
+    return own_parts.unionByName(parts)
+
+
+def render(examples: DataFrame) -> DataFrame:
+    """Whole examples: ``conv_id, target_seq, text, reply_begin, reply_end`` (characters);
+    an example's text is one value, so use the parts where conversations are long."""
+    size = F.char_length("part").cast("bigint")
+    whole = (examples.where("trainable").groupBy("conv_id", "target_seq").agg(
+        F.array_sort(F.collect_list(F.struct("cell", "part"))).alias("parts"),
+        F.sum(F.when(F.col("own"), 0).otherwise(size)).alias("before"),
+        F.max("reply_begin").alias("a"), F.max("reply_end").alias("b")))
+    return whole.select("conv_id", "target_seq", F.array_join(F.transform("parts", lambda p: p["part"]), "").alias("text"),
+                        (F.col("before") + F.col("a")).alias("reply_begin"), (F.col("before") + F.col("b")).alias("reply_end"))
+
+
+def parsed(part: Column) -> Column:
+    """Array of the turns in a formatted text: ``(role, text)``."""
+    # texts and roles hold no unescaped control string, so each END closes a turn
+    bodies = F.transform(F.filter(F.split(part, r"<\|im_end\|>\n", -1), lambda t: t != ""),
+                         lambda t: F.substring(t, len(START) + 1, 1 << 30))
+
+    def turn(body):
+        role = F.substring_index(body, "\n", 1)
+        return F.struct(unescape_role(role).alias("role"),
+                        unescape(F.substring(body, F.char_length(role) + 2, F.lit(1 << 30))).alias("text"))
+    return F.transform(bodies, turn)
 
 
 def _joined(name: str, order: str) -> Column:
@@ -118,14 +146,31 @@ def _joined(name: str, order: str) -> Column:
     return F.array_join(F.transform(runs, lambda r: r[name]), "")
 
 
-def digests(segments: DataFrame) -> DataFrame:
-    """Per conversation the digests of what is read back, first by cell, then over the cells."""
-    turns = read_back(segments).withColumn("line", F.concat("role", F.lit("\n"), "text", F.lit("\n")))
-    size = F.coalesce(F.char_length("loss"), F.lit(0)).cast("bigint")
-    cells = turns.groupBy("conv_id", "cell").agg(
-        F.count(F.lit(1)).alias("n"), _joined("line", "seq").alias("lines"), _joined("loss", "seq").alias("losses"),
-        F.sum(size).alias("loss_chars"), F.sum(F.when(F.col("target"), F.col("end")).otherwise(0)).alias("chars"))
-    return cells.groupBy("conv_id").agg(
-        F.sum("n").alias("n_turns"), F.sha2(_joined("lines", "cell"), 256).alias("turns_sha256"),
-        F.sum("loss_chars").alias("loss_chars"), F.sha2(_joined("losses", "cell"), 256).alias("loss_sha256"),
-        F.sum("chars").alias("formatted_chars"))
+def digests(examples: DataFrame) -> DataFrame:
+    """Per conversation what is read back from its examples (stored, as they are read
+    three times): the turns of the last one, the text under each one's loss mask, the
+    characters of all and, in ``contexts_sha256``, the digests of all their texts in order."""
+    key = F.col("conv_id").eqNullSafe(F.col("c"))
+    lines = F.transform("t", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    whole = (examples.where("last").select("conv_id", "cell", parsed(F.col("part")).alias("t"))
+             .select("conv_id", "cell", F.size("t").cast("bigint").alias("n"), F.array_join(lines, "").alias("lines"))
+             .groupBy("conv_id").agg(F.sum("n").alias("n_turns"), F.sha2(_joined("lines", "cell"), 256).alias("turns_sha256")))
+    span = F.substring("part", F.col("reply_begin") + 1, F.col("reply_end") - F.col("reply_begin"))
+    replies = (examples.where("own AND trainable").select("conv_id", "cell", "target_seq", unescape(span).alias("loss"))
+               .groupBy("conv_id", "cell").agg(_joined("loss", "target_seq").alias("losses"))
+               .groupBy(F.col("conv_id").alias("c")).agg(
+                   F.sum(F.char_length("losses")).cast("bigint").alias("loss_chars"),
+                   F.sha2(_joined("losses", "cell"), 256).alias("loss_sha256")))
+    code = lambda name, order: F.sha2(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct(order, name))), lambda r: r[name]), ","), 256)
+    texts = (examples.where("trainable")
+             .select("conv_id", "target_seq", "cell", F.sha2("part", 256).alias("h"), F.char_length("part").alias("size"))
+             .groupBy("conv_id", "target_seq").agg(code("h", "cell").alias("e"), F.sum("size").alias("size"))
+             .groupBy(F.col("conv_id").alias("c")).agg(F.sum("size").alias("formatted_chars"),
+                                                      code("e", "target_seq").alias("contexts_sha256")))
+    nothing = F.sha2(F.lit(""), 256)
+    return (whole.join(replies, key, "left").drop("c").join(texts, key, "left").select(
+        "conv_id", "n_turns", "turns_sha256", F.coalesce("loss_chars", F.lit(0)).alias("loss_chars"),
+        F.coalesce("loss_sha256", nothing).alias("loss_sha256"),
+        F.coalesce("formatted_chars", F.lit(0)).alias("formatted_chars"),
+        F.coalesce("contexts_sha256", nothing).alias("contexts_sha256")))

@@ -79,7 +79,8 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     more = spark.range(2).select(F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
                                  F.lit(control).alias("text"))
-    return chat.digests(materialize(chat.format_turns(rows.unionByName(more)), "chat-segments"))
+    examples = chat.expand(chat.format_turns(rows.unionByName(more)))
+    return chat.digests(materialize(examples, "chat-examples"))
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -121,15 +121,26 @@ OP9_CHAT = r"""
         SELECT *, 24 + len(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '\n'))
                   + len(replace(replace(text, '\', '\\'), '<|', '<\|')) AS n FROM c),
     placed AS (
-        SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS stop
-        FROM sized)
-    SELECT conv_id, count(*) AS n_turns,
-           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
-           coalesce(sum(len(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
-           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), ''))
-               AS loss_sha256,
-           coalesce(sum(stop) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS formatted_chars
-    FROM placed GROUP BY 1"""
+        SELECT *, sum(n) OVER w AS stop, row_number() OVER w AS seq, floor(turn / 256) AS cell,
+               '<|im_start|>' || replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '\n') || chr(10)
+               || replace(replace(text, '\', '\\'), '<|', '<\|') || '<|im_end|>' || chr(10) AS segment
+        FROM sized WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING)),
+    parts AS (
+        SELECT e.conv_id, e.seq, p.cell, sha256(string_agg(p.segment, '' ORDER BY p.seq)) AS h
+        FROM placed e JOIN placed p ON p.conv_id = e.conv_id AND p.seq <= e.seq
+        WHERE e.role = 'assistant' GROUP BY 1, 2, 3),
+    contexts AS (
+        SELECT conv_id, sha256(string_agg(h, ',' ORDER BY seq)) AS h
+        FROM (SELECT conv_id, seq, sha256(string_agg(h, ',' ORDER BY cell)) AS h FROM parts GROUP BY 1, 2) GROUP BY 1),
+    digests AS (
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY seq)) AS turns_sha256,
+               coalesce(sum(len(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY seq) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+               coalesce(sum(stop) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS formatted_chars
+        FROM placed GROUP BY 1)
+    SELECT digests.*, coalesce(contexts.h, sha256('')) AS contexts_sha256
+    FROM digests LEFT JOIN contexts ON contexts.conv_id = digests.conv_id"""
 
 OP12_DIVERGENCE = r"""
     WITH d AS (

@@ -23,7 +23,9 @@ def case():
 
 def frame(spark, rows):
     df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
-    return df.withColumn("cell", F.lit("x")).withColumn("seq", F.lit(1)).repartition(4)
+    for name in ("cell", "seq", "part", "target", "c"):      # names that the operator uses itself
+        df = df.withColumn(name, F.lit("x"))
+    return df.repartition(4)
 
 
 def plain(rows):
@@ -37,53 +39,84 @@ def sha(s):
     return hashlib.sha256(s.encode()).hexdigest()
 
 
-def test_digests_of_what_is_read_back(spark):
+def examples(spark, rows):
+    from sitelens.llm.common import materialize
+    return materialize(C.expand(C.format_turns(frame(spark, rows))), "chat-test")
+
+
+@pytest.fixture(scope="module")
+def whole(spark):
     rows = case()
-    got = {r.conv_id: r for r in C.digests(C.format_turns(frame(spark, rows))).collect()}
+    return rows, examples(spark, rows)
+
+
+def formatted(turns):
+    def esc(s):
+        return s.replace("\\", "\\\\").replace("<|", "<\\|")
+    return ["<|im_start|>" + esc(r).replace("\n", "\\n") + "\n" + esc(x) + "<|im_end|>\n" for r, x in turns]
+
+
+def test_digests_of_what_is_read_back(whole):
+    rows, found = whole
+    got = {r.conv_id: r for r in C.digests(found).collect()}
     convs = plain(rows)
     assert set(got) == set(convs)
+    cells = {}
+    for c, t, _, _ in sorted(rows, key=repr):
+        cells.setdefault(c, []).append(-1 if t is None else t // 256)
     for c, turns in convs.items():
         loss = "".join(x for r, x in turns if r == "assistant")
         r = got[c]
         assert (r.n_turns, r.turns_sha256) == (len(turns), sha("".join(f"{a}\n{b}\n" for a, b in turns)))
         assert (r.loss_chars, r.loss_sha256) == (len(loss), sha(loss))
-
-
-@pytest.fixture(scope="module")
-def small(spark):
-    rows = [r for r in case() if r[0] != 50]
-    return rows, C.format_turns(frame(spark, rows))
-
-
-def test_examples_are_prefixes_with_one_trainable_reply(small):
-    rows, segments = small
+        own, parts = sorted(cells[c]), formatted(turns)
+        texts = []
+        for k, (role, _) in enumerate(turns):
+            if role == "assistant":
+                by = {}
+                for cell, part in zip(own[:k + 1], parts, strict=False):
+                    by[cell] = by.get(cell, "") + part
+                texts.append(sha(",".join(sha(by[x]) for x in sorted(by))))
+        assert r.contexts_sha256 == sha(",".join(texts))
+        assert r.formatted_chars == sum(len("".join(parts[:k + 1])) for k, (q, _) in enumerate(turns) if q == "assistant")
+
+
+def test_a_wrong_context_or_mask_shows(whole):
+    _, found = whole
+    right = {r.conv_id: r for r in C.digests(found).collect()}
+    first = found.where("conv_id = 50 AND target_seq = 301")
+    rest = found.where("NOT (conv_id = 50 AND target_seq = 301)")
+    wrong = first.withColumn("part", F.expr("CASE WHEN own THEN part ELSE replace(part, 'turn 7', 'turn 8') END"))
+    got = {r.conv_id: r for r in C.digests(rest.unionByName(wrong)).collect()}
+    assert {c for c in right if got[c] != right[c]} == {50}
+    wrong = first.withColumn("reply_begin", F.col("reply_begin") - 1)
+    got = {r.conv_id: r for r in C.digests(rest.unionByName(wrong)).collect()}
+    assert {c for c in right if got[c] != right[c]} == {50} and got[50].loss_chars == right[50].loss_chars + 1
+
+
+def test_parts_are_bounded_and_one_reply_is_trainable(whole):
+    rows, found = whole
+    n = sum(r == "assistant" for _, _, r, _ in rows)
+    parts = found.where("conv_id = 50").collect()
+    assert max(p.part.count("<|im_start|>") for p in parts) <= C.CELL
+    assert found.where("own AND trainable").count() == n
+    assert found.where("reply_begin IS NOT NULL AND NOT (own AND trainable)").count() == 0
+
+
+def test_examples_are_prefixes_with_one_trainable_reply(whole):
+    rows, found = whole
     convs = plain(rows)
-    texts = C.render(segments).collect()
+    texts = C.render(found).collect()
     assert len(texts) == sum(r == "assistant" for t in convs.values() for r, _ in t)
-    by_conv = {}
     for r in texts:
-        by_conv.setdefault(r.conv_id, []).append(r)
         turns = convs[r.conv_id][:r.target_seq + 1]
-        assert r.text.count("<|im_start|>") == r.text.count("<|im_end|>") == len(turns)
+        assert r.text == "".join(formatted(turns))
         reply = r.text[r.reply_begin:r.reply_end]
         assert reply.replace("<\\|", "<|").replace("\\\\", "\\") == turns[-1][1]
         assert r.text[r.reply_end:] == "<|im_end|>\n"
-    for group in by_conv.values():
-        group.sort(key=lambda r: r.target_seq)
-        for a, b in zip(group, group[1:], strict=False):
-            assert b.text.startswith(a.text)
-
-
-def test_formatted_chars(small):
-    _, segments = small
-    want = {}
-    for r in C.render(segments).collect():
-        want[r.conv_id] = want.get(r.conv_id, 0) + len(r.text)
-    for r in C.digests(segments).collect():
-        assert r.formatted_chars == want.get(r.conv_id, 0)
 
 
 def test_native_and_empty(spark):
-    df = C.digests(C.format_turns(frame(spark, case()).limit(0)))
+    df = C.digests(examples(spark, case()[:0]))
     assert df.count() == 0
     assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
