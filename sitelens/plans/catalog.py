@@ -222,7 +222,14 @@ def link_priorities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- I1, I2, J4, J5, A7: frontier expansion over derived links ---------------
 
-def _derived_edges(spark: SparkSession, sf_dir: str, keep: list[str] | None) -> tuple[DataFrame, DataFrame]:
+def _derived_links(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The derived edges with the place of the first link that gives each, all of high priority."""
+    seeds, edges = _derived_edges(spark, sf_dir, None, ["link_seq"])
+    return seeds, edges.groupBy("src", "dst").agg(F.min("link_seq").alias("link_seq")).withColumn("priority", F.lit("high"))
+
+
+def _derived_edges(spark: SparkSession, sf_dir: str, keep: list[str] | None,
+                   more: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Link k of the i-th page of a site points to page (7*i + 13*k + 1) mod n of
     the same site of n pages (test graph: no anchor of the corpus resolves to a
     page of the table).  Nodes are page ids."""
@@ -234,9 +241,10 @@ def _derived_edges(spark: SparkSession, sf_dir: str, keep: list[str] | None) ->
     if keep is not None:
         lk = lk.where(F.trim("text") != "").where(SC.any_contains(F.lower(F.col("text")), keep))
     e = lk.select("entity", "page_id", "link_seq").join(ids, ["entity", "page_id"]).join(sizes, "entity")
-    e = e.select("entity", F.col("page_id").alias("src"),
+    more = more or []
+    e = e.select("entity", F.col("page_id").alias("src"), *more,
                  F.pmod(F.col("i") * 7 + F.col("link_seq") * 13 + 1, F.col("n")).alias("i")).distinct()
-    edges = e.join(ids.withColumnRenamed("page_id", "dst"), ["entity", "i"]).select("src", "dst")
+    edges = e.join(ids.withColumnRenamed("page_id", "dst"), ["entity", "i"]).select("src", "dst", *more)
     seeds = ids.where("i = 0").select("entity", F.col("page_id").alias("url"))
     return seeds, edges
 
@@ -809,6 +817,40 @@ def frontier_reach_covered(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("entity", F.col("url").alias("page_id"), F.col("depth").cast("int").alias("depth")))
 
 
+_ORDER_CTE = _reach_query(None, "").strip()
+_ORDER_CTE = _ORDER_CTE[:_ORDER_CTE.index("edges AS")].replace("WITH RECURSIVE", "", 1)
+
+
+@register("frontier_order", f"""WITH RECURSIVE {_ORDER_CTE}
+edges AS (SELECT s.page_id AS src, d.page_id AS dst, min(l.link_seq) AS link_seq
+          FROM links l JOIN ids s ON s.page_id = l.page_id
+          JOIN ids d ON d.entity = s.entity AND d.i = (7 * s.i + 13 * l.link_seq + 1) % s.n GROUP BY 1, 2),
+rec(entity, visited, rim) AS (
+  SELECT entity, [page_id], [page_id] FROM ids WHERE i = 0
+  UNION ALL
+  SELECT entity, list_concat(visited, fresh), fresh FROM (
+    SELECT entity, visited, list(dst ORDER BY came) AS fresh FROM (
+      SELECT r.entity, r.visited, e.dst, min((list_position(r.rim, e.src), e.link_seq)) AS came
+      FROM rec r JOIN edges e ON list_contains(r.rim, e.src)
+      WHERE NOT list_contains(r.visited, e.dst) GROUP BY 1, 2, 3)
+    GROUP BY 1, 2)),
+popped AS (SELECT entity, unnest(visited) AS page_id, unnest(range(0, len(visited))) AS pos
+           FROM (SELECT entity, arg_max(visited, len(visited)) AS visited FROM rec GROUP BY 1)),
+ps AS ({_sections_sql(f"(SELECT {S.authority('url')} AS entity, page_id, {S.region_text('html')} AS content FROM pages)", 'content')}),
+firsts AS (SELECT p.entity, ps.section, min(p.pos) AS pos FROM popped p JOIN ps ON ps.page_id = p.page_id
+           WHERE ps.section IN ({', '.join(S.q(x) for x in COVERED)}) GROUP BY 1, 2),
+ends AS (SELECT entity, max(pos) AS pos FROM firsts GROUP BY entity HAVING count(*) = {len(COVERED)})
+SELECT p.entity, p.page_id, p.pos FROM popped p LEFT JOIN ends e ON e.entity = p.entity
+WHERE e.pos IS NULL OR p.pos <= e.pos""")
+def frontier_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived graph's pages in the order of a site's queue, up to the page that completes it."""
+    from sitelens.operators import frontier_order as FO
+    seeds, links = _derived_links(spark, sf_dir)
+    ps = page_sections(spark, sf_dir).select(F.col("page_id").alias("url"), "section")
+    return (FO.crawl_in_order(seeds, links, ps, COVERED)
+            .select("entity", F.col("url").alias("page_id"), "pos"))
+
+
 # --- A17: duplicate content (exact copies after normalisation) ----------------
 
 from sitelens.operators import dedup as DD  # noqa: E402
