@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +56,16 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """The row as one struct, so that none of its names meets one of an operator."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, also where lambdas in it use it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def slots(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

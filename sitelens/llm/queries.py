@@ -58,7 +58,8 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.secrets(table(spark, sf_dir, "documents"), F.col("source"), F.concat_ws("/", "source", "lang"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex",
                         F.sha2(secrets.as_text(F.col("base_spans")), 256).alias("base_sha256"),
-                        secrets.as_text(F.col("spans")).alias("spans"), "n_live", "n_shared", "n_example")
+                        secrets.as_text(F.col("spans")).alias("spans"), "n_live", "n_shared", "n_example",
+                        "most_owners", "most_repositories")
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -91,12 +91,13 @@ OP6_SECRETS = f"""
     WITH d AS (SELECT doc_id, coalesce(text, '') AS text, source AS owner, concat_ws('/', source, lang) AS repository
                FROM documents),
     s AS ({" UNION ALL ".join(_matches(rank, *kind) for rank, kind in enumerate(_KINDS))}),
-    held AS (SELECT value, count(DISTINCT owner) AS n_owners FROM s GROUP BY 1),
+    held AS (SELECT value, count(DISTINCT owner) AS n_owners,
+                    count(DISTINCT (owner, repository)) AS n_repositories FROM s GROUP BY 1),
     judged AS (
-        SELECT s.*, kind || ':' || begin || ':' || stop AS span,
+        SELECT s.*, n_owners, n_repositories, kind || ':' || begin || ':' || stop AS span,
                CASE WHEN n_owners >= 3 OR len(list_distinct(string_split(value, ''))) < 6
                          OR contains(lower(value), 'example') THEN 'example'
-                    WHEN n_owners = 1 THEN 'live' ELSE 'shared' END AS verdict
+                    WHEN n_owners = 1 AND n_repositories < 3 THEN 'live' ELSE 'shared' END AS verdict
         FROM s JOIN held USING (value)),
     per_doc AS (
         SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign,
@@ -105,11 +106,13 @@ OP6_SECRETS = f"""
                string_agg(span, ',' ORDER BY begin, rank) AS spans,
                count(*) FILTER (WHERE verdict = 'live') AS n_live,
                count(*) FILTER (WHERE verdict = 'shared') AS n_shared,
-               count(*) FILTER (WHERE verdict = 'example') AS n_example
+               count(*) FILTER (WHERE verdict = 'example') AS n_example,
+               max(n_owners) AS most_owners, max(n_repositories) AS most_repositories
         FROM judged GROUP BY 1)
     SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
            sha256(coalesce(base, '')) AS base_sha256, coalesce(per_doc.spans, '') AS spans,
-           coalesce(n_live, 0) AS n_live, coalesce(n_shared, 0) AS n_shared, coalesce(n_example, 0) AS n_example
+           coalesce(n_live, 0) AS n_live, coalesce(n_shared, 0) AS n_shared, coalesce(n_example, 0) AS n_example,
+           coalesce(most_owners, 0) AS most_owners, coalesce(most_repositories, 0) AS most_repositories
     FROM d LEFT JOIN per_doc USING (doc_id)"""
 
 OP9_CHAT = r"""

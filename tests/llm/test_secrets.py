@@ -30,11 +30,13 @@ def case():
     rows += [(200 + i, "password=shared5Ample9zq!", f"s{i}", "en") for i in range(3)]
     rows += [(210, "token='own1Live2Val3ue'", "s0", "en"), (211, "token=own1Live2Val3ue", "s0", "fr"),
              (212, "secret=aaaaaaaaaaaaaaaaa", "s0", "fr")]
+    rows += [(220 + i, "token=all0Over1One2Owner3", "s0", lang) for i, lang in enumerate(["en", "fr", "de"])]
     return rows
 
 
 def frame(spark, rows):
-    return spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string").withColumn("spans", F.lit(1))
+    return spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string").withColumns({
+        c: F.lit(1) for c in ("spans", "row", "owner", "repository", "value_hash", "n_owners", "s")})
 
 
 def found(df):
@@ -45,18 +47,24 @@ def test_spans_and_verdicts(spark):
     rows = case()
     got = found(frame(spark, rows).repartition(4)).collect()
     assert len(got) == len(rows)
-    owners = {}
-    for _, text, source, _ in rows:
+    owners, places = {}, {}
+    for _, text, source, lang in rows:
         for *_, value in spans(text):
             owners.setdefault(value, set()).add(source)
+            places.setdefault(value, set()).add((source, "/".join(x for x in (source, lang) if x is not None)))
     want = []
     for doc_id, text, *_ in rows:
         mine, tally = spans(text), {"live": 0, "shared": 0, "example": 0}
         for *_, value in mine:
             copied = len(owners[value]) >= 3 or len(set(value)) < 6 or "example" in value.lower()
-            tally["example" if copied else "live" if len(owners[value]) == 1 else "shared"] += 1
-        want.append((doc_id, [tuple(s) for s in mine], tally["live"], tally["shared"], tally["example"]))
-    have = [(r.doc_id, [tuple(s) for s in r.spans], r.n_live, r.n_shared, r.n_example) for r in got]
+            live = len(owners[value]) == 1 and len(places[value]) < 3
+            tally["example" if copied else "live" if live else "shared"] += 1
+        most = [max((len(by[v]) for *_, v in mine), default=0) for by in (owners, places)]
+        want.append((doc_id, [tuple(s) for s in mine], tally["live"], tally["shared"], tally["example"], *most))
+    have = [(r.doc_id, [tuple(s) for s in r.spans], r.n_live, r.n_shared, r.n_example, r.most_owners,
+             r.most_repositories) for r in got]
+    by_id = {r.doc_id: r for r in got}
+    assert (by_id[210].n_live, by_id[220].n_live, by_id[220].n_shared) == (1, 0, 1)     # few and many repositories
     assert sorted(have, key=repr) == sorted(want, key=repr)
 
 
@@ -72,3 +80,11 @@ def test_no_python_in_the_plan(spark):
 
 def test_empty_table(spark):
     assert found(frame(spark, []).limit(0)).count() == 0
+
+
+def test_a_text_of_many_matches(spark):
+    text = "".join(f"{i:032x} token={i:020d} " for i in range(25_000))
+    got = found(frame(spark, [(1, text, "a", "b"), (2, "0123456789abcdef", "a", "c")])).collect()
+    big = next(r for r in got if r.doc_id == 1)
+    want = spans(text)
+    assert [tuple(s) for s in big.spans] == want and len(want) > 50_000
