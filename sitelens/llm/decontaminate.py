@@ -25,7 +25,7 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, text_or_empty
+from .common import materialize, text_or_empty, whole_row
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW_WORDS, SLACK = 10, 3
@@ -119,7 +119,7 @@ def phrase_matches(docs: DataFrame, found: DataFrame, items: DataFrame, size: in
 
 def contamination(docs: DataFrame, bench: DataFrame, size: int = WINDOW_WORDS, slack: int = SLACK) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_words, n_hit, matches, item_ids`` (sorted as
-    strings) and ``n_near``, the items met in proximity only."""
+    strings) and ``n_near``, the items met in proximity only; ``row`` is ``row_key`` of it."""
     items = materialize(benchmark_items(bench), "leak-items")
     postings = index(docs, items)
     spots = materialize(anchors(items, postings.where(F.col("term") != DOCUMENT), size), "leak-anchors")
@@ -135,13 +135,15 @@ def contamination(docs: DataFrame, bench: DataFrame, size: int = WINDOW_WORDS, s
     rows = postings.where(F.col("term") == DOCUMENT).select("doc_id", "row", F.col("n_words").cast("bigint"))
     none = F.array().cast("array<string>")
     out = rows.join(hits, "row", "left").join(near, "row", "left")
-    return out.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"), "matches",
+    return out.select("doc_id", "row", "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"), "matches",
                       F.coalesce("item_ids", none).alias("item_ids"),
                       F.size(F.array_except(F.coalesce("met", none), F.coalesce("item_ids", none)))
                       .cast("bigint").alias("n_near"))
 
 
 def drop_contaminated(docs: DataFrame, bench: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without a benchmark window."""
-    hit = contamination(docs, bench).where("n_hit > 0").select(F.col("doc_id").alias("hit_id")).distinct()
-    return docs.join(hit, F.col("doc_id").cast("bigint").eqNullSafe(F.col("hit_id")), "left_anti")
+    """The rows of ``docs`` without a benchmark window, all columns kept whatever their
+    names.  A row goes by its id and text: one that shares only the id with a hit stays."""
+    hit = contamination(docs, bench).where("n_hit > 0").select(F.col("row").alias("key")).distinct()
+    rows = docs.select(whole_row(docs).alias("row"), row_key("doc_id").alias("key"))
+    return rows.join(hit, "key", "left_anti").select("row.*")

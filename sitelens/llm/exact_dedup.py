@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, slots, text_or_empty
+from .common import materialize, slots, text_or_empty, whole_row
 
 #: Fingerprints an owner holds, on average, at most.
 OWNER_SIZE = 1 << 18
@@ -169,9 +169,15 @@ def exact_groups(docs: DataFrame, fingerprint_bits: int = 64) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, one for each text, all columns kept."""
-    kept = exact_groups(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    rows = docs.join(kept, F.col("doc_id").cast("bigint").eqNullSafe(F.col("kept_id")), "left_semi")
-    # rows that share a doc_id and a text are one row
-    return (rows.withColumn("__norm", F.sha2(normalised(text_or_empty()), 256))
-            .dropDuplicates(["doc_id", "__norm"]).drop("__norm"))
+    """The rows of ``docs`` that stay, one for each text, all columns kept whatever their
+    names.  A row goes by its id and text, so a repeated or null id keeps or drops no
+    other text; of rows with the id that stays the one with the most code points does, of
+    equally long ones the one whose text comes first."""
+    kept = (exact_groups(docs).where("kept").select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("digest"))
+            .distinct())
+    rows = docs.select(whole_row(docs).alias("row"), F.col("doc_id").cast("bigint").alias("id"),
+                       F.sha2(normalised(text_or_empty()), 256).alias("digest"), text_or_empty().alias("text"))
+    both = rows.alias("r").join(kept.alias("k"), (F.col("r.digest") == F.col("k.digest"))
+                                & F.col("r.id").eqNullSafe(F.col("k.id")), "left_semi")
+    order = F.struct((-F.char_length("text")).alias("n"), "text")
+    return both.groupBy("id", "digest").agg(F.min_by("row", order).alias("row")).select("row.*")

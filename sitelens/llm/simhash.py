@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, text_or_empty
+from .common import materialize, text_or_empty, whole_row
 from .components import connected_components
 
 BITS, BLOCK, HASH_SEED = 64, 16, 42
@@ -61,12 +61,17 @@ def fingerprint(text: str | None, shingle: int) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
     """``(doc_id, fp)`` of every row; ``fp`` holds the bits as a signed long."""
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
+                       fingerprint_of(shingle)(text_or_empty()).alias("fp"))
+
+
+def fingerprint_of(shingle: int):
+    """The fingerprint of a text column, as a signed long."""
     @F.pandas_udf("bigint")
     def of(texts: pd.Series) -> pd.Series:
         values = np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, len(texts))
         return pd.Series(values.view(np.int64))
-
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), of(text_or_empty()).alias("fp"))
+    return of
 
 
 def _bits(values: np.ndarray) -> np.ndarray:
@@ -200,21 +205,32 @@ def links(fps: DataFrame, max_distance: int) -> DataFrame:
             .select("a", "b").distinct())
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 3) -> DataFrame:
-    """``doc_id, fingerprint`` (16 hex digits) and ``component_id`` of every row."""
-    rows = materialize(fingerprints(docs, shingle), "simhash-rows")
+def components(rows: DataFrame, max_distance: int) -> DataFrame:
+    """``fp, component, component_id`` of every fingerprint of ``rows(doc_id, fp)``, stored:
+    the smallest fingerprint and the smallest id of those that links reach."""
     nodes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-nodes")
     parts = connected_components(links(nodes.select("fp"), max_distance))
     grouped = (nodes.join(parts.withColumnRenamed("node", "fp"), "fp", "left")
                .withColumn("component", F.coalesce("component", "fp")))
     ids = grouped.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    by_fp = materialize(grouped.join(ids, "component").select("fp", "component_id"), "simhash-components")
+    return materialize(grouped.join(ids, "component").select("fp", "component", "component_id"), "simhash-components")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 3) -> DataFrame:
+    """``doc_id, fingerprint`` (16 hex digits) and ``component_id`` of every row."""
+    rows = materialize(fingerprints(docs, shingle), "simhash-rows")
+    by_fp = components(rows, max_distance).drop("component")
     return rows.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                                          "component_id")
 
 
 def keep_first(docs: DataFrame, shingle: int = 3, max_distance: int = 3) -> DataFrame:
-    """The rows of ``docs`` that stay, one document of each component."""
-    found = near_duplicates(docs, shingle, max_distance)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id"))
-    return docs.join(kept.distinct(), F.col("doc_id").cast("bigint").eqNullSafe(F.col("kept_id")), "left_semi")
+    """The rows of ``docs`` that stay, one of each component, all columns kept whatever
+    their names: the row of the component's smallest id, a null id only if it has no
+    other; of several rows with that id the one of the smallest fingerprint and text."""
+    rows = materialize(fingerprints(docs, shingle), "simhash-rows")
+    by_fp = components(rows, max_distance)
+    keyed = docs.select(whole_row(docs).alias("row"), F.col("doc_id").cast("bigint").alias("id"),
+                        text_or_empty().alias("text"), fingerprint_of(shingle)(text_or_empty()).alias("fp"))
+    first = keyed.join(by_fp, "fp").where(F.col("id").eqNullSafe(F.col("component_id")))
+    return first.groupBy("component").agg(F.min_by("row", F.struct("fp", "text")).alias("row")).select("row.*")

@@ -78,3 +78,14 @@ def test_empty_tables(spark):
     assert D.contamination(d, b).count() == 0
     one = spark.createDataFrame([(1, "a b")], "doc_id bigint, text string")
     assert [tuple(r)[:3] for r in D.contamination(one, b).collect()] == [(1, 2, 0)]
+
+
+def test_a_clean_row_with_the_id_of_a_hit_stays(spark):
+    item = "one two three four five six seven eight nine ten eleven"
+    rows = [(1, f"x {item} y"), (1, "clean"), (None, item), (None, "clean too"), (2, None)]
+    docs = spark.createDataFrame([(d, t, "x", 1) for d, t in rows], "doc_id bigint, text string, hit_id string, key int")
+    bench = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    got = D.drop_contaminated(docs, bench)
+    assert got.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted(
+        [(1, "clean"), (None, "clean too"), (2, None)], key=repr)

@@ -53,10 +53,19 @@ def test_groups_match_brute_force(spark, bits):
 
 
 def test_drop_copies_keeps_one_row_per_text(spark):
-    docs = spark.createDataFrame([(d, t, "x") for d, t in ROWS if d is not None], "doc_id bigint, text string, n string")
+    rows = ROWS + [(None, "null ids"), (None, "null ids"), (None, "null  ids"), (100, "another text of this id")]
+    docs = spark.createDataFrame([(d, t, "x", 1, 2) for d, t in rows],
+                                 "doc_id bigint, text string, kept_id string, digest int, row int").repartition(5)
     got = X.drop_copies(docs)
-    assert got.columns == ["doc_id", "text", "n"]
-    assert sorted(r.doc_id for r in got.collect()) == sorted({k for _, k, *_ in brute([r for r in ROWS if r[0] is not None])})
+    assert got.columns == docs.columns
+    best = {}
+    for d, t in rows:
+        key = "".join(c for c in (t or "") if c not in " \t\n\x0b\x0c\r")
+        rank = (-len(t or ""), d is None, d or 0)
+        best[key] = min(best.get(key, (rank, d)), (rank, d), key=lambda r: r[0])
+    want = [(d, -rank[0], key) for key, (rank, d) in best.items()]
+    have = [(r.doc_id, len(r.text or ""), "".join(c for c in (r.text or "") if c not in " \t\n\x0b\x0c\r")) for r in got.collect()]
+    assert sorted(have, key=repr) == sorted(want, key=repr)
 
 
 def test_empty_table(spark):

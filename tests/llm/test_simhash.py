@@ -102,3 +102,14 @@ def test_components_of_chain_and_star(spark):
 
 def test_empty_table(spark):
     assert S.near_duplicates(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def test_keep_first_keeps_one_row_per_component(spark):
+    texts = [f"{w} one two three four five six seven eight nine ten" for w in ("a", "b")] + ["", "other words stand here now"]
+    rows = [(3, texts[0]), (None, texts[0]), (None, texts[2]), (None, texts[2]), (5, texts[3]), (3, texts[3]), (3, texts[3])]
+    docs = spark.createDataFrame([(d, t, "x", 1, "y") for d, t in rows],
+                                 "doc_id bigint, text string, kept_id string, fp int, component string").repartition(3)
+    got = S.keep_first(docs)
+    assert got.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted(
+        [(3, texts[0]), (None, texts[2]), (3, texts[3])], key=repr)
