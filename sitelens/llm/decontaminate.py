@@ -3,19 +3,26 @@
 1. Index: one posting ``(term, row, position)`` for each document word that
    occurs in the benchmark, stored as a table in the shared folder.
 2. Each benchmark window (``size`` consecutive words of an item, or a whole
-   shorter item) is reduced to its two terms with the fewest postings.  Their
-   posting lists, moved back by the term's offset, are intersected: equal starts
-   are phrase candidates, starts at most ``slack`` apart proximity matches.
-3. Phrase candidates are compared word by word with the text.
+   shorter item) is reduced to its two terms with the fewest postings.  Windows
+   of an item with the same two follow each other; together they are a spot, a
+   passage of under ``2 * size`` words.  Equal spots of any items are one.
+3. The posting lists of a spot's two terms, moved back by their offsets, are
+   intersected: equal starts are phrase candidates, starts at most ``slack``
+   apart proximity matches.
+4. A phrase candidate is one row.  It meets the block of ``BLOCK`` words of its
+   text that it starts in, and only its passage is compared with that block, so
+   a passage that a text repeats costs the same each time.
 
 The index and the intersection use ``lower``, which is coarser than the A-Z
 lowering of the definition; the comparison is exact.  Documents are never
-grouped by term: the joins are on (row, window, start), which no frequent word
-or passage makes large for one task.
+grouped by term: the joins are on (row, spot, start) and (row, block), which no
+frequent word or passage makes large for one task.  A row goes by 128 bits of
+its id and text.  Two spots of equal 64-bit number would be compared both.
 
 Defined cases: null text has no words; an item without words has no window; rows
-that repeat are judged each; a null ``item_id`` marks words but is not listed;
-empty tables give no hits.  Other columns of the inputs are ignored.
+that repeat are judged each; a null ``item_id`` marks words but is not listed; a
+text may be of any length and repeat a passage any number of times; empty tables
+give no hits.  Other columns of the inputs are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,10 +32,12 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, text_or_empty, whole_row
+from .common import bound, materialize, text_or_empty, whole_row
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW_WORDS, SLACK = 10, 3
+#: Words of a text that a candidate is compared with, but for the overlap.
+BLOCK = 256
 #: The index holds one posting of this term for every document.
 DOCUMENT = ""
 
@@ -42,7 +51,9 @@ def exact_words(text: Column) -> Column:
 
 
 def row_key(id_name: str) -> Column:
-    return F.xxhash64(F.col(id_name), text_or_empty())
+    """16 bytes of id and text; a null id is no string."""
+    return F.unhex(F.md5(F.concat(F.coalesce(F.col(id_name).cast("string"), F.lit("null")), F.lit("\n"),
+                                  text_or_empty())))
 
 
 def benchmark_items(bench: DataFrame) -> DataFrame:
@@ -66,79 +77,121 @@ def index(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def anchors(items: DataFrame, postings: DataFrame, size: int) -> DataFrame:
-    """Per window its two rarest terms and their offsets in the item, equal ones once."""
+    """The spots with the items that hold them: ``spot, item_id, words`` (exact), ``length``
+    of its windows, its two rarest terms and their offsets in it."""
     frequency = postings.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     starts = F.sequence(F.lit(0), F.greatest(F.size("terms") - size, F.lit(0)))
     windows = items.select("item", "terms", F.explode(starts).alias("start"))
-    spots = windows.select("item", "start", F.posexplode(F.slice("terms", F.col("start") + 1, size)).alias("o", "term"))
-    spots = spots.withColumn("off", F.col("start") + F.col("o"))
-    ranked = spots.join(frequency, "term", "left").withColumn(
-        "rank", F.row_number().over(Window.partitionBy("item", "start")
-                                    .orderBy(F.coalesce("n", F.lit(0)), "off")))
-    first, second = F.col("rank") == 1, F.col("rank") == F.least(F.lit(2), F.col("terms_n"))
-    ranked = ranked.withColumn("terms_n", F.max("rank").over(Window.partitionBy("item", "start")))
-    return (ranked.groupBy("item", "start")
-            .agg(F.max(F.when(first, F.col("term"))).alias("term1"), F.max(F.when(first, F.col("off"))).alias("off1"),
-                 F.max(F.when(second, F.col("term"))).alias("term2"), F.max(F.when(second, F.col("off"))).alias("off2"))
-            .drop("start").distinct())
+    places = windows.select("item", "start", F.posexplode(F.slice("terms", F.col("start") + 1, size)).alias("o", "term"))
+    places = places.withColumn("off", F.col("start") + F.col("o"))
+    window = Window.partitionBy("item", "start")
+    ranked = (places.join(frequency, "term", "left")
+              .withColumn("rank", F.row_number().over(window.orderBy(F.coalesce("n", F.lit(0)), "off")))
+              .withColumn("last", F.least(F.lit(2), F.max("rank").over(window))))
+
+    def at_rank(rank: Column, name: str) -> Column:
+        return F.max(F.when(F.col("rank") == rank, F.col(name)))
+
+    picked = ranked.groupBy("item", "start").agg(
+        at_rank(F.lit(1), "term").alias("term1"), at_rank(F.lit(1), "off").alias("off1"),
+        at_rank(F.col("last"), "term").alias("term2"), at_rank(F.col("last"), "off").alias("off2"))
+    spans = (picked.groupBy("item", "term1", "off1", "term2", "off2")
+             .agg(F.min("start").alias("low"), F.max("start").alias("high")))
+    length = F.least(F.lit(size), F.size("words"))
+    spots = spans.join(items.select("item", "item_id", "words"), "item").select(
+        "item_id", "term1", (F.col("off1") - F.col("low")).alias("off1"),
+        "term2", (F.col("off2") - F.col("low")).alias("off2"), length.alias("length"),
+        F.slice("words", F.col("low") + 1, F.col("high") - F.col("low") + length).alias("words"))
+    return spots.distinct().withColumn("spot", F.xxhash64("words", "length", "term1", "off1", "term2", "off2"))
 
 
 def candidates(postings: DataFrame, spots: DataFrame, slack: int) -> DataFrame:
-    """``row, item, start`` (of the item in the row) ``, phrase`` (the two lists agree exactly)."""
+    """``row, spot, start`` (of the spot in the row) ``, phrase`` (the two lists agree exactly)."""
     lists = [postings.select(F.col("term").alias(f"term{k}"), "row", "pos")
-             .join(spots, f"term{k}").select("row", "item", "off1", "off2",
-                                             (F.col("pos") - F.col(f"off{k}")).alias(f"start{k}")) for k in (1, 2)]
+             .join(spots.select(f"term{k}", "spot", f"off{k}"), f"term{k}")
+             .select("row", "spot", (F.col("pos") - F.col(f"off{k}")).alias(f"start{k}")) for k in (1, 2)]
     cell = F.floor(F.col("start1") / (slack + 1))
     rare = lists[0].withColumn("cell", F.explode(F.array(cell - 1, cell, cell + 1)))
     other = lists[1].withColumn("cell", F.floor(F.col("start2") / (slack + 1)))
-    return (rare.join(other, ["row", "item", "off1", "off2", "cell"])
+    return (rare.join(other, ["row", "spot", "cell"])
             .where(F.abs(F.col("start1") - F.col("start2")) <= slack)
-            .groupBy("row", "item", F.col("start1").alias("start"))
+            .groupBy("row", "spot", F.col("start1").alias("start"))
             .agg(F.max(F.col("start1") == F.col("start2")).alias("phrase")))
 
 
-def phrase_matches(docs: DataFrame, found: DataFrame, items: DataFrame, size: int) -> DataFrame:
-    """Per row with candidates: ``row, matches`` (``item_id, start, length`` of each window that occurs)."""
-    tested = (found.where("phrase").join(items.select("item", "item_id", "words"), "item")
-              .groupBy("row").agg(F.collect_list(F.struct("item_id", "start", "words")).alias("tests")))
+def phrase_matches(docs: DataFrame, found: DataFrame, spots: DataFrame, size: int) -> DataFrame:
+    """``row, spot, start, length`` of each run of windows that occurs in a text."""
+    tested = found.where("phrase").select("row", "spot", "start",
+                                          F.floor(F.greatest("start", F.lit(0)) / BLOCK).cast("int").alias("block"))
     texts = (docs.select(row_key("doc_id").alias("row"), text_or_empty().alias("text"))
-             .join(tested, "row").select("row", "tests", exact_words(F.col("text")).alias("doc")))
+             .join(tested.select("row").distinct(), "row", "left_semi"))
 
-    def occurrences(test: Column) -> Column:
-        length = F.least(F.lit(size), F.size(test["words"]))
-        at = F.sequence(F.lit(0), F.size(test["words"]) - length)
-        same = F.filter(at, lambda s: (test["start"] + s >= 0) &
-                        (F.slice(F.col("doc"), F.greatest(test["start"] + s, F.lit(0)) + 1, length)
-                         == F.slice(test["words"], s + 1, length)))
-        return F.transform(same, lambda s: F.struct(test["item_id"].alias("item_id"),
-                                                    (test["start"] + s).alias("start"), length.alias("length")))
+    def cut(words: Column) -> Column:
+        last = F.floor(F.greatest(F.size(words) - 1, F.lit(0)) / BLOCK).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(words, b * BLOCK + 1, BLOCK + 2 * size))
 
-    return (texts.select("row", F.flatten(F.transform("tests", occurrences)).alias("matches"))
-            .where(F.size("matches") > 0).dropDuplicates(["row"]))
+    blocks = texts.select("row", F.posexplode(bound(exact_words(F.col("text")), cut)).alias("block", "doc"))
+    pairs = tested.join(blocks, ["row", "block"]).join(spots.select("spot", "words", "length"), "spot")
+    at = F.col("start") - F.col("block") * BLOCK
 
+    # every window of a spot holds its two terms, so those that occur follow each other
+    same = F.filter(F.sequence(F.lit(0), F.size("words") - F.col("length")), lambda s: (F.col("start") + s >= 0) & (
+        F.slice("doc", F.greatest(at + s, F.lit(0)) + 1, F.col("length")) == F.slice("words", s + 1, F.col("length"))))
+    runs = pairs.select("row", "spot", "start", "length", same.alias("same")).where(F.size("same") > 0)
+    return runs.select("row", "spot", (F.col("start") + F.col("same")[0]).alias("start"),
+                       (F.col("length") + F.size("same") - 1).alias("length")).distinct()
 
-def contamination(docs: DataFrame, bench: DataFrame, size: int = WINDOW_WORDS, slack: int = SLACK) -> DataFrame:
-    """Per row of ``docs``: ``doc_id, n_words, n_hit, matches, item_ids`` (sorted as
-    strings) and ``n_near``, the items met in proximity only; ``row`` is ``row_key`` of it."""
+
+def covered(exact: DataFrame) -> DataFrame:
+    """``row, n_hit``: words under any of a row's matches, each once."""
+    spans = exact.groupBy("row", "start").agg(F.max(F.col("start") + F.col("length")).alias("end"))
+    before = F.max("end").over(Window.partitionBy("row").orderBy("start")
+                               .rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.col("end") - F.greatest(F.col("start"), F.coalesce("before", "start"))
+    return (spans.withColumn("before", before).groupBy("row")
+            .agg(F.sum(F.greatest(fresh, F.lit(0))).cast("bigint").alias("n_hit")))
+
+
+def search(docs: DataFrame, bench: DataFrame, size: int, slack: int) -> tuple[DataFrame, ...]:
+    """The stored postings, spots with their items, candidates and exact matches."""
     items = materialize(benchmark_items(bench), "leak-items")
     postings = index(docs, items)
-    spots = materialize(anchors(items, postings.where(F.col("term") != DOCUMENT), size), "leak-anchors")
+    held = materialize(anchors(items, postings.where(F.col("term") != DOCUMENT), size), "leak-anchors")
+    spots = held.drop("item_id").distinct()
     found = materialize(candidates(postings, spots, slack), "leak-candidates")
-    hits = phrase_matches(docs, found, items, size)
-    covered = F.array_distinct(F.flatten(F.transform(
-        "matches", lambda m: F.sequence(m["start"], m["start"] + m["length"] - 1))))
-    hits = hits.select("row", "matches", F.size(covered).cast("bigint").alias("n_hit"),
-                       F.array_sort(F.array_distinct(F.filter(F.transform("matches", lambda m: m["item_id"]),
-                                                              lambda x: x.isNotNull()))).alias("item_ids"))
-    near = (found.join(items.select("item", "item_id"), "item").groupBy("row")
-            .agg(F.collect_set("item_id").alias("met")))
-    rows = postings.where(F.col("term") == DOCUMENT).select("doc_id", "row", F.col("n_words").cast("bigint"))
+    return postings, held, found, materialize(phrase_matches(docs, found, spots, size), "leak-matches")
+
+
+def document_ids(postings: DataFrame) -> DataFrame:
+    return postings.where(F.col("term") == DOCUMENT).select("doc_id", "row", F.col("n_words").cast("bigint"))
+
+
+def matches(docs: DataFrame, bench: DataFrame, size: int = WINDOW_WORDS, slack: int = SLACK) -> DataFrame:
+    """One row per match: ``doc_id, item_id, kind`` (phrase, proximity) ``, start, length``: the words
+    that windows of the item cover, or where the spot of a proximity match would begin, without a length."""
+    postings, held, found, exact = search(docs, bench, size, slack)
+    near = found.join(exact.select("row", "spot").distinct(), ["row", "spot"], "left_anti")
+    spans = (exact.select("row", "spot", F.lit("phrase").alias("kind"), "start", "length")
+             .union(near.select("row", "spot", F.lit("proximity"), "start", F.lit(None).cast("int"))))
+    return (spans.join(held.select("spot", "item_id").distinct(), "spot").join(document_ids(postings), "row")
+            .select("doc_id", "item_id", "kind", "start", "length"))
+
+
+def contamination(docs: DataFrame, bench: DataFrame, size: int = WINDOW_WORDS, slack: int = SLACK) -> DataFrame:
+    """Per row of ``docs``: ``doc_id, n_words, n_hit, item_ids`` (sorted as strings) and
+    ``n_near``, the items met in proximity only; ``row`` is ``row_key`` of it."""
+    postings, held, found, exact = search(docs, bench, size, slack)
+    met = (exact.select("row", "spot", F.lit(True).alias("hit"))
+           .union(found.select("row", "spot", F.lit(False))).groupBy("row", "spot").agg(F.max("hit").alias("hit"))
+           .join(held.select("spot", "item_id").distinct(), "spot").groupBy("row")
+           .agg(F.array_sort(F.collect_set(F.when(F.col("hit"), F.col("item_id")))).alias("item_ids"),
+                F.collect_set("item_id").alias("met")))
     none = F.array().cast("array<string>")
-    out = rows.join(hits, "row", "left").join(near, "row", "left")
-    return out.select("doc_id", "row", "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"), "matches",
+    out = document_ids(postings).join(covered(exact), "row", "left").join(met, "row", "left")
+    return out.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
                       F.coalesce("item_ids", none).alias("item_ids"),
                       F.size(F.array_except(F.coalesce("met", none), F.coalesce("item_ids", none)))
-                      .cast("bigint").alias("n_near"))
+                      .cast("bigint").alias("n_near"), "row")
 
 
 def drop_contaminated(docs: DataFrame, bench: DataFrame) -> DataFrame:

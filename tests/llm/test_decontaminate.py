@@ -53,8 +53,9 @@ def test_hits_match_brute_force(spark):
     assert all(r.item_ids == sorted(r.item_ids) for r in got)
     kept = D.drop_contaminated(d, b)
     assert kept.columns == d.columns
-    bad = {r[0] for r in brute(docs, items) if r[2]}
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, _ in docs if i not in bad)
+    # each row by its own text: the row (403, "other") stays though two rows of its id go
+    clean = [r for r in docs if not brute([r], items)[0][2]]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(clean, key=repr)
 
 
 def test_proximity(spark):
@@ -89,3 +90,41 @@ def test_a_clean_row_with_the_id_of_a_hit_stays(spark):
     assert got.columns == docs.columns
     assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted(
         [(1, "clean"), (None, "clean too"), (2, None)], key=repr)
+
+
+def test_a_passage_that_one_text_repeats_many_times(spark):
+    rnd = random.Random(5)
+    item = [f"w{rnd.randrange(400)}" for _ in range(2000)]
+    passage = " ".join(item[700:710])
+    docs = spark.createDataFrame([(1, f"{passage}. " * 20000), (2, " ".join(item[3:12])), (3, " ".join(item))],
+                                 "doc_id bigint, text string")
+    bench = spark.createDataFrame([(9, " ".join(item)), (10, passage)], "item_id bigint, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit, r.item_ids) for r in D.contamination(docs, bench).collect()}
+    assert got == {1: (200000, 200000, ["10", "9"]), 2: (9, 0, []), 3: (2000, 2000, ["10", "9"])}
+
+
+def test_a_text_and_an_item_of_one_repeated_passage(spark):
+    passage = "one two three four five six seven eight nine ten "
+    docs = spark.createDataFrame([(1, passage * 3000)], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(i, passage * 200) for i in range(30)], "item_id bigint, text string")
+    got = D.contamination(docs, bench).first()
+    assert (got.n_hit, len(got.item_ids)) == (30000, 30)
+
+
+def test_match_rows(spark):
+    item = "one two three four five six seven eight nine ten eleven twelve"
+    docs = spark.createDataFrame([(1, f"x {item} y two"), (2, "one two three five"), (3, item[4:])],
+                                 "doc_id bigint, text string")
+    bench = spark.createDataFrame([(5, item), (6, "two x three"), (7, "one three")], "item_id bigint, text string")
+    got = D.matches(docs, bench).collect()
+    words = {(r.doc_id, p) for r in got if r.kind == "phrase" for p in range(r.start, r.start + r.length)}
+    assert words == {(1, p) for p in range(1, 13)} | {(3, p) for p in range(11)}
+    assert (2, "7") in {(r.doc_id, r.item_id) for r in got if r.kind == "proximity"}
+
+
+def test_blocks_meet_at_every_offset(spark, monkeypatch):
+    monkeypatch.setattr(D, "BLOCK", 3)
+    docs, items = case()
+    got = D.contamination(spark.createDataFrame(docs, "doc_id bigint, text string"),
+                          spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert sorted([(r.doc_id, r.n_words, r.n_hit, sorted(r.item_ids)) for r in got], key=repr) == brute(docs, items)
