@@ -123,8 +123,9 @@ def phrase_matches(docs: DataFrame, found: DataFrame, spots: DataFrame, size: in
     """``row, spot, start, length`` of each run of windows that occurs in a text."""
     tested = found.where("phrase").select("row", "spot", "start",
                                           F.floor(F.greatest("start", F.lit(0)) / BLOCK).cast("int").alias("block"))
+    # the rows with candidates grow with the documents: never broadcast, one plan at every size
     texts = (docs.select(row_key("doc_id").alias("row"), text_or_empty().alias("text"))
-             .join(tested.select("row").distinct(), "row", "left_semi"))
+             .join(tested.select("row").distinct().hint("merge"), "row", "left_semi"))
 
     def cut(words: Column) -> Column:
         last = F.floor(F.greatest(F.size(words) - 1, F.lit(0)) / BLOCK).cast("int")
