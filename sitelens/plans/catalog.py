@@ -904,3 +904,82 @@ def document_sections_large(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("source").alias("entity"), F.col("doc_id").alias("page_id"), "text")
     out = VM.page_sections_large(d, "text", VM.vocab_table(spark, SECTIONS))
     return out.withColumnRenamed("page_id", "doc_id")
+
+
+# --- J9, J10, P20: fragments of every page in right and wrong shapes ----------
+
+#: Shape of a page's fragment by the length of its HTML: right, wrong kinds, keys with
+#: dots, a missing comma, no object, cut short.  ``@`` is the page's number.
+_SHAPES = [
+    '{"title":"@","lang":"en","tags":["@"],"stats":{"anchors":@,"words":1},'
+    '"admissions":{"deadline":"","requirements":{"gpa":"3"}},"contact":{"email":"@"}}',
+    '{"title":"@","lang":null,"tags":"none","stats":"@","admissions":[],"contact":{"email":@}}',
+    '{"title":@,"lang":true,"stats.anchors":@,"stats":{"words":"@","anchors.all":@},'
+    '"admissions":{"deadline":@,"requirements":"none","requirements.gpa":3.5},"contact":null}',
+    '{"title":"@","lang":"en" "tags":[]}',
+    '[@, {"title":"@"}]',
+    '{"title":"@, "lang":',
+]
+_SHAPED = f"""SELECT page_id, shape, replace(form, '@', CAST(page_id AS VARCHAR)) AS j
+FROM pages JOIN (VALUES {", ".join(f"({k}, {S.q(form)})" for k, form in enumerate(_SHAPES))}) f(shape, form)
+ON shape = length(coalesce(html, '')) % {len(_SHAPES)}"""
+
+
+def _shaped_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = F.col("page_id").cast("string")
+    form = F.element_at(F.array(*[F.lit(form) for form in _SHAPES]),
+                        (F.length(F.coalesce("html", F.lit(""))) % len(_SHAPES) + 1).cast("int"))
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").cast("bigint").alias("seq"), number.alias("entity"),
+                                                 F.replace(form, F.lit("@"), number).alias("json"))
+    return MG.fragment_nodes(pages)
+
+
+def _shaped_issues(spark: SparkSession, sf_dir: str, full_types: bool) -> DataFrame:
+    nodes = _shaped_nodes(spark, sf_dir).where("depth > 0").select("entity", "path", "kind")
+    sp = spark.createDataFrame(SCHEMA, "path array<string>, kind string, ord int")
+    return VD.structure_issues(sp, nodes, full_types).select(F.col("entity").cast("bigint").alias("page_id"),
+                                                             "path", "ord", "issue")
+
+
+def _shaped_issues_sql(mismatch: str) -> str:
+    return f"""WITH sp(path, kind, ord) AS (VALUES {_SCHEMA_VALUES}),
+doc AS (SELECT page_id, CASE WHEN shape < 3 THEN j END AS j FROM ({_SHAPED})),
+typed AS (SELECT page_id, path, kind, CAST(ord AS INTEGER) AS ord,
+                 json_type(CAST(j AS JSON), '/' || replace(path, '.', '/')) AS t FROM doc CROSS JOIN sp WHERE j IS NOT NULL),
+dn AS (SELECT *, CASE WHEN t IS NULL THEN NULL WHEN t = 'VARCHAR' THEN 'string' WHEN t = 'BOOLEAN' THEN 'boolean'
+                      WHEN t IN ('OBJECT', 'ARRAY', 'NULL') THEN lower(t) ELSE 'number' END AS data_kind FROM typed),
+raw AS (SELECT page_id, path, ord, CASE WHEN data_kind IS NULL THEN 'Missing required field: ' || path
+                                        WHEN kind = 'object' THEN 'Type mismatch at ' || path || ': expected dict'
+                                        ELSE 'Type mismatch at ' || path || ': expected ' || kind END AS issue
+        FROM dn WHERE data_kind IS NULL OR {mismatch})
+SELECT page_id, path, ord, issue FROM raw r
+WHERE NOT EXISTS (SELECT 1 FROM raw a WHERE a.page_id = r.page_id AND starts_with(r.path, a.path || '.'))"""
+
+
+_NOT_A_DICT = "(kind = 'object' AND data_kind <> 'object')"
+
+
+@register("fragment_schema_issues", _shaped_issues_sql(_NOT_A_DICT))
+def fragment_schema_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page's fragment against the schema: missing fields, and other kinds where an object is due."""
+    return _shaped_issues(spark, sf_dir, full_types=False)
+
+
+@register("fragment_schema_issues_full", _shaped_issues_sql(
+    f"{_NOT_A_DICT} OR (kind <> 'object' AND data_kind <> kind AND data_kind <> 'null')"))
+def fragment_schema_issues_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the stricter check of every kind."""
+    return _shaped_issues(spark, sf_dir, full_types=True)
+
+
+@register("fragment_errors", f"""SELECT page_id, reason, position, context FROM (
+SELECT page_id, 'invalid JSON: Expecting '','' delimiter' AS reason, CAST(strpos(j, '"tags"') - 1 AS INTEGER) AS position,
+       substr(j, greatest(strpos(j, '"tags"') - 51, 0) + 1,
+              strpos(j, '"tags"') + 49 - greatest(strpos(j, '"tags"') - 51, 0)) AS context FROM ({_SHAPED}) WHERE shape = 3
+UNION ALL SELECT page_id, 'not an object', 0, left(j, 100) FROM ({_SHAPED}) WHERE shape = 4
+UNION ALL SELECT page_id, 'invalid JSON: Expecting '','' delimiter', CAST(strpos(j, 'lang') - 1 AS INTEGER),
+       left(j, strpos(j, 'lang') + 49) FROM ({_SHAPED}) WHERE shape = 5)""")
+def fragment_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fragments that are no JSON object: reason, position and the text around it."""
+    return MG.fragment_errors(_shaped_nodes(spark, sf_dir)).select(F.col("seq").alias("page_id"), "reason",
+                                                                   "position", "context")
