@@ -983,3 +983,93 @@ def fragment_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fragments that are no JSON object: reason, position and the text around it."""
     return MG.fragment_errors(_shaped_nodes(spark, sf_dir)).select(F.col("seq").alias("page_id"), "reason",
                                                                    "position", "context")
+
+
+# --- SNK3, SNK4, V7: documents in ordered parts -------------------------------
+
+#: Few pieces a part, so that the small tables' documents have several parts.
+TEST_PIECES_PER_PART = 500
+
+
+def _read_back(spark: SparkSession, pieces: DataFrame, order: list[str], name: str) -> DataFrame:
+    from sitelens.session import scratch_dir
+    from sitelens.sources import parts as PT
+    root = f"{scratch_dir(spark, name)}/{RUN_TS.translate(str.maketrans(' ', '_', ':-'))}"
+    PT.write_parts(pieces, order, root, TEST_PIECES_PER_PART)
+    return PT.read_lines(spark, root)
+
+
+def _lines_sql(pieces: str) -> str:
+    """pieces: entity, a list ``place`` that orders, value."""
+    return f"""\nSELECT entity, unnest(range(len(l))) AS line, unnest(l) AS text FROM (
+SELECT entity, string_split(string_agg(value, chr(10) ORDER BY place), chr(10)) AS l FROM ({pieces}) GROUP BY entity)"""
+
+
+_MEMBER = " " * 10
+
+
+def _member_sql(name: str, value: str, source: str, place: int, comma: str = ",") -> str:
+    return f"""SELECT entity, [{place}, 0, 0] AS place, '{_MEMBER}"{name}": ' || {value} || '{comma}' AS value FROM {source}"""
+
+
+@register("record_documents_read_back", f"WITH {_MERGE_CTE}" + _lines_sql(f"""
+SELECT entity, [0, 0, 0] AS place, '{{
+  "institutions": [
+    {{
+      "institution_name": ' || CAST(to_json(entity) AS VARCHAR) || ',
+      "programs": [
+        {{' AS value FROM ttl
+UNION ALL {_member_sql('admissions', "'{}'", 'ttl', 1)}
+UNION ALL {_member_sql('contact', "'{}'", 'ttl', 2)}
+UNION ALL {_member_sql('lang', 'CAST(to_json(v) AS VARCHAR)', 'lng', 3)}
+UNION ALL SELECT entity, [4, 0, 0], '{_MEMBER}"stats": {{
+{_MEMBER}  "anchors": ' || v || '
+{_MEMBER}}},' FROM anc
+UNION ALL SELECT entity, [5, 0, 0], '{_MEMBER}"tags": [' || CASE WHEN t_seq IS NULL THEN '],' ELSE '' END FROM tt
+UNION ALL SELECT entity, [6, seq, idx], '{_MEMBER}  ' || CAST(to_json(text) AS VARCHAR)
+       || CASE WHEN row_number() OVER (PARTITION BY entity ORDER BY seq DESC, idx DESC) = 1 THEN '' ELSE ',' END FROM items
+UNION ALL SELECT entity, [7, 0, 0], '{_MEMBER}],' FROM tt WHERE t_seq IS NOT NULL
+UNION ALL {_member_sql('title', 'CAST(to_json(v) AS VARCHAR)', 'ttl', 8, '')}
+UNION ALL SELECT entity, [9, 0, 0], '        }}
+      ]
+    }}
+  ]
+}}' FROM ttl"""))
+def record_documents_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records as JSON documents, written in parts and read back line by line."""
+    from sitelens.sources import sinks as SK
+    merged, items, _ = _merged(spark, sf_dir)
+    return _read_back(spark, SK.record_pieces(merged, items), SK.RECORD_ORDER, "record-documents")
+
+
+_BAR = "-" * 80
+
+
+@register("report_documents_read_back", f"WITH {_VALIDATION_CTE}," + f"""
+pieces AS (SELECT entity, 0 AS body, CAST(0 AS BIGINT) AS page_seq, '' AS field_path, 'Validation Report - ' || entity || '
+Generated: {RUN_TS}
+{_BAR}
+Total fields validated: ' || count(*) || '
+Valid fields: ' || count_if(is_valid) || '
+Invalid fields: ' || count_if(NOT is_valid) || '
+Validation rate: ' || printf('%.2f', CAST(count_if(is_valid) * 100.0 / count(*) AS DOUBLE)) || '%
+
+Match Type Breakdown:
+Exact matches: ' || count_if(contains(notes, 'Exact match')) || '
+Fuzzy matches: ' || count_if(contains(notes, 'Fuzzy match')) || '
+Not published fields: ' || count_if(contains(notes, {S.q(vocab.NOT_PUBLISHED)})) || '
+{_BAR}
+Detailed Results:' AS value FROM res GROUP BY entity
+UNION ALL SELECT entity, 1, page_seq, field_path, '
+Field: ' || field_path || '
+Valid: ' || CASE WHEN is_valid THEN 'True' ELSE 'False' END || '
+Source URL: ' || url || CASE WHEN source_text <> '' THEN '
+Source text: ' || left(source_text, {vocab.REPORT_PREFIX}) || '...' ELSE '' END || '
+Notes: ' || notes FROM res)""" + _lines_sql("""
+SELECT entity, row_number() OVER (PARTITION BY entity ORDER BY body, page_seq, field_path) AS place, value FROM pieces"""))
+def report_documents_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validation reports, written in parts and read back line by line."""
+    from sitelens.sources import sinks as SK
+    results = _validation(spark, sf_dir)
+    return _read_back(spark, SK.report_pieces(results, VD.summary(results, ["entity"]), RUN_TS), SK.REPORT_ORDER,
+                      "report-documents")

@@ -99,11 +99,9 @@ def ranked_url_documents(ranked: DataFrame, run_ts: str) -> DataFrame:
                                             x["relevance_score"].alias("relevance_score"))).alias("urls"))).alias("json"))
 
 
-def validation_report(results: DataFrame, summary: DataFrame, run_ts: str) -> DataFrame:
-    """Text report per site: header, summary block and one block per result
-    (leaf order, then page order); source text cut to 100 characters + '...'."""
-    from sitelens.operators.validate import EXACT  # noqa: F401
-    line = F.concat(
+def report_line() -> F.Column:
+    """The block of one result, after an empty line; its source text cut."""
+    return F.concat(
         F.lit("\nField: "), F.col("field_path"), F.lit("\nValid: "),
         F.when(F.col("is_valid"), F.lit("True")).otherwise(F.lit("False")),
         F.lit("\nSource URL: "), F.col("url"),
@@ -111,8 +109,10 @@ def validation_report(results: DataFrame, summary: DataFrame, run_ts: str) -> Da
                F.concat(F.lit("\nSource text: "), F.substring("source_text", 1, vocab.REPORT_PREFIX), F.lit("...")))
         .otherwise(F.lit("")),
         F.lit("\nNotes: "), F.col("notes"))
-    detail = results.groupBy("entity").agg(
-        F.sort_array(F.collect_list(F.struct("ord", "page_seq", "field_path", line.alias("line")))).alias("d"))
+
+
+def report_head(run_ts: str) -> F.Column:
+    """What stands before the results, from a row of the summary."""
     bar = "-" * 80
     head = F.concat(F.lit("Validation Report - "), F.col("entity"), F.lit("\nGenerated: "), F.lit(run_ts),
                     F.lit("\n" + bar + "\n"))
@@ -125,12 +125,91 @@ def validation_report(results: DataFrame, summary: DataFrame, run_ts: str) -> Da
         F.lit("\nFuzzy matches: "), F.col("fuzzy_matches").cast("string"),
         F.lit("\nNot published fields: "), F.col("not_published").cast("string"))).otherwise(
         F.lit("No fields were validated"))
+    return F.concat(head, summ, F.lit("\n" + bar + "\nDetailed Results:"))
+
+
+def validation_report(results: DataFrame, summary: DataFrame, run_ts: str) -> DataFrame:
+    """Text report per site as one value: header, summary block and one block per result
+    (page order, then leaf order).  ``report_pieces`` is the form for any size."""
+    detail = results.groupBy("entity").agg(
+        F.sort_array(F.collect_list(F.struct("page_seq", "ord", "field_path", report_line().alias("line")))).alias("d"))
     j = summary.join(detail, "entity", "left")
-    text = F.concat(head, summ, F.lit("\n" + bar + "\nDetailed Results:"),
-                    F.coalesce(F.array_join(F.transform("d", lambda x: x["line"]), ""), F.lit("")))
+    text = F.array_join(F.concat(F.array(report_head(run_ts)),
+                                 F.coalesce(F.transform("d", lambda x: x["line"]), F.array().cast("array<string>"))), "\n")
     return j.select("entity", text.alias("json"))
 
 
+#: The order of the pieces of a report.
+REPORT_ORDER = ["body", "page_seq", "ord", "field_path"]
+
+
+def report_pieces(results: DataFrame, summary: DataFrame, run_ts: str) -> DataFrame:
+    """The report as pieces for ``parts.write_parts``: a head, then a piece a result."""
+    head = summary.select("entity", F.lit(False).alias("body"), F.lit(None).cast("bigint").alias("page_seq"),
+                          F.lit(None).cast("int").alias("ord"), F.lit(None).cast("string").alias("field_path"),
+                          report_head(run_ts).alias("value"))
+    body = results.select("entity", F.lit(True).alias("body"), F.col("page_seq").cast("bigint").alias("page_seq"),
+                          F.col("ord").cast("int").alias("ord"), "field_path", report_line().alias("value"))
+    return head.unionByName(body)
+
+
+def _json_text(c: F.Column) -> F.Column:
+    """A string as JSON writes it."""
+    listed = F.to_json(F.array(c))
+    return F.substring(listed, F.lit(2), F.length(listed) - 2)
+
+
+#: The order of the pieces of a record.
+RECORD_ORDER = ["place", "seq", "idx"]
+
+
+def record_pieces(merged: DataFrame, items: DataFrame) -> DataFrame:
+    """Merged records as pieces for ``parts.write_parts``: the JSON text of
+    institutions / programs / record, a member or list item a line, indented by two.
+
+    merged(entity, path, kind, value), items(entity, path, seq, idx, kind, value).  Keys
+    ascend within their object; an item that is itself an object or a list stays on one
+    line.  ``place`` leads a member's own steps by ``k``, its items by ``i`` and its end
+    by ``~``, so that places ascend as the text goes.  Only the last member of an object
+    and the last item of a list go without a comma: both are one row a parent, found with
+    an aggregate and joined by their own unique place, so a parent of very many children
+    is no hot key."""
+    nodes = merged.select("entity", "path", "kind", "value", F.slice("path", 1, F.size("path") - 1).alias("up"))
+    last = nodes.groupBy("entity", "up").agg(F.max("path").alias("path"), F.lit(True).alias("is_last"))
+    last_item = (items.groupBy("entity", "path").agg(F.max(F.struct("seq", "idx")).alias("m"))
+                 .select("entity", "path", "m.seq", "m.idx", F.lit(True).alias("is_last")))
+    filled = (last.select("entity", F.col("up").alias("path")).unionByName(last_item.select("entity", "path"))
+              .withColumn("filled", F.lit(True)))
+    comma = F.when(F.col("is_last"), "").otherwise(",")
+
+    def scalar() -> F.Column:
+        return F.when(F.col("kind") == "string", _json_text(F.col("value"))).otherwise(F.coalesce("value", F.lit("null")))
+
+    nothing = [F.lit(None).cast("bigint").alias("seq"), F.lit(None).cast("int").alias("idx")]
+    steps = F.transform("path", lambda k: F.concat(F.lit("k"), k))
+    indent = F.repeat(F.lit(" "), 8 + 2 * F.size("path"))
+    opening, closing = (F.when(F.col("kind") == "object", o).otherwise(a) for o, a in (("{", "["), ("}", "]")))
+    box = F.col("kind").isin("object", "array")
+    n = (nodes.join(last.drop("up"), ["entity", "path"], "left").join(filled, ["entity", "path"], "left")
+         .select("entity", "path", "kind", "value", "is_last", F.coalesce("filled", F.lit(False)).alias("filled")))
+    start = n.select("entity", steps.alias("place"), *nothing, F.concat(
+        indent, _json_text(F.element_at("path", -1)), F.lit(": "),
+        F.when(box & F.col("filled"), opening).when(box, F.concat(opening, closing, comma))
+        .otherwise(F.concat(scalar(), comma))).alias("value"))
+    end = n.where(box & F.col("filled")).select("entity", F.concat(steps, F.array(F.lit("~"))).alias("place"), *nothing,
+                                                F.concat(indent, closing, comma).alias("value"))
+    listed = items.join(last_item, ["entity", "path", "seq", "idx"], "left").select(
+        "entity", F.concat(steps, F.array(F.lit("i"))).alias("place"), F.col("seq").cast("bigint").alias("seq"),
+        F.col("idx").cast("int").alias("idx"), F.concat(indent, F.lit("  "), scalar(), comma).alias("value"))
+    sites = merged.select("entity").distinct()
+    head = sites.select("entity", F.array(F.lit("a")).alias("place"), *nothing, F.concat(
+        F.lit('{\n  "institutions": [\n    {\n      "institution_name": '), _json_text(F.col("entity")),
+        F.lit(',\n      "programs": [\n        {')).alias("value"))
+    foot = sites.select("entity", F.array(F.lit("~")).alias("place"), *nothing,
+                        F.lit("        }\n      ]\n    }\n  ]\n}").alias("value"))
+    return head.unionByName(start).unionByName(listed).unionByName(end).unionByName(foot)
+
+
 def single_page_result(fragments: DataFrame, url: str, path: str) -> None:
     """Extraction result of one page (a pushed-down equality filter on the
     source URL), written as JSON text."""
