@@ -1073,3 +1073,33 @@ def report_documents_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = _validation(spark, sf_dir)
     return _read_back(spark, SK.report_pieces(results, VD.summary(results, ["entity"]), RUN_TS), SK.REPORT_ORDER,
                       "report-documents")
+
+
+# --- SRC2, SRC6: documents larger than a row -----------------------------------
+
+@register("crawl_documents_split_read", ORACLES["crawl_documents_read_back"])
+def crawl_documents_split_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Crawl documents read without any of them in one row."""
+    from pyspark.sql import types as T
+    from sitelens.session import scratch_dir
+    from sitelens.sources import bigjson as BJ
+    from sitelens.sources import sinks as SK
+    path = scratch_dir(spark, "crawled")
+    SK.write_documents(_crawl(spark, sf_dir).documents, path)
+    return BJ.crawl_result_links(spark, path, T.StructType([T.StructField("entity", T.StringType())])).drop("page_seq")
+
+
+@register("record_document_items", f"""WITH {_MERGE_CTE}
+SELECT entity, CAST(row_number() OVER (PARTITION BY entity ORDER BY seq, idx) - 1 AS BIGINT) AS idx, text FROM items""")
+def record_document_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records written in parts; the items of one of their lists read from these."""
+    from sitelens.session import scratch_dir
+    from sitelens.sources import bigjson as BJ
+    from sitelens.sources import parts as PT
+    from sitelens.sources import sinks as SK
+    merged, items, _ = _merged(spark, sf_dir)
+    root = scratch_dir(spark, "record-documents")
+    PT.write_parts(SK.record_pieces(merged, items), SK.RECORD_ORDER, root, TEST_PIECES_PER_PART)
+    found = BJ.json_members(spark, f"{root}/parts", ["institutions", 0, "programs", 0, "tags"], PT.PARTITIONS, "split")
+    return found.select("entity", "idx", F.element_at(F.from_json(F.concat(F.lit("["), F.col("json"), F.lit("]")),
+                                                                  "array<string>"), 1).alias("text"))

@@ -23,7 +23,7 @@ from sitelens.session import scratch_dir
 #: Pieces of one part, about: ranges come from a sample.
 PIECES_PER_PART = 200_000
 
-_PARTITIONS = [T.StructField("entity", T.StringType()), T.StructField("split", T.LongType())]
+PARTITIONS = T.StructType([T.StructField("entity", T.StringType()), T.StructField("split", T.LongType())])
 
 _LIST = "entity string, part long, split long, n_bytes long, offset long"
 
@@ -45,7 +45,7 @@ def write_parts(pieces: DataFrame, order: list[str], root: str, pieces_per_part:
     dealt(rows, order, n).write.partitionBy("entity", "split").text(f"{root}/parts")
     files = (spark.read.format("binaryFile").schema(T.StructType([
         T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),
-        T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType()), *_PARTITIONS]))
+        T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType()), *PARTITIONS]))
         .load(f"{root}/parts").select(F.coalesce("entity", F.lit("")).alias("entity"), "split", "length"))
     before = Window.partitionBy("entity").orderBy("split")       # one small row a part
     (files.select("entity", (F.row_number().over(before) - 1).cast("long").alias("part"), "split", F.col("length").alias("n_bytes"),
@@ -72,7 +72,7 @@ def read_parts(spark: SparkSession, root: str) -> DataFrame:
     """entity, part, text: joined by part, the texts are the document."""
     if part_list(spark, root).isEmpty():
         return spark.createDataFrame([], "entity string, part long, text string")
-    schema = T.StructType([T.StructField("value", T.StringType()), *_PARTITIONS])
+    schema = T.StructType([T.StructField("value", T.StringType()), *PARTITIONS])
     texts = (spark.read.schema(schema).text(f"{root}/parts", wholetext=True)
              .select(F.coalesce("entity", F.lit("")).alias("entity"), "split", F.col("value").alias("text")))
     return texts.join(part_list(spark, root), ["entity", "split"]).select("entity", "part", "text")
