@@ -1103,3 +1103,88 @@ def record_document_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = BJ.json_members(spark, f"{root}/parts", ["institutions", 0, "programs", 0, "tags"], PT.PARTITIONS, "split")
     return found.select("entity", "idx", F.element_at(F.from_json(F.concat(F.lit("["), F.col("json"), F.lit("]")),
                                                                   "array<string>"), 1).alias("text"))
+
+
+# --- P5, A3, SRC4, F7, F8, F9, P13, O2 -----------------------------------------
+
+_NAMED_META = (f"list_filter(regexp_extract_all({S.strip_noise('html')}, {S.q(H.META_RE)}, 1), "
+               f"lambda t: lower({S.attr_value('t', 'name')}) = 'description')")
+
+
+@register("page_descriptions", f"""WITH {S.pages_cte()}, m AS (SELECT entity, page_id, {_NAMED_META}[1] AS tag FROM pg)
+SELECT entity, page_id, nullif({S.attr_value('tag', 'content')}, '') AS description FROM m""")
+def page_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_pages(spark, sf_dir).select("entity", "page_id", H.meta_description(F.col("html")).alias("description"))
+
+
+@register("page_section_maps", f"""WITH {_PAGE_SECTIONS_CTE}
+SELECT pg.entity, pg.page_id, coalesce(string_agg(section, ',' ORDER BY section_ord), '') AS sections,
+       coalesce(string_agg(section || ':' || CAST(round(confidence * 10) AS INTEGER), ',' ORDER BY section_ord), '') AS tenths
+FROM pg LEFT JOIN ps ON ps.page_id = pg.page_id GROUP BY pg.entity, pg.page_id""")
+def page_section_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page's sections in the taxonomy's order, and its map of confidences in tenths."""
+    maps = SC.analyze_pages(_content_pages(spark, sf_dir), sections=SECTIONS)
+    tenths = F.transform("relevant_sections", lambda s: F.concat_ws(
+        ":", s, F.round(F.element_at("section_confidence", s) * 10).cast("int").cast("string")))
+    return maps.select("entity", "page_id", F.array_join("relevant_sections", ",").alias("sections"),
+                       F.array_join(tenths, ",").alias("tenths"))
+
+
+@register("url_list_read_back", f"""WITH {_STATUS_CTE}
+SELECT p.url, count(*) AS n_lines, CASE WHEN bool_or(s.accessible) THEN count(*) ELSE 0 END AS n_accessible
+FROM pages p JOIN status s ON s.url = p.url GROUP BY p.url
+UNION ALL SELECT '', count(*), 0 FROM pages""")
+def url_list_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A text file of all pages' URLs, padded and each with an empty line after it, read back; the
+    lines of accessible URLs."""
+    from sitelens.session import scratch_dir
+    from sitelens.sources import tables as TB
+    path = scratch_dir(spark, "url-list")
+    url = F.col("url")
+    (table(spark, sf_dir, "pages").select(F.explode(F.array(F.concat(F.lit("  "), url, F.lit("\t")), F.lit(""))))
+     .write.text(path))
+    lines = TB.url_list(spark, path)
+    open_ = FL.accessible_only(lines, _status(spark, sf_dir)).groupBy("url").agg(F.count(F.lit(1)).alias("n"))
+    return (lines.groupBy("url").agg(F.count(F.lit(1)).alias("n_lines")).join(open_, "url", "left")
+            .select("url", "n_lines", F.coalesce("n", F.lit(0)).alias("n_accessible")))
+
+
+#: Least relevance of ``top_links_by_score``.
+MIN_SCORE = 2
+
+
+@register("top_links_by_score", f"SELECT * FROM ({ORACLES['top_links_per_site']}) WHERE relevance_score >= {MIN_SCORE}")
+def top_links_by_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return LK.rank_links(LK.extract_links(read_pages(spark, sf_dir)), KEEP, SKIP, min_score=MIN_SCORE)
+
+
+def _content_sizes(batches):
+    """An extractor that tells what it was given."""
+    import json
+
+    import pandas as pd
+    for pdf in batches:
+        yield pd.DataFrame({"entity": pdf["entity"], "seq": pdf["seq"], "source_url": pdf["url"],
+                            "json": [json.dumps({"batch_no": int(b), "chars": len(c)})
+                                     for b, c in zip(pdf["batch_no"], pdf["content"], strict=True)]})
+
+
+_NOT_WEB = S.any_contains("lower(url)", vocab.EXTRACT_DOC_EXTENSIONS)
+
+
+@register("extraction_batches", f"""WITH {S.pages_cte()},
+r AS (SELECT entity, url, {S.region_text('html')} AS content, row_number() OVER (PARTITION BY entity ORDER BY page_id) AS rank FROM pg)
+SELECT entity, rank AS seq, url, (rank - 1) // {vocab.EXTRACT_BATCH} AS batch_no, CAST(length(content) AS BIGINT) AS chars
+FROM r WHERE content <> '' AND NOT {_NOT_WEB}""")
+def extraction_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A site's pages, ranked as they come, that reach the extractor, with their batch and what they hold."""
+    from sitelens.operators.ordinals import ordinal_within
+    pages = read_pages(spark, sf_dir)
+    ranks = ordinal_within(pages.select("entity", "page_id"), ["entity"], ["page_id"]).select(
+        "page_id", (F.col("pos") + 1).alias("rank"))
+    todo = (pages.where(~RC.non_web(F.col("url"))).withColumn("content", H.region_text(F.col("html")))
+            .join(ranks, "page_id"))
+    found = RC.extract_fragments(todo, _content_sizes)
+    return found.select("entity", "seq", F.col("source_url").alias("url"),
+                        F.get_json_object("json", "$.batch_no").cast("bigint").alias("batch_no"),
+                        F.get_json_object("json", "$.chars").cast("bigint").alias("chars"))
