@@ -18,19 +18,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Per-row CPU-heavy inputs (HTML, long texts) need at least one split
-    per core.  Large inputs already scan in many splits and are left alone; a
-    small file with one row group would otherwise run in a single task, so it
-    is hash-spread on its key.  The split count is known at plan time."""
+#: Tasks that one split of the scan is dealt out to.
+TASKS_PER_SPLIT = 4
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Per-row CPU-heavy inputs (HTML, long texts) are dealt out by hash before that
+    work.  A scan's splits don't tell how its rows lie: a row group is read by the one
+    split that holds its middle, so a large file of one row group has many splits and all
+    its rows in one task.  The number of tasks grows with the scan's splits, which grow
+    with the files, so a task's share stays bounded.  Name several ``keys``: rows whose
+    first key is null or repeats then still spread."""
     try:
         want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
+        have = want if df.isStreaming else df.rdd.getNumPartitions()
     except Exception:          # no classic context: leave the plan as it is
         return df
-    if have < want:
-        return df.repartition(want, key)
-    return df
+    return df.repartition(max(want, have * TASKS_PER_SPLIT), *keys)
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +42,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The entity is the URL authority (``urlparse().netloc``); page order is the
     page id, which stands for the order pages entered the crawl result."""
-    df = spread(table(spark, sf_dir, "pages"), "page_id")
+    df = spread(table(spark, sf_dir, "pages"), "page_id", "url")
     return df.select("page_id", "url", "html",
                      authority(F.col("url")).alias("entity"),
                      F.col("page_id").alias("page_seq"))
