@@ -26,6 +26,7 @@ from sitelens.operators import sections as SC
 from sitelens.operators import usage as US
 from sitelens.session import scratch_dir
 from sitelens.sources.snapshots import SnapshotStore
+from sitelens.sources.tables import spread
 
 
 def _run(df: DataFrame, out: str, mode: str = "append", fmt: str = "parquet") -> None:
@@ -50,7 +51,7 @@ def stream_pages(spark: SparkSession, path: str, schema: str = "page_id bigint,
     r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    df = _read_dir(r, path)
+    df = spread(_read_dir(r, path), "page_id", "url")
     return df.select("page_id", "url", "html", authority(F.col("url")).alias("entity"),
                      F.col("page_id").alias("page_seq"))
 
