@@ -17,6 +17,7 @@ from sitelens.functions import html as H
 from sitelens.operators import links as LK
 from sitelens.plans import sqlfrag as S
 from sitelens.sources.tables import pages as read_pages
+from sitelens.sources.tables import spread
 
 SparkQuery = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, SparkQuery] = {}
@@ -158,9 +159,8 @@ SELECT entity, page_id AS doc_id, section, section_ord, hits, confidence FROM ds
 """)
 def document_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sitelens.sources.tables import table
-    from sitelens.sources.tables import spread
-    d = spread(table(spark, sf_dir, "documents"), "doc_id").select(F.col("source").alias("entity"),
-                                                  F.col("doc_id").alias("page_id"), F.col("text"))
+    d = spread(table(spark, sf_dir, "documents"), "doc_id", "text").select(
+        F.col("source").alias("entity"), F.col("doc_id").alias("page_id"), F.col("text"))
     out = SC.page_sections(d, content="text", sections=SECTIONS)
     return out.withColumnRenamed("page_id", "doc_id")
 
@@ -863,7 +863,7 @@ SELECT {_DOC_HASH} AS content_hash, count(*) AS n_copies, min(doc_id) AS keep_do
 FROM documents GROUP BY {_DOC_HASH} HAVING count(*) > 1
 """)
 def duplicate_content(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return DD.duplicate_groups(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return DD.duplicate_groups(spread(table(spark, sf_dir, "documents"), "doc_id", "text"), "doc_id", "text")
 
 
 @register("distinct_documents", f"""
@@ -872,7 +872,8 @@ SELECT d.doc_id, g.content_hash FROM documents d JOIN (
 ON g.keep_doc_id = d.doc_id
 """)
 def distinct_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return DD.keep_first(table(spark, sf_dir, "documents"), "doc_id", "text").select("doc_id", "content_hash")
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return DD.keep_first(docs, "doc_id", "text").select("doc_id", "content_hash")
 
 
 @register("schema_issues_full", f"""WITH {_MERGE_CTE},
@@ -899,8 +900,7 @@ def schema_issues_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("document_sections_large", ORACLES["document_sections"])
 def document_sections_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sitelens.operators import vocabmatch as VM
-    from sitelens.sources.tables import spread
-    d = spread(table(spark, sf_dir, "documents"), "doc_id").select(
+    d = spread(table(spark, sf_dir, "documents"), "doc_id", "text").select(
         F.col("source").alias("entity"), F.col("doc_id").alias("page_id"), "text")
     out = VM.page_sections_large(d, "text", VM.vocab_table(spark, SECTIONS))
     return out.withColumnRenamed("page_id", "doc_id")
