@@ -39,3 +39,15 @@ def test_main_content_job(spark):
                          (2, "http://h.x/b", "<body><p>y</p></body>")])
     out = {r.page_id: (r.title, r.content, r.dom_content) for r in CT.main_content(p).collect()}
     assert out == {1: ("T", "x ", "x"), 2: (None, "y", "y")}
+
+
+def test_results_are_handed_back_a_few_pages_at_a_time(spark):
+    """A batch of many pages gives its rows in order, whatever its size."""
+    from sitelens.operators import content as CT
+    n = 2 * CT.PAGES_AT_ONCE + 7
+    html = F.concat(F.lit("<html><body><main><p>page "), F.col("id"), F.lit("</p></main></body></html>"))
+    pages = spark.range(0, n, 1, 1).select(F.lit("s").alias("entity"), F.col("id").alias("page_id"), F.lit("u").alias("url"),
+                                           F.when(F.col("id") != 5, html).alias("html"))
+    rows = CT.main_content(pages).collect()
+    assert [r.page_id for r in rows] == list(range(n))
+    assert all(r.dom_content == f"page {r.page_id}" for r in rows if r.page_id != 5) and rows[5].dom_content == ""
