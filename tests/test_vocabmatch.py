@@ -24,3 +24,16 @@ def test_thousands_of_terms_of_any_length(spark):
     p = spark.createDataFrame([("e", i, t) for i, t in enumerate(texts)], "entity string, page_id bigint, content string")
     got = {(r.page_id, r.keyword) for r in VM.matched_terms(p, "content", VM.vocab_table(spark, {"s": words})).collect()}
     assert got == {(i, w) for i, t in enumerate(texts) if t for w in set(words) if w in t.lower()}
+
+
+def test_only_candidate_runs_leave_a_task(spark):
+    """Runs no keyword is filed under are dropped before the join, keywords of every length are found."""
+    texts = spark.createDataFrame([("s", 1, "x y \U0001F600z " + "abcdefghij " * 500), ("s", 2, ""), (None, 3, "gpa"), ("t", 4, "gp")],
+                                  "entity string, page_id long, low string")
+    vocab = spark.createDataFrame([("a", 0, "gpa"), ("a", 0, "\U0001F600z"), ("b", 1, "y"), ("b", 1, "cdefgh")],
+                                  "section string, section_ord int, keyword string")
+    filed = vocab.selectExpr("keyword", "substring(keyword, 1, 4) AS run")
+    runs = VM._asked_runs(texts, VM._filter(filed))
+    assert {(r.page_id, r.run) for r in runs.collect()} == {(1, "\U0001F600z"), (1, "y"), (1, "cdef"), (3, "gpa")}
+    found = VM.matched_terms(texts.withColumnRenamed("low", "text"), "text", vocab)
+    assert {(r.page_id, r.keyword) for r in found.collect()} == {(1, "\U0001F600z"), (1, "y"), (1, "cdefgh")}
