@@ -14,13 +14,19 @@ versions before its own only; a batch that is replayed gives the same and is kep
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelens.session import cut_lineage, scratch_dir
+from sitelens.session import scratch_dir, stored
 from sitelens.sources.snapshots import SnapshotStore
 
 
+#: Rounds of one batch that are read one by one.
+COMPACT_EVERY = 16
+
+
 class ReachState:
     """seeds(entity, url); links(src, dst) belong to the sites whose URLs reach them."""
 
@@ -36,15 +42,18 @@ class ReachState:
         version = batch + 1
         new = self.links.save(version, links.select("src", "dst").distinct())
         earlier = [v for v in self.links.versions() if v <= version]
-        known = self._least(self.depths.read(*[v for v in self.depths.versions() if v < version]))
+        known = stored(self._least(self.depths.read(*[v for v in self.depths.versions() if v < version])), "reach-known")
         every = self.links.read(*earlier)
         better = self._improved(known, new, known)
-        found = better
+        rounds = [better]
+        found = []
         while not better.isEmpty():
-            known = self._least(known.unionByName(better))
-            better = self._improved(better, every, known)
-            found = found.unionByName(better)
-        self.depths.save(version, self._least(found))
+            if len(rounds) >= COMPACT_EVERY:      # keeps the plans bounded in size
+                found = [stored(self._least(_union(found + rounds)), "reach-found")]
+                rounds = []
+            better = self._improved(better, every, _union([known, *found, *rounds]))
+            rounds.append(better)
+        self.depths.save(version, self._least(_union(found + rounds)))
 
     def reached(self) -> DataFrame:
         """``entity, url, depth`` after the last batch."""
@@ -55,12 +64,19 @@ class ReachState:
         return rows.groupBy("entity", "url").agg(F.min("depth").alias("depth"))
 
     def _improved(self, start: DataFrame, links: DataFrame, known: DataFrame) -> DataFrame:
-        """URLs that one step from ``start`` reaches on a shorter way than is known."""
-        step = self._least(start.join(links, F.col("url") == F.col("src"))
-                           .select("entity", F.col("dst").alias("url"), (F.col("depth") + 1).alias("depth")))
-        before = known.withColumnRenamed("depth", "before")
-        rows = step.join(before, ["entity", "url"], "left")
-        return cut_lineage(rows.where(F.col("before").isNull() | (F.col("depth") < F.col("before"))).drop("before"))
+        """URLs that one step from ``start`` reaches on a shorter way than is known (in any
+        of several rows).  New and known depths meet in one aggregate and the links by a
+        shuffle, so no table passes through the driver."""
+        step = (start.hint("shuffle_hash").join(links, F.col("url") == F.col("src"))
+                .select("entity", F.col("dst").alias("url"), (F.col("depth") + 1).alias("depth"), F.lit(None).cast("int").alias("before")))
+        both = step.unionByName(known.select("entity", "url", F.lit(None).cast("int").alias("depth"), F.col("depth").alias("before")))
+        least = both.groupBy("entity", "url").agg(F.min("depth").alias("depth"), F.min("before").alias("before"))
+        return stored(least.where(F.col("depth").isNotNull() & (F.col("before").isNull() | (F.col("depth") < F.col("before"))))
+                      .drop("before"), "reach-round")
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
 
 
 def run_reach(seeds: DataFrame, links_path: str, links_schema: str, max_files: int = 1) -> DataFrame:
