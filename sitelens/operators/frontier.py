@@ -13,11 +13,11 @@ With a ``SnapshotStore`` every round is published as a version of the crawl's re
 (``history`` gives the counts after each).  A crawl that ended between rounds, or in
 one, goes on from the last published round when it is called again.
 
-Each round's new rows are cut from their lineage with a reliable
-``checkpoint()`` into the session's checkpoint folder, so a lost executor
-only recomputes one round, and the plan does not grow with the round count.
-The links side is hash-partitioned on its join key once and checkpointed, so
-later rounds shuffle only the (small) frontier.
+Each round's new rows are written to a folder of their own below the session's
+checkpoint folder, so a lost executor only recomputes one round, and the plan does not
+grow with the round count.  What is visited is read as files, in as many tasks as its
+size asks for and not as rounds times partitions.  The links are written once; a small
+frontier goes to them, and only pages with huge link lists are known by name.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitelens.session import cut_lineage, ensure_checkpoint_dir
+from sitelens.session import cut_lineage, ensure_checkpoint_dir, stored
 from sitelens.sources.snapshots import SnapshotStore
 
 
@@ -34,12 +34,17 @@ from sitelens.sources.snapshots import SnapshotStore
 LINKS_PER_CELL = 10_000
 
 
+def _hubs(links: DataFrame) -> DataFrame:
+    """The pages whose links take several cells, and how many."""
+    return (links.groupBy("src").agg(F.ceil(F.count(F.lit(1)) / LINKS_PER_CELL).alias("parts"))
+            .where(F.col("parts") > 1))
+
+
 def _cells(edges: DataFrame) -> DataFrame:
     """Links keyed by (src, salt): a page with a huge link list is spread over
     as many cells as its measured number of links asks for."""
     links = edges.select("src", "dst", "priority").distinct()
-    hubs = (links.groupBy("src").agg(F.ceil(F.count(F.lit(1)) / LINKS_PER_CELL).alias("parts"))
-            .where(F.col("parts") > 1))
+    hubs = _hubs(links)
     salt = F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.hash("dst"), F.col("parts")))
     return links.join(hubs, "src", "left").select("src", salt.cast("int").alias("salt"), "dst", "priority")
 
@@ -59,14 +64,14 @@ def crawl(seeds: DataFrame, edges: DataFrame, page_sections: DataFrame | None =
     if "priority" not in edges.columns:
         edges = edges.withColumn("priority", F.lit("high"))
     # partition numbers are left to the session and to adaptive execution
-    links = cut_lineage(_cells(edges).repartition("src", "salt"))
-    cells = cut_lineage(links.select("src", "salt").distinct())
+    links = stored(_cells(edges), "crawl-links")
+    hubs = stored(_hubs(links), "crawl-hubs")
 
     coverage = page_sections is not None and bool(required)
     if coverage:
         page_sections = cut_lineage(page_sections.select("url", "section").distinct())
     def keep(rows: DataFrame, version: int) -> DataFrame:
-        return snapshots.save(version, rows) if snapshots else cut_lineage(rows)
+        return snapshots.save(version, rows) if snapshots else stored(rows, "crawl-round")
 
     done = snapshots.versions() if snapshots else []
     if done:
@@ -89,8 +94,9 @@ def crawl(seeds: DataFrame, edges: DataFrame, page_sections: DataFrame | None =
             per_site = found.groupBy("entity").agg(F.collect_set("section").alias("found"))
             done_sites = per_site.where(F.size(F.array_except(need, F.col("found"))) == 0).select("entity")
             active = frontier.join(done_sites, "entity", "left_anti")
+        salts = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("parts") - 1, F.lit(0)).cast("int")))
         step = (active.select("entity", F.col("url").alias("src"))
-                .join(cells, "src")
+                .join(hubs, "src", "left").select("entity", "src", salts.alias("salt"))
                 .join(links, ["src", "salt"])
                 .groupBy("entity", F.col("dst").alias("url"))
                 .agg(F.min(F.when(F.col("priority") == "high", 0)
@@ -112,7 +118,7 @@ def crawl(seeds: DataFrame, edges: DataFrame, page_sections: DataFrame | None =
             held = held[-2:]
         if len(pieces) > compact_every:
             # keep the visited union (and every later plan) bounded in size
-            pieces = [cut_lineage(_union(pieces))]
+            pieces = [stored(_union(pieces), "crawl-visited")]
             if coverage:
                 found = cut_lineage(found)
     return _union(pieces)
