@@ -90,3 +90,10 @@ def test_the_writer_keeps_the_order(spark):
     pieces = spark.createDataFrame([("s", i, "x") for i in range(10)], "entity string, n bigint, value string")
     out = PT.dealt(pieces, ["n"], 4)
     assert not out.schema["entity"].nullable and out.rdd.getNumPartitions() == 4
+
+
+def test_number_of_parts_is_bounded_for_small_parts():
+    assert [PT.parts_of(n, 500) for n in (0, 1, 501, 10_000)] == [0, 1, 2, 20]
+    assert PT.parts_of(10_000_000, 500) == PT.SMALL_PARTS
+    assert PT.parts_of(100_000_000, 500) == 500 == PT.parts_of(100_000_000, PT.PIECES_PER_PART)
+    assert PT.parts_of(5_000_000, 1_000_000) == 5
