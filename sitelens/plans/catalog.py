@@ -1070,7 +1070,9 @@ SELECT entity, row_number() OVER (PARTITION BY entity ORDER BY body, page_seq, f
 def report_documents_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Validation reports, written in parts and read back line by line."""
     from sitelens.sources import sinks as SK
-    results = _validation(spark, sf_dir)
+    from sitelens.session import stored
+    # pairs are compared once, for the head and for the body
+    results = stored(_validation(spark, sf_dir), "report-results")
     return _read_back(spark, SK.report_pieces(results, VD.summary(results, ["entity"]), RUN_TS), SK.REPORT_ORDER,
                       "report-documents")
 

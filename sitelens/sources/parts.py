@@ -23,6 +23,10 @@ from sitelens.session import scratch_dir
 #: Pieces of one part, about: ranges come from a sample.
 PIECES_PER_PART = 200_000
 
+#: A caller may ask for smaller parts, up to this number of parts; documents that would
+#: take more get larger parts, as a task and a file a few pieces cost more than they hold.
+SMALL_PARTS = 64
+
 PARTITIONS = T.StructType([T.StructField("entity", T.StringType()), T.StructField("split", T.LongType())])
 
 _LIST = "entity string, part long, split long, n_bytes long, offset long"
@@ -38,7 +42,7 @@ def write_parts(pieces: DataFrame, order: list[str], root: str, pieces_per_part:
     # counted, sampled and written from one stored copy
     pieces.select(F.coalesce("entity", F.lit("")).alias("entity"), *order, "value").write.parquet(stored)
     rows = spark.read.parquet(stored)
-    n = -(-rows.count() // pieces_per_part)
+    n = parts_of(rows.count(), pieces_per_part)
     if not n:       # no files, of which a reader could tell the columns
         spark.createDataFrame([], _LIST).write.parquet(f"{root}/list")
         return part_list(spark, root)
@@ -54,6 +58,11 @@ def write_parts(pieces: DataFrame, order: list[str], root: str, pieces_per_part:
     return part_list(spark, root)
 
 
+def parts_of(n_pieces: int, pieces_per_part: int) -> int:
+    """How many parts: as asked for up to ``SMALL_PARTS``, then of PIECES_PER_PART pieces."""
+    return max(min(-(-n_pieces // pieces_per_part), SMALL_PARTS), -(-n_pieces // max(pieces_per_part, PIECES_PER_PART)))
+
+
 def dealt(rows: DataFrame, order: list[str], n: int) -> DataFrame:
     """entity, split, value in ``n`` ranges, each sorted.  The entity is given as never
     null: the writer would else replace it and sort anew, by entity and split alone."""
