@@ -4,109 +4,180 @@ A leaf of n words holds on a page if its text or at least three quarters of its
 are substrings of the page's text.  A word has no white space, so it is a substring of
 the text just if it is one of a single page word.  Hence:
 
-1. the different words of each site's pages are stored with the pages that hold them;
-2. a leaf's words are looked up among them by their rarest run of ``GRAM`` characters
-   and verified, which gives each the page words it stands in and how many pages at
-   most hold it;
+1. a site's pages are dealt over cells of about ``CHARS_PER_CELL`` characters, and the
+   site's leaves go to each of its cells;
+2. in a cell every different page word is looked through once for the leaves' words, by
+   its runs of characters that are as long as the start of one of them, which gives each
+   word the pages it stands on;
 3. of n words of which m must stand on a page, one of any n - m + 1 must: the rarest
    n - m + 1 give the candidate pages, and only these are compared with the whole leaf;
-4. leaves that hold on every page (skipped ones and empty texts) and pairs that are no
+4. a cell returns a row for each leaf it holds, with counts and its first page, so the
+   pairs themselves are nowhere kept or sent;
+5. leaves that hold on every page (skipped ones and empty texts) and pairs that are no
    candidates are counted from the number of the site's pages, not visited.
 
+The work of 2. grows with the pages' words, times the different lengths of those starts
+(``START`` at most).  Leaves are sent once a cell: a row for each leaf and ``CHARS_PER_CELL``
+characters of its site.
+
 A page may count several times (``times``), as in a record's list of URLs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitelens import vocab
 from sitelens.operators import validate as VD
 from sitelens.session import cut_lineage
 
-GRAM = 3
-
-
-def _grams(word: Column, size: Column) -> Column:
-    """The different runs of ``size`` characters; none where the word is shorter."""
-    last = F.char_length(word) - size + 1
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.substring(word, i, size))
-    return F.when(last >= 1, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
-
-
-def page_words(pages: DataFrame) -> DataFrame:
-    """pages(entity, page_seq, content_norm) -> ``entity, token, page_seq``, each once."""
-    return (pages.select("entity", "page_seq", F.explode(F.array_distinct(F.split("content_norm", " "))).alias("token"))
-            .where(F.col("token") != "").select("entity", "token", "page_seq"))
-
-
-def word_tokens(words: DataFrame, postings: DataFrame) -> DataFrame:
-    """words(entity, word) -> ``entity, word, token, pages``: the site's page words that the
-    word stands in, and the number of pages of each."""
-    tokens = cut_lineage(postings.groupBy("entity", "token").agg(F.count(F.lit(1)).alias("pages")))
-    size = F.least(F.char_length("word"), F.lit(GRAM))
-    runs = cut_lineage(words.withColumn("gram", F.explode(_grams(F.col("word"), size))))
-    # page words are filed under the runs that are asked for only
-    every = F.flatten(F.array(*[_grams(F.col("token"), F.lit(n)) for n in range(1, GRAM + 1)]))
-    filed = cut_lineage(tokens.withColumn("gram", F.explode(every))
-                        .join(runs.select("entity", "gram").distinct(), ["entity", "gram"], "left_semi"))
-    common = filed.groupBy("entity", "gram").agg(F.count(F.lit(1)).alias("n"))
-    asked = (runs.join(common, ["entity", "gram"], "left")
-             .groupBy("entity", "word").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("rare"))
-             .where("rare.n > 0").select("entity", "word", F.col("rare.gram").alias("gram")))
-    # a site's common run of characters is asked for by many words: both sides are plain rows, so the join can be split
-    return (cut_lineage(asked).join(filed, ["entity", "gram"])
-            .where(F.col("token").contains(F.col("word"))).select("entity", "word", "token", "pages"))
-
-
-def candidates(leaves: DataFrame, postings: DataFrame) -> DataFrame:
-    """leaves(entity, leaf, words, n_words) -> ``entity, leaf, page_seq``: each pair that
-    can match, once."""
-    spots = leaves.where("n_words > 0").select("entity", "leaf", "n_words", F.posexplode("words").alias("at", "word"))
-    tokens = cut_lineage(word_tokens(spots.select("entity", "word").distinct(), postings))
-    often = tokens.groupBy("entity", "word").agg(F.sum("pages").alias("often"))
-    by_leaf = Window.partitionBy("entity", "leaf").orderBy(F.coalesce("often", F.lit(0)), "at")
-    # a leaf of one word must stand there exactly, so with that word
-    probes = F.col("n_words") - F.greatest(F.ceil(F.col("n_words") * F.lit(vocab.FUZZY_SHARE)), F.lit(1)) + 1
-    asked = (spots.join(often, ["entity", "word"], "left").withColumn("rank", F.row_number().over(by_leaf))
-             .where(F.col("rank") <= probes).select("entity", "leaf", "word").distinct())
-    return (asked.join(tokens.select("entity", "word", "token"), ["entity", "word"])
-            .select("entity", "leaf", "token").distinct()
-            .join(postings, ["entity", "token"]).select("entity", "leaf", "page_seq").distinct())
+#: Characters of a site's normalised page texts that one cell holds.
+CHARS_PER_CELL = 8_000_000
+#: Characters of a word that a page word is looked through for; the rest is compared then.
+START = 24
+
+
+def words_on_pages(words: dict[str, int], texts: list[str]) -> list[np.ndarray]:
+    """For each text the numbers of the ``words`` (word -> number) that are substrings of it."""
+    starts: dict[str, list[str]] = {}
+    for w in words:
+        starts.setdefault(w[:START], []).append(w)
+    lengths = {len(s) for s in starts}
+    known: dict[str, set[int]] = {}
+
+    def within(token: str) -> set[int]:
+        return {words[w] for n in lengths for i in range(len(token) - n + 1)
+                for w in starts.get(token[i:i + n], ()) if token.startswith(w, i)}
+
+    out = []
+    for text in texts:
+        found: set[int] = set()
+        for token in set(text.split(" ")):
+            held = known.get(token)
+            if held is None:
+                held = known[token] = within(token)
+            found.update(held)
+        out.append(np.fromiter(found, np.int64, len(found)))
+    return out
+
+
+def compared(values: list[str], texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """``(leaf, pages, matched, exact)`` for each of the normalised ``values``: the candidate
+    pages among ``texts``, ascending, the value's words that stand on each, and whether the
+    value does as a whole."""
+    asked = [v.split(" ") for v in values]
+    number = {w: k for k, w in enumerate(dict.fromkeys(w for words in asked for w in words))}
+    present = words_on_pages(number, texts)
+    word = np.concatenate([np.empty(0, np.int64), *present])
+    page = np.repeat(np.arange(len(texts)), [len(p) for p in present])[np.argsort(word, kind="stable")]
+    ends = np.cumsum(np.bincount(word, minlength=len(number)))
+    posting = [page[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+    for leaf, (value, words) in enumerate(zip(values, asked)):
+        lists = [posting[number[w]] for w in words]
+        if len(words) == 1:                   # stands there exactly, just where its word does
+            yield leaf, lists[0], np.ones(len(lists[0]), np.int64), np.ones(len(lists[0]), bool)
+            continue
+        probes = len(words) - math.ceil(len(words) * vocab.FUZZY_SHARE) + 1
+        pages = np.unique(np.concatenate(sorted(lists, key=len)[:probes]))
+        matched = np.zeros(len(pages), np.int64)
+        for held in filter(len, lists):
+            matched += held[np.minimum(np.searchsorted(held, pages), len(held) - 1)] == pages
+        exact = np.array([m == len(words) and value in texts[p] for p, m in zip(pages, matched)], bool)
+        yield leaf, pages, matched, exact
+
+
+def _cell(leaves: pa.Table, pages: pa.Table) -> tuple[list[dict], list[dict], Iterator]:
+    """The rows of a cell, pages in their order, and what was compared."""
+    rows, on = leaves.to_pylist(), pages.to_pylist()
+    on.sort(key=lambda p: tuple((p[k] is not None, p[k]) if p[k] is not None else (False,) for k in ("page_seq", "url")))
+    if not rows or not on:
+        return rows, on, iter(())
+    return rows, on, compared([r["cv"] for r in rows], [p["content_norm"] for p in on])
+
+
+def _leaf_counts(leaves: pa.Table, pages: pa.Table) -> pa.Table:
+    rows, on, found = _cell(leaves, pages)
+    times = np.array([p["times"] for p in on], np.int64)
+    out = []
+    for leaf, at, matched, exact in found:
+        row = rows[leaf]
+        valid = exact | (matched >= (row["cv"].count(" ") + 1) * vocab.FUZZY_SHARE)
+        if valid.any():
+            n, first = times[at] * row["same"], on[at[valid.argmax()]]
+            out.append((row["entity"], row["field_path"], first["url"], first["page_seq"], int(n[valid].sum()),
+                        int(n[exact].sum()), int(n[valid & ~exact].sum())))
+    return _table(out, pages, [("valid", pa.int64()), ("exact", pa.int64()), ("fuzzy", pa.int64())])
+
+
+def _pairs(leaves: pa.Table, pages: pa.Table) -> pa.Table:
+    rows, on, found = _cell(leaves, pages)
+    out = [(r["entity"], r["field_path"], on[p]["url"], on[p]["page_seq"], r["ord"], r["same"], on[p]["times"], False,
+            r["cv"], r["cv"].count(" ") + 1, int(m), bool(e))
+           for leaf, at, matched, exact in found for r in [rows[leaf]] for p, m, e in zip(at, matched, exact)]
+    return _table(out, pages, [("ord", pa.int32()), ("same", pa.int64()), ("times", pa.int64()), ("skip", pa.bool_()),
+                               ("cv", pa.string()), ("n_words", pa.int32()), ("matched", pa.int32()),
+                               ("exact", pa.bool_())])
+
+
+def _table(rows: list[tuple], pages: pa.Table, more: list[tuple]) -> pa.Table:
+    schema = pa.schema([("entity", pa.string()), ("field_path", pa.string()), ("url", pa.string()),
+                        ("page_seq", pages.schema.field("page_seq").type), *more])
+    columns = zip(*rows) if rows else [()] * len(schema)
+    return pa.table([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
 class IndexedValidation:
     """Validation results of leaves(entity, field_path, kind, value, ord) on pages(entity,
-    url, page_seq, text[, times]), held as compared pairs and as counts.
+    url, page_seq, text[, times]), held as counts of the leaves.
 
-    ``matches``: the compared pairs, as ``validate_fields`` gives them, with ``leaf`` and
-    ``times``.  ``everywhere``: the leaves that hold on every page.  ``sizes``: the site's
-    pages.  Pairs in neither match nowhere."""
+    ``found``: a row for each cell and leaf that holds on some of its pages.  ``everywhere``:
+    the leaves that hold on every page.  ``sizes``: the site's pages.  ``matches``: the
+    compared pairs, computed when asked for; all other pairs match nowhere."""
 
-    def __init__(self, leaves: DataFrame, pages: DataFrame):
+    def __init__(self, leaves: DataFrame, pages: DataFrame, chars_per_cell: int = CHARS_PER_CELL):
         times = F.col("times") if "times" in pages.columns else F.lit(1)
         self.pages = cut_lineage(pages.select("entity", "url", "page_seq", times.cast("bigint").alias("times"),
                                               VD.normalise(F.col("text")).alias("content_norm")))
-        leaf = F.xxhash64("field_path", "kind", "value", "ord")
         # rows that are equal in all this are one leaf that counts ``same`` times
         one = leaves.groupBy("entity", "field_path", "kind", "value", "ord").agg(F.count(F.lit(1)).alias("same"))
-        self.leaves = cut_lineage(VD.prepare_leaves(one).withColumn("leaf", F.struct(leaf.alias("h"), "field_path")))
+        self.leaves = cut_lineage(VD.prepare_leaves(one).drop("words"))
         self.everywhere = self.leaves.where(F.col("skip") | (F.col("cv") == ""))
-        compared = self.leaves.where(~F.col("skip") & (F.col("cv") != ""))
-        pairs = candidates(compared, cut_lineage(page_words(self.pages)))
-        rows = (pairs.join(compared, ["entity", "leaf"]).join(self.pages, ["entity", "page_seq"]))
-        self.matches = cut_lineage(VD.check_fields(rows, None, ("same", "times")))
         self.sizes = self.pages.groupBy("entity").agg(
             F.sum("times").alias("n_pages"), F.min(F.struct("page_seq", "url")).alias("first_page"))
+        self._chars = chars_per_cell
+        self.found = self._by_cell(_leaf_counts, "valid bigint, exact bigint, fuzzy bigint")
+
+    @property
+    def matches(self) -> DataFrame:
+        """The compared pairs, as ``validate_fields`` gives them, with ``same`` and ``times``."""
+        pairs = self._by_cell(_pairs, "ord int, same bigint, times bigint, skip boolean, cv string, "
+                                      "n_words int, matched int, exact boolean")
+        return VD.judged(pairs, ("same", "times"))
+
+    def _by_cell(self, work, more: str) -> DataFrame:
+        """``entity, field_path, url, page_seq`` and the columns ``more`` of ``work`` on each cell."""
+        texts = self.pages.where(F.col("entity").isNotNull() & (F.col("content_norm") != ""))
+        parts = texts.groupBy("entity").agg(
+            F.ceil(F.sum(F.char_length("content_norm")) / self._chars).alias("_parts"))
+        cell = F.pmod(F.xxhash64("page_seq", "url"), F.col("_parts")).alias("cell")
+        dealt = texts.join(parts, "entity").select("entity", cell, "url", "page_seq", "times", "content_norm")
+        cells = parts.select("entity", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1)).alias("cell"))
+        leaves = (self.leaves.where(~F.col("skip") & (F.col("cv") != "")).join(cells, "entity")
+                  .select("entity", "cell", "field_path", "ord", "same", "cv"))
+        seq = self.pages.schema["page_seq"].dataType.simpleString()
+        return leaves.groupBy("entity", "cell").cogroup(dealt.groupBy("entity", "cell")).applyInArrow(
+            work, f"entity string, field_path string, url string, page_seq {seq}, {more}")
 
     def _per_leaf(self) -> DataFrame:
         """``entity, field_path, total, valid, exact, fuzzy, skipped, first`` by field path."""
-        n = F.col("same") * F.col("times")
-        hit = self.matches.where("is_valid")
-        found = hit.groupBy("entity", "field_path").agg(
-            F.sum(n).alias("valid"), F.sum(F.when(F.col("notes").contains("Exact match"), n).otherwise(0)).alias("exact"),
-            F.sum(F.when(F.col("notes").contains("Fuzzy match"), n).otherwise(0)).alias("fuzzy"),
+        found = self.found.groupBy("entity", "field_path").agg(
+            F.sum("valid").alias("valid"), F.sum("exact").alias("exact"), F.sum("fuzzy").alias("fuzzy"),
             F.min(F.struct("page_seq", "url")).alias("first"))
         held = self.everywhere.groupBy("entity", "field_path").agg(
             F.sum("same").alias("always"), F.sum(F.when(F.col("skip"), F.col("same")).otherwise(0)).alias("skip"))

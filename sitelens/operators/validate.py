@@ -69,17 +69,22 @@ def check_fields(pairs: DataFrame, run_ts: str | None = None, more: tuple[str, .
         F.when(F.col("skip") | F.col("exact"), F.lit(None))
         .when(F.col("n_words") <= 1, F.lit(0))
         .otherwise(F.size(F.filter("words", lambda w: cc.contains(w)))).alias("matched"))
+    out = judged(step, more)
+    if run_ts:
+        out = out.withColumn("validation_date", F.to_timestamp(F.lit(run_ts)))
+    return out
+
+
+def judged(step: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
+    """``check_fields``'s columns from skip, cv, n_words, exact and matched of each pair."""
     fuzzy_ok = F.col("matched") >= F.col("n_words") * F.lit(vocab.FUZZY_SHARE)
     is_valid = F.when(F.col("skip") | F.col("exact"), True).otherwise(fuzzy_ok)
     source = F.when(F.col("skip"), "").when(F.col("exact") | fuzzy_ok, F.col("cv")).otherwise("")
     notes = (F.when(F.col("skip"), SKIPPED).when(F.col("exact"), EXACT)
              .when(fuzzy_ok, F.format_string("Fuzzy match (%d/%d words)", F.col("matched"), F.col("n_words")))
              .otherwise(NO_MATCH))
-    out = step.select("entity", "field_path", "ord", "url", "page_seq", *more, is_valid.alias("is_valid"),
-                      source.alias("source_text"), notes.alias("notes"))
-    if run_ts:
-        out = out.withColumn("validation_date", F.to_timestamp(F.lit(run_ts)))
-    return out
+    return step.select("entity", "field_path", "ord", "url", "page_seq", *more, is_valid.alias("is_valid"),
+                       source.alias("source_text"), notes.alias("notes"))
 
 
 def validate_fields(leaves: DataFrame, pages: DataFrame, pages_per_cell: int = PAGES_PER_CELL,

@@ -59,6 +59,23 @@ def test_a_page_counts_as_often_as_it_is_listed(spark):
                                                             "entity", *SUMMARY)
 
 
+def test_a_cell_sends_a_row_a_leaf_however_many_pages_it_stands_on(spark):
+    words = ["the", "he", "then" * 9, "then" * 8 + "thex", "a" * 40]
+    leaves = spark.createDataFrame([("s", f"tags[{k}]", "string", w, 0) for k, w in enumerate([*words, "the he nowhere a"])],
+                                   "entity string, field_path string, kind string, value string, ord int")
+    pages = spark.createDataFrame([("s", f"http://s/{k}", k, f"the {'then' * 9} x{k} " + "a" * (k % 50)) for k in range(600)],
+                                  "entity string, url string, page_seq bigint, text string")
+    every = VD.validate_fields(leaves, pages).cache()
+    for chars, cells in ((10**6, 1), (10**4, 5)):
+        got = MI.IndexedValidation(leaves, pages, chars)
+        assert got.found.count() <= 5 * cells < 600 < got.matches.count()
+        assert rows(got.summary(), "entity", *SUMMARY) == rows(VD.summary(every, ["entity"]), "entity", *SUMMARY)
+        names = ["field_path", "valid_anywhere", "first_source_url", "pages_checked"]
+        assert rows(got.verdicts(), *names) == rows(VD.verdicts(every), *names)
+    names = ["field_path", "url", "is_valid", "source_text", "notes"]
+    assert rows(got.matches.where("is_valid"), *names) == rows(every.where("is_valid"), *names)
+
+
 def random_value(rnd, depth=0):
     kinds = [0, 1, None, "", "x", "y", True, [], [1], [1, 1, 2], ["x", {"k": 1}], {}]
     if depth < 2 and rnd.random() < 0.4:
