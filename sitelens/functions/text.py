@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 # Whitespace as Python's str.split()/strip() sees it, Unicode included.
 WS = "[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+WS_NO_BLANK = WS.replace("\x1c-\x20", "\x1c-\x1f")
 
 # Character references: decimal, hexadecimal, or a name of the HTML5 table.
 REFERENCE_RE = "^(#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,7}|[A-Za-z][A-Za-z0-9]*);"
@@ -78,8 +79,9 @@ def strip_ws(c: Column) -> Column:
 
 
 def squash_ws(c: Column) -> Column:
-    """``' '.join(s.split())``: runs of whitespace to one blank, trimmed."""
-    return strip_ws(F.regexp_replace(c, f"{WS}+", " "))
+    """``' '.join(s.split())``: runs of whitespace to one blank, trimmed.  Blanks that
+    stand alone are left where they are; no other whitespace is left to trim."""
+    return F.trim(F.regexp_replace(c, f" {WS}+|{WS_NO_BLANK}{WS}*", " "))
 
 
 def any_contains(c: Column, words: list[str]) -> Column:

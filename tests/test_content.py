@@ -53,3 +53,22 @@ def test_results_are_handed_back_a_few_pages_at_a_time(spark):
     rows = CT.main_content(pages).collect()
     assert [r.page_id for r in rows] == list(range(n))
     assert all(r.dom_content == f"page {r.page_id}" for r in rows if r.page_id != 5) and rows[5].dom_content == ""
+
+
+def test_whitespace_is_squashed_as_python_does(spark):
+    import random
+    from pyspark.sql import functions as F
+    from sitelens.functions.text import squash_ws
+    rnd = random.Random(4)
+    texts = ["".join(rnd.choices("ab  \t\n\r\x1c\x1f\x85\xa0\u2003\u2028\u3000\x0b", k=rnd.randrange(12))) for _ in range(400)]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(squash_ws(F.col("t")).alias("s")).collect()
+    assert [r.s for r in got] == [" ".join(t.split()) for t in texts]
+
+
+def test_every_name_of_a_character_is_decoded(spark):
+    import html.entities
+    from pyspark.sql import functions as F
+    from sitelens.functions.text import unescape
+    names = [(f"a&{k}b&{k}", f"a{v}b{v}") for k, v in html.entities.html5.items() if k.endswith(";")]
+    got = spark.createDataFrame(names, "t string, want string").where(unescape(F.col("t")) != F.col("want")).collect()
+    assert not got and len(names) > 2000
