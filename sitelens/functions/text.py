@@ -40,11 +40,16 @@ def bind(value: Column, body) -> Column:
 
 def _character(name: Column) -> Column:
     """What a reference's name stands for, NULL if nothing."""
-    table = F.lit("".join(f"&{k};{v}\x01" for k, v in sorted(_names().items())))
+    import html.entities
+    names = _names()
+    # the names of HTML 4 are looked up in a short text first: a look-up reads the whole text
+    usual, table = (F.lit("".join(f"&{k};{names[k]}\x01" for k in sorted(some)))
+                    for some in (html.entities.name2codepoint, names))
 
     def named(key: Column) -> Column:
-        return F.when(F.contains(table, key), F.substring_index(F.call_function("substring_index", table, key, F.lit(-1)),
-                                                                   "\x01", 1))
+        def behind(text: Column) -> Column:
+            return F.substring_index(F.call_function("substring_index", text, key, F.lit(-1)), "\x01", 1)
+        return F.when(F.contains(usual, key), behind(usual)).when(F.contains(table, key), behind(table))
 
     def numbered(code: Column) -> Column:
         return (F.when((code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF), F.lit("\ufffd"))
