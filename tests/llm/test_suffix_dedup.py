@@ -103,3 +103,23 @@ def test_no_rows_and_other_columns(spark):
     rows = [(1, "y" * 50, 3, "a"), (2, "z" * 10, 4, "b")]
     frame = spark.createDataFrame(rows, SCHEMA + ", first int, k1 string")
     assert {(r.doc_id, r.n_removed) for r in S.removed_spans(frame, length=40).collect()} == {(1, 50), (2, 0)}
+
+
+def test_query_goes_by_400_bytes_not_by_words(spark, tmp_path):
+    from sitelens.llm.queries import op13_suffix_dedup
+    rnd = random.Random(13)
+    word = lambda n: "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    passage = " ".join(word(4) for _ in range(80))     # 399 bytes
+    sixty = " ".join(word(5) for _ in range(60))       # 359 bytes
+    fill = lambda: word(300)
+    line = word(450)
+    rows = [(1, fill() + "1" + passage + "2" + fill()), (2, fill() + "3" + passage + "4" + fill()),
+            (3, fill() + "5" + passage[::-1] + "6" + fill()), (4, fill() + "7" + passage[::-1] + "6" + fill()),
+            (5, f"{fill()}\n{sixty}\n{fill()}"), (6, f"{fill()}\n{sixty}\n{fill()}"),
+            (7, f"{line}\n{fill()}\n{line}"), (8, fill()), (9, None)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r for r in op13_suffix_dedup(spark, str(tmp_path)).collect()}
+    assert {i: (r.n_removed, r.n_spans) for i, r in found.items()} == {
+        1: (0, 0), 2: (0, 0), 3: (400, 1), 4: (400, 1), 5: (0, 0), 6: (0, 0), 7: (900, 2), 8: (0, 0), 9: (0, 0)}
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found.values()) == [
+        (i, n, gone, len(spans), sha) for i, n, gone, spans, sha in brute(rows, 400)]
