@@ -201,7 +201,8 @@ def links(fps: DataFrame, max_distance: int) -> DataFrame:
         probes = probe if probes is None else probes.union(probe)
         index = entry if index is None else index.union(entry)
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance
-    return (probes.join(index, ["part", "value"]).where((F.col("a") < F.col("b")) & near)
+    # Spark sizes the probes as if the explode added no rows: never broadcast, one plan at every size
+    return (probes.hint("merge").join(index, ["part", "value"]).where((F.col("a") < F.col("b")) & near)
             .select("a", "b").distinct())
 
 

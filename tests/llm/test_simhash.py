@@ -7,6 +7,7 @@ import numpy as np
 import xxhash
 
 from sitelens.llm import simhash as S
+from sitelens.llm.common import materialize
 from sitelens.llm.components import connected_components
 
 
@@ -88,6 +89,16 @@ def test_links_lose_no_pair(spark):
             S.CANDIDATE_COST = old
 
 
+def test_probes_are_not_broadcast(spark):
+    # 40 stored fingerprints are a small table to Spark, their probes are 66 times as many
+    fps = {int(x) for x in np.random.default_rng(2).integers(0, 1 << 63, 40, dtype=np.int64)}
+    fps |= {f ^ 0b101 for f in fps}
+    found = S.links(materialize(spark.createDataFrame([(f,) for f in fps], "fp bigint"), "test-fps"), 3)
+    assert {frozenset(r) for r in found.collect()} == {frozenset((f, f ^ 0b101)) for f in fps}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_thresholds_sum_to_the_pigeonhole_bound():
     share = np.full(17, 1 / 17)
     _, t = S.allocate(1000, [(16, share), (16, share / 50), (16, share), (16, share)], 3)
