@@ -146,7 +146,8 @@ def exact_groups(docs: DataFrame, fingerprint_bits: int = 64) -> DataFrame:
     rows = sent.where("kind = 'row'").select("doc_id", "digest", "part", "owner", "pos", "again")
     bitmaps = (sent.where("kind = 'list'").select("part", "owner", "size", "k", "code")
                .groupBy("owner").applyInPandas(answer(owners), "part int, owner int, bitmap binary"))
-    marked = materialize(rows.join(bitmaps, ["part", "owner"]).select(
+    # the rows grow with the documents, Spark sizes them at an eighth: never broadcast
+    marked = materialize(rows.hint("merge").join(bitmaps, ["part", "owner"]).select(
         "doc_id", "digest", (F.col("again") | bit_at(F.col("bitmap"), F.col("pos"))).alias("suspect")),
         "dedup-marked")
 

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from sitelens.llm import exact_dedup as X
+from sitelens.llm.common import materialize
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 500])
@@ -70,3 +71,17 @@ def test_drop_copies_keeps_one_row_per_text(spark):
 
 def test_empty_table(spark):
     assert X.exact_groups(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def test_rows_are_not_broadcast(spark, monkeypatch):
+    plans = {}
+
+    def planned(df, name, by=None):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return materialize(df, name, by)
+
+    monkeypatch.setattr(X, "materialize", planned)
+    rows = [(i, f"text {i % 7}") for i in range(20)]
+    got = X.exact_groups(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in brute(rows)}
+    assert "SortMergeJoin" in plans["dedup-marked"] and "Broadcast" not in plans["dedup-marked"]
