@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sitelens.session import scratch_dir
+from sitelens.session import scratch_dir, stored
 
 #: Pieces of one part, about: ranges come from a sample.
 PIECES_PER_PART = 200_000
@@ -38,10 +38,10 @@ def write_parts(pieces: DataFrame, order: list[str], root: str, pieces_per_part:
     ``order`` is a total order within an entity.  ``root`` must be new: a run has a folder
     of its own, as its documents have a timestamp."""
     spark = pieces.sparkSession
-    stored = scratch_dir(spark, "pieces")
+    path = scratch_dir(spark, "pieces")
     # counted, sampled and written from one stored copy
-    pieces.select(F.coalesce("entity", F.lit("")).alias("entity"), *order, "value").write.parquet(stored)
-    rows = spark.read.parquet(stored)
+    pieces.select(F.coalesce("entity", F.lit("")).alias("entity"), *order, "value").write.parquet(path)
+    rows = spark.read.parquet(path)
     n = parts_of(rows.count(), pieces_per_part)
     if not n:       # no files, of which a reader could tell the columns
         spark.createDataFrame([], _LIST).write.parquet(f"{root}/list")
@@ -89,12 +89,29 @@ def read_parts(spark: SparkSession, root: str) -> DataFrame:
 
 def read_lines(spark: SparkSession, root: str) -> DataFrame:
     """entity, line (from 0 within the document), text; a part's lines follow those of
-    the parts before it."""
-    lines = F.split("text", "\n")
-    parts = read_parts(spark, root).select("entity", "part", F.slice(lines, 1, F.size(lines) - 1).alias("lines"))
-    before = Window.partitionBy("entity").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (parts.select("entity", "part", F.size("lines").cast("long").alias("n"))
-              .select("entity", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")))
-    return (parts.join(starts, ["entity", "part"])
-            .select("entity", "start", F.posexplode("lines").alias("pos", "text"))
-            .select("entity", (F.col("start") + F.col("pos")).alias("line"), "text"))
+    the parts before it.
+
+    The text source reads the files in splits, a row being a line: no part is held in a row, whatever its
+    size.  A line's number is its place in its split, and the lines of the splits and parts before."""
+    listed = part_list(spark, root)
+    if listed.isEmpty():
+        return spark.createDataFrame([], "entity string, line long, text string")
+    raw = (spark.read.schema(T.StructType([T.StructField("value", T.StringType()), *PARTITIONS]))
+           .option("lineSep", "\n").text(f"{root}/parts"))
+    block = ["entity", "split", "start"]
+    # counted and numbered from one stored copy, which fixes the ids
+    lines = stored(raw.select(F.coalesce("entity", F.lit("")).alias("entity"), "split",
+                              F.col("_metadata.file_block_start").alias("start"),
+                              F.monotonically_increasing_id().alias("id"), F.col("value").alias("text")), "lines")
+    part = Window.partitionBy("entity", "split")
+    before = Window.partitionBy("entity").orderBy("split", "start").rowsBetween(Window.unboundedPreceding, -1)
+    # one small row a split of a file; of a file's first bytes the text source drops a byte order mark
+    blocks = stored(
+        lines.groupBy(*block).agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"),
+                                  F.sum(F.octet_length("text") + 1).alias("read"))
+        .join(listed.select("entity", "split", "n_bytes"), ["entity", "split"])
+        .select(*block, "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"),
+                ((F.col("start") == 0) & (F.sum("read").over(part) < F.col("n_bytes"))).alias("marked")), "line-blocks")
+    mark = F.when(F.col("marked") & (F.col("id") == F.col("first")), "\ufeff").otherwise("")
+    return lines.join(blocks, block).select("entity", (F.col("offset") + F.col("id") - F.col("first")).alias("line"),
+                                            F.concat(mark, "text").alias("text"))

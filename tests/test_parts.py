@@ -97,3 +97,34 @@ def test_number_of_parts_is_bounded_for_small_parts():
     assert PT.parts_of(10_000_000, 500) == PT.SMALL_PARTS
     assert PT.parts_of(100_000_000, 500) == 500 == PT.parts_of(100_000_000, PT.PIECES_PER_PART)
     assert PT.parts_of(5_000_000, 1_000_000) == 5
+
+
+def test_lines_are_read_in_splits_whatever_the_part(spark):
+    # odd pieces: empty, with carriage returns and line feeds of their own, a byte order mark first
+    odd = ["", "\ufeffmark", "a\r", "\rb\n", "\n", "é" * 300, "\ufeff"]
+    rows = [("s", i, odd[i % 7] if i % 3 else f"line {i}") for i in range(3_000)] + [("t", 0, "\ufeffonly"), (None, 0, "")]
+    rows += [("u", 0, "\ufeff")]
+    root = scratch_dir(spark, "test-parts")
+    PT.write_parts(spark.createDataFrame(rows, "entity string, n bigint, value string").repartition(3), ["n"], root)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        got = PT.read_lines(spark, root)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        lines = got.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    # a part of one file is many rows from the scan on
+    assert "Generate" not in plan and "split(" not in plan
+    for entity in ("s", "t", "u", ""):
+        document = "".join(v + "\n" for e, _, v in rows if (e or "") == entity)
+        want = document.split("\n")[:-1]
+        assert [(r.line, r.text) for r in sorted((r for r in lines if r.entity == entity))] == list(enumerate(want))
+
+
+def test_parts_that_are_not_listed_are_not_read(spark):
+    root = scratch_dir(spark, "test-parts")
+    PT.write_parts(spark.createDataFrame([("s", 0, "x")], "entity string, n bigint, value string"), ["n"], root)
+    spark.createDataFrame([("s", 7, "unfinished")], "entity string, split bigint, value string").write.mode(
+        "append").partitionBy("entity", "split").text(f"{root}/parts")
+    assert [tuple(r) for r in PT.read_lines(spark, root).collect()] == [("s", 0, "x")]
